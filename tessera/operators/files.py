@@ -26,9 +26,15 @@ def _col(c: str | Column) -> Column:
 
 def trip_file_name(trip_type: str | Column, year: str | Column,
                    month: str | Column) -> Column:
-    """``yellow_tripdata_2020-01.parquet`` style name."""
-    return F.format_string("%s_tripdata_%04d-%02d.parquet",
-                           _col(trip_type), _col(year), _col(month))
+    """``yellow_tripdata_2020-01.parquet`` style name.
+
+    Built with ``concat``/``lpad`` (cheap per row) rather than ``format_string``.
+    """
+    def padded(c: Column, width: int) -> Column:
+        s = c.cast("string")
+        return F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s)
+    return F.concat(_col(trip_type), F.lit("_tripdata_"), padded(_col(year), 4),
+                    F.lit("-"), padded(_col(month), 2), F.lit(".parquet"))
 
 
 def parse_trip_file(path: str | Column) -> dict[str, Column]:
@@ -54,13 +60,16 @@ def era_of(year: str | Column, month: str | Column,
 
 def classify_era(df: DataFrame, name_col: str,
                  era_b_from: tuple[int, int] = SOURCE_ERA_B_FROM) -> DataFrame:
-    """Add ``trip_type``, ``year``, ``month`` and ``era`` parsed from a file name."""
+    """Add ``trip_type``, ``year``, ``month`` and ``era`` parsed from a file name.
+
+    Columns already present keep their values (and spare the regex).
+    """
     parts = parse_trip_file(name_col)
     out = df
     for k in ("trip_type", "year", "month"):
         if k not in df.columns:
             out = out.withColumn(k, parts[k])
-    return out.withColumn("era", era_of(parts["year"], parts["month"], era_b_from))
+    return out.withColumn("era", era_of("year", "month", era_b_from))
 
 
 def expand_months(years: DataFrame, months: Iterable[int] = ALL_MONTHS,

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import spread
 from tessera.functions.text import (
     STOPWORDS, count_matches, distinct_matches, is_word, may_contain_all,
     may_contain_any, normalise_terms, not_stopword, token_array, tokens)
@@ -35,7 +36,7 @@ DEFAULT_BLOCK_SIZE = 1000
 def tokenize(df: DataFrame, text: str = "line", keep: Iterable[str] = (),
              word: str = "word") -> DataFrame:
     """``LATERAL VIEW EXPLODE(SPLIT(LOWER(text), '[^a-z]+'))``: raw tokens."""
-    return df.select(*keep, tokens(text).alias(word))
+    return spread(df).select(*keep, tokens(text).alias(word))
 
 
 def words(df: DataFrame, text: str = "line", keep: Iterable[str] = (),
@@ -44,7 +45,7 @@ def words(df: DataFrame, text: str = "line", keep: Iterable[str] = (),
     arr = token_array(text)
     if distinct_per_row:
         arr = F.array_distinct(arr)
-    out = df.select(*keep, F.explode(arr).alias("word")).where(is_word("word"))
+    out = spread(df).select(*keep, F.explode(arr).alias("word")).where(is_word("word"))
     if stopwords is not None:
         out = out.where(not_stopword("word", stopwords))
     return out
@@ -122,23 +123,25 @@ def inverted_index(corpus: DataFrame, k: int = 20, doc_id: str = "doc_id",
     """
     if k > MAX_BROADCAST_ROWS:
         raise ValueError(f"k={k} exceeds {MAX_BROADCAST_ROWS}; use postings()")
+    # distinct (word, doc_id) pairs: one exchange, read by both branches
+    # below (the plan reuses it, so the corpus is tokenised once)
     pairs = words(corpus, content, keep=[doc_id], stopwords=stopwords,
-                  distinct_per_row=True)
-    top = (pairs.groupBy("word").agg(F.countDistinct(doc_id).alias("doc_count"))
+                  distinct_per_row=True).distinct()
+    top = (pairs.groupBy("word").agg(F.count(F.lit(1)).alias("doc_count"))
            .orderBy(F.desc("doc_count"), F.asc("word")).limit(k))
     # top has at most k rows (checked above): safe to broadcast
     sel = pairs.join(F.broadcast(top), "word")
     ids_type = corpus.schema[doc_id].dataType
     if layout == "single":
         return (sel.groupBy("word", "doc_count")
-                .agg(F.array_join(F.array_sort(F.collect_set(doc_id)).cast("array<string>"),
+                .agg(F.array_join(F.array_sort(F.collect_list(doc_id)).cast("array<string>"),
                                   ",").alias("doc_list")))
     if layout != "blocks":
         raise ValueError(f"unknown layout {layout!r}")
     n_blocks = F.greatest(F.lit(1), F.ceil(F.col("doc_count") / F.lit(block_size)))
     blocked = sel.withColumn("block", _block_of(F.col(doc_id), ids_type, n_blocks, block_size))
     return (blocked.groupBy("word", "doc_count", "block")
-            .agg(F.array_join(F.array_sort(F.collect_set(doc_id)).cast("array<string>"),
+            .agg(F.array_join(F.array_sort(F.collect_list(doc_id)).cast("array<string>"),
                               ",").alias("doc_list")))
 
 
@@ -167,7 +170,7 @@ def search_all_words(corpus: DataFrame, terms: Iterable[str], k: int = 10,
     """
     ts = normalise_terms(terms)
     pre = may_contain_all(content, ts) if len(ts) > 1 else may_contain_any(content, ts)
-    arr = (corpus.where(pre)
+    arr = (spread(corpus.where(pre))
            .select(doc_id, content, token_array(content).alias("_tokens")))
     scored = arr.select(doc_id, content,
                         count_matches(F.col("_tokens"), ts).alias("_tf"),

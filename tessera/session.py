@@ -44,6 +44,7 @@ def local_session(cpus: int | None = None, app: str = "tessera",
     parts = shuffle_partitions or cpus
     b = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(parts))
          .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
@@ -54,6 +55,23 @@ def local_session(cpus: int | None = None, app: str = "tessera",
     return configure(spark)
 
 
+def spread(df, min_partitions: int | None = None):
+    """Spread a CPU-heavy input over all cores when its scan is too coarse.
+
+    A scan yields at least one task per file split; a small input (a few
+    Parquet row groups) can give fewer tasks than there are cores, leaving
+    the expensive per-row work (regex tokenising) on a few threads.  Only
+    then are the rows dealt round-robin over ``min_partitions`` (default:
+    the cluster's default parallelism).  On large inputs the scan already has
+    more splits than cores and this is a no-op -- no shuffle is added.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables.
 

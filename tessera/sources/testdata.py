@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.files import classify_era, trip_file_name
+from tessera.operators.files import era_of, trip_file_name
 
 # Era boundary and year window used for the supplied data (lineitem spans
 # 1995-2001); the reference's own values are (2023, 2) and 2020-2025.
@@ -141,16 +141,20 @@ def land_trips(lineitem: DataFrame, root: str, era_b_from=TEST_ERA_B_FROM,
     """Write ``root/raw_a`` and ``root/raw_b`` as the source publishes them.
 
     Each trip goes to the folder of its monthly file, routed by the file's
-    era (the same rule ``classify_era`` applies to file names).  One write
+    era (``era_of``, the rule ``classify_era`` applies to file names).  One write
     per era, since the two eras have different physical types.
     """
     trips = trips_from_lineitem(lineitem)
-    named = trips.withColumn(
-        "tripfile", trip_file_name(F.lit(trip_type), "file_year", "file_month"))
-    routed = classify_era(named, "tripfile", era_b_from)
+    routed = trips.select(
+        "*", trip_file_name(F.lit(trip_type), "file_year", "file_month").alias("tripfile"),
+        era_of("file_year", "file_month", era_b_from).alias("era"))
+    # one file per month, as published; a fixed partition count keeps the
+    # months spread over all cores (AQE would merge them into a few tasks)
+    n = 2 * lineitem.sparkSession.sparkContext.defaultParallelism
     for era in ("a", "b"):
         (routed.where(F.col("era") == era)
          .select(*_era_physical(routed, era), "tripfile")
+         .repartition(n, "tripfile")
          .write.mode("overwrite").partitionBy("tripfile")
          .parquet(f"{root}/raw_{era}"))
     return root
