@@ -1,0 +1,169 @@
+"""Trip semantics S9, S13-S17 on the hand-made rows, plus plan checks."""
+
+import datetime as dt
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tessera.functions.trips import micros_bounds, micros_to_timestamp, positive
+from tessera.operators import trips as TR
+from tessera.plans.ingest import append_era, ingest_trips, show_partitions
+from tessera.sources.trips import read_trips_partitioned
+
+A_TYPES = ("vendorid bigint, tpep_pickup_datetime bigint, tpep_dropoff_datetime bigint, "
+           "passenger_count double, trip_distance double, ratecodeid double, "
+           "store_and_fwd_flag string, pulocationid bigint, dolocationid bigint, "
+           "payment_type bigint, fare_amount double, extra double, mta_tax double, "
+           "tip_amount double, tolls_amount double, improvement_surcharge double, "
+           "total_amount double, congestion_surcharge double")
+B_TYPES = (A_TYPES.replace("vendorid bigint", "vendorid int")
+           .replace("passenger_count double", "passenger_count bigint")
+           .replace("ratecodeid double", "ratecodeid bigint")
+           .replace("pulocationid bigint", "pulocationid int")
+           .replace("dolocationid bigint", "dolocationid int"))
+
+# (pickup µs, distance, payment_type, total)
+ROWS_A = [(1577836799999999, 1.0, 1, 10.0),   # 2019-12-31 23:59:59 -> dropped
+          (1577836800000000, 0.0, 2, 5.0),    # kept, 2020-01
+          (None, 2.0, 1, 5.0),                # dropped
+          (1675209599999999, 3.5, None, 8.0)]  # 2023-01-31 23:59:59
+ROWS_B = [(1675209600000000, 2.25, 0, -4.0),  # 2023-02
+          (1704067199999999, None, 6, 7.5),   # 2023-12
+          (1767225600000000, 1.0, 3, 9.0)]    # 2026-01-01 -> dropped
+
+
+def _raw(spark, rows, types, counts):
+    data = [(1, p, p, counts, d, counts, "N", 1, 2, pt, t, 0.0, 0.5, 0.0, 0.0, 0.3, t, 0.0)
+            for p, d, pt, t in rows]
+    return spark.createDataFrame(data, types)
+
+
+@pytest.fixture()
+def landed(spark, tmp_path):
+    a = str(tmp_path / "raw_a")
+    b = str(tmp_path / "raw_b")
+    _raw(spark, ROWS_A, A_TYPES, 1.0).write.parquet(a)
+    _raw(spark, ROWS_B, B_TYPES, 1).write.parquet(b)
+    return a, b
+
+
+@pytest.fixture()
+def table(spark, landed, tmp_path):
+    out = ingest_trips(spark, *landed, str(tmp_path / "taxi_part"), years=(2020, 2025))
+    return read_trips_partitioned(spark, out)
+
+
+def test_total_and_partitions(spark, table, tmp_path):
+    assert TR.trip_total(table).first().total_viajes == 4
+    parts = [(r.anio, r.mes, r.partition)
+             for r in show_partitions(spark, str(tmp_path / "taxi_part")).collect()]
+    assert parts == [(2020, 1, "anio=2020/mes=1"), (2023, 1, "anio=2023/mes=1"),
+                     (2023, 2, "anio=2023/mes=2"), (2023, 12, "anio=2023/mes=12")]
+
+
+def test_seconds_truncated(table):
+    ts = {r.tpep_pickup_datetime for r in table.collect()}
+    assert dt.datetime(2023, 1, 31, 23, 59, 59) in ts
+    assert all(t.microsecond == 0 for t in ts)
+
+
+def test_distance_stats(table):
+    r = TR.distance_stats(table).first()
+    assert (r.distancia_promedio, r.distancia_maxima) == (2.875, 3.5)
+    assert TR.distance_avg(table).first().distancia_promedio == 2.875
+
+
+def test_payment_labels_group_by_code(table):
+    rows = {r.payment_type: (r.metodo_pago, r.viajes) for r in TR.payment_methods(table).collect()}
+    assert rows == {2: ("Efectivo", 1), None: ("Otro", 1), 0: ("Otro", 1),
+                    6: ("Viaje anulado", 1)}
+
+
+def test_top_trips_positive_only(table):
+    rows = TR.top_trips(table, k=10).collect()
+    assert [r.total_amount for r in rows] == [8.0, 7.5, 5.0]
+    assert TR.top_trips_narrow(table, k=1).columns == [
+        "tpep_pickup_datetime", "trip_distance", "total_amount"]
+
+
+def test_hours_and_months(table):
+    hours = {r.hora: r.viajes for r in TR.trips_by_hour(table).collect()}
+    assert hours == {0: 2, 23: 2}
+    rev = [(r.anio, r.mes, r.viajes) for r in TR.monthly_revenue(table, 2023, [1, 2, 3]).collect()]
+    assert rev == [(2023, 1, 1), (2023, 2, 1)]
+    assert TR.partition_count(table, 2023, 12).first().viajes == 1
+
+
+def test_rebuild_idempotent_append_duplicates(spark, landed, tmp_path):
+    out = str(tmp_path / "t")
+    ingest_trips(spark, *landed, out, years=(2020, 2025))
+    ingest_trips(spark, *landed, out, years=(2020, 2025))
+    assert read_trips_partitioned(spark, out).count() == 4
+    append_era(spark, landed[1], "b", out, years=(2020, 2025))
+    assert read_trips_partitioned(spark, out).count() == 6
+
+
+def test_replace_partitions_touches_only_new_months(spark, landed, tmp_path):
+    out = str(tmp_path / "t")
+    ingest_trips(spark, *landed, out, years=(2020, 2025))
+    ingest_trips(spark, None, landed[1], out, years=(2020, 2025), mode="replace_partitions")
+    assert read_trips_partitioned(spark, out).count() == 4
+
+
+def test_split_then_unify_equals_single_era(spark, tmp_path):
+    rows = ROWS_A + ROWS_B
+    one = _raw(spark, rows, A_TYPES, 1.0)
+    a = _raw(spark, rows[:3], A_TYPES, 1.0)
+    b = _raw(spark, rows[3:], B_TYPES, 1)
+    whole = sorted(map(tuple, TR.unify([one], 2020, 2025).collect()), key=repr)
+    split = sorted(map(tuple, TR.unify([a, b], 2020, 2025).collect()), key=repr)
+    assert whole == split
+
+
+def test_positive_excludes_nan_and_null(spark):
+    df = spark.createDataFrame([(1.0,), (0.0,), (None,), (float("nan"),), (-1.0,)], "x double")
+    assert [r.x for r in df.where(positive("x")).collect()] == [1.0]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(min_value=1960, max_value=2030), st.integers(min_value=0, max_value=5),
+       st.integers(min_value=-2_000_000, max_value=2_000_000))
+def test_micros_window_matches_year_window(first, span, jitter):
+    """The pushed-down µs range equals YEAR(trunc) BETWEEN, also before 1970."""
+    last = first + span
+    lo, hi = micros_bounds(first, last)
+    epoch = dt.datetime(1970, 1, 1)
+
+    def year_of(us):
+        sec = int(us / 1_000_000)  # DIV: truncation toward zero
+        return (epoch + dt.timedelta(seconds=sec)).year
+
+    for edge in (lo, hi + 1):
+        us = edge + jitter
+        assert (lo <= us <= hi) == (first <= year_of(us) <= last)
+
+
+def test_micros_to_timestamp_truncates_toward_zero(spark):
+    df = spark.createDataFrame([(-1_500_000,), (1_577_836_799_999_999,)], "us bigint")
+    got = [r.t for r in df.select(micros_to_timestamp("us").alias("t")).collect()]
+    assert got == [dt.datetime(1969, 12, 31, 23, 59, 59), dt.datetime(2019, 12, 31, 23, 59, 59)]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_partition_pruning_in_plan(table):
+    plan = _plan(TR.monthly_revenue(table, 2023, [1, 2, 3]))
+    assert "PartitionFilters: [isnotnull(anio" in plan and "mes#" in plan
+
+
+def test_top_k_plan_is_take_ordered(table):
+    assert "TakeOrderedAndProject" in _plan(TR.top_trips(table))
+
+
+def test_raw_year_window_pushed_to_parquet(spark, landed):
+    from tessera.sources.trips import read_trips_era
+    plan = _plan(TR.in_year_window(read_trips_era(spark, landed[0], "a"), 2020, 2025))
+    assert "PushedFilters: [IsNotNull(tpep_pickup_datetime), GreaterThanOrEqual(tpep_pickup_datetime" in plan
