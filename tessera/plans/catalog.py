@@ -213,6 +213,14 @@ def _append_fresh(spark, sf):
     return read_trips_partitioned(spark, out)
 
 
+def _stream_fresh(spark, sf):
+    from tessera.streaming.ingest import run_trip_ingest
+    out = fresh_dir(spark, "taxi_part_stream")
+    dirs = {"a": M.era_path(spark, sf, "a"), "b": M.era_path(spark, sf, "b")}
+    run_trip_ingest(spark, dirs, out, out + "-checkpoint", years=YEARS)
+    return read_trips_partitioned(spark, out)
+
+
 def _tokens_filtered(spark, sf, pred):
     return TX.tokenize(_docs(spark, sf), "content", keep=["doc_id"]).where(pred)
 
@@ -240,6 +248,7 @@ def _catalog() -> dict[str, tuple[Run, str | None]]:
     # -- sinks
     q["trips_partitioned_write"] = (_ingest_fresh, _trips_sql("SELECT * FROM trips"))
     q["trips_era_append"] = (_append_fresh, _trips_sql("SELECT * FROM trips"))
+    q["trips_era_append_stream"] = (_stream_fresh, _trips_sql("SELECT * FROM trips"))
     q["show_partitions"] = (
         lambda s, sf: IG.show_partitions(s, M.trips_table(s, sf)),
         _trips_sql("SELECT DISTINCT anio, mes, printf('anio=%d/mes=%d', anio, mes) AS partition "

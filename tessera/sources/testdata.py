@@ -148,13 +148,17 @@ def land_trips(lineitem: DataFrame, root: str, era_b_from=TEST_ERA_B_FROM,
     routed = trips.select(
         "*", trip_file_name(F.lit(trip_type), "file_year", "file_month").alias("tripfile"),
         era_of("file_year", "file_month", era_b_from).alias("era"))
-    # one file per month, as published; a fixed partition count keeps the
-    # months spread over all cores (AQE would merge them into a few tasks)
-    n = 2 * lineitem.sparkSession.sparkContext.defaultParallelism
+    # Range partitioning on (file, pickup): each task holds a contiguous run
+    # of months, so small data gives about one file per month, as published,
+    # while a month bigger than a task is split over several tasks.  At least
+    # one task per input split (and per core); a fixed count is not merged
+    # by AQE.
+    spark = lineitem.sparkSession
+    n = max(2 * spark.sparkContext.defaultParallelism, lineitem.rdd.getNumPartitions())
     for era in ("a", "b"):
         (routed.where(F.col("era") == era)
          .select(*_era_physical(routed, era), "tripfile")
-         .repartition(n, "tripfile")
+         .repartitionByRange(n, "tripfile", "tpep_pickup_datetime")
          .write.mode("overwrite").partitionBy("tripfile")
          .parquet(f"{root}/raw_{era}"))
     return root
