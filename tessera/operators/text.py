@@ -96,11 +96,11 @@ def postings(corpus: DataFrame, doc_id: str = "doc_id", content: str = "content"
             .groupBy("word", doc_id).agg(F.count(F.lit(1)).alias("tf")))
 
 
-def _block_of(doc: Column, dtype: T.DataType, n_blocks: Column, block_size: int) -> Column:
+def _block_of(doc: str, dtype: T.DataType, n_blocks: Column, block_size: int) -> Column:
     if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        # id ranges: blocks come out in id order
-        return F.floor(doc / F.lit(block_size)).cast("bigint")
-    return F.pmod(F.xxhash64(doc), n_blocks)
+        # id ranges, exact integer floor division: blocks come out in id order
+        return F.expr(f"(`{doc}` - pmod(`{doc}`, {block_size})) div {block_size}").cast("bigint")
+    return F.pmod(F.xxhash64(F.col(doc)), n_blocks)
 
 
 def inverted_index(corpus: DataFrame, k: int = 20, doc_id: str = "doc_id",
@@ -139,7 +139,7 @@ def inverted_index(corpus: DataFrame, k: int = 20, doc_id: str = "doc_id",
     if layout != "blocks":
         raise ValueError(f"unknown layout {layout!r}")
     n_blocks = F.greatest(F.lit(1), F.ceil(F.col("doc_count") / F.lit(block_size)))
-    blocked = sel.withColumn("block", _block_of(F.col(doc_id), ids_type, n_blocks, block_size))
+    blocked = sel.withColumn("block", _block_of(doc_id, ids_type, n_blocks, block_size))
     return (blocked.groupBy("word", "doc_count", "block")
             .agg(F.array_join(F.array_sort(F.collect_list(doc_id)).cast("array<string>"),
                               ",").alias("doc_list")))
@@ -152,31 +152,124 @@ def _ranked(groups: DataFrame, doc_id: str, k: int) -> DataFrame:
 
 
 def search_word(corpus: DataFrame, word: str, k: int = 10, doc_id: str = "doc_id",
-                content: str = "content") -> DataFrame:
+                content: str = "content", strategy: str = "keyed") -> DataFrame:
     """Documents containing ``word``, scored by its term frequency.
 
     Output ``(doc_id, titulo, score)``; the group is (doc_id, content), so a
     replicated row adds its count again.  No stopword or length filter.
     """
-    return search_all_words(corpus, [word], k, doc_id, content)
+    return search_all_words(corpus, [word], k, doc_id, content, strategy)
 
 
-def search_all_words(corpus: DataFrame, terms: Iterable[str], k: int = 10,
-                     doc_id: str = "doc_id", content: str = "content") -> DataFrame:
-    """Documents containing every term (AND), scored by summed frequencies.
+def _hits(corpus: DataFrame, ts: list[str], doc_id: str, content: str,
+          spread_input: bool = True) -> DataFrame:
+    """Rows holding every term, with ``_tf`` = occurrences of the terms.
 
-    A group (doc_id, content) always has identical text in all its rows, so
-    "all terms present" is decided per row and only the score is summed.
+    A substring test (necessary condition) runs before the regex split, so
+    rows that cannot match are never tokenised.
     """
-    ts = normalise_terms(terms)
     pre = may_contain_all(content, ts) if len(ts) > 1 else may_contain_any(content, ts)
-    arr = (spread(corpus.where(pre))
+    rows = corpus.where(pre)
+    arr = ((spread(rows) if spread_input else rows)
            .select(doc_id, content, token_array(content).alias("_tokens")))
     scored = arr.select(doc_id, content,
                         count_matches(F.col("_tokens"), ts).alias("_tf"),
                         distinct_matches(F.col("_tokens"), ts).alias("_nd"))
-    hits = scored.where(F.col("_nd") == len(ts))
+    return scored.where(F.col("_nd") == len(ts)).drop("_nd")
+
+
+def _text_key(content: str) -> list[Column]:
+    c = F.col(content)
+    return [F.xxhash64(c).alias("_h1"), F.hash(c).alias("_h2"), F.length(c).alias("_len")]
+
+
+_KEY = ["_h1", "_h2", "_len"]
+
+
+def _direct(hits: DataFrame, doc_id: str, content: str, k: int) -> DataFrame:
     groups = (hits.groupBy(doc_id, content)
               .agg(F.sum("_tf").cast("bigint").alias("score"))
               .select(doc_id, F.col(content).alias("titulo"), "score"))
     return _ranked(groups, doc_id, k)
+
+
+def search_all_words(corpus: DataFrame, terms: Iterable[str], k: int = 10,
+                     doc_id: str = "doc_id", content: str = "content",
+                     strategy: str = "keyed") -> DataFrame:
+    """Documents containing every term (AND), scored by summed frequencies.
+
+    A group (doc_id, content) always has identical text in all its rows, so
+    "all terms present" is decided per row and only the score is summed.
+
+    ``strategy="direct"`` groups on (doc_id, content): one pass, but the text
+    of every matching row crosses the shuffle -- for a common word, most of
+    the corpus.  ``strategy="keyed"`` (default) keeps the text out of the
+    shuffle and is still exact:
+
+    1. scores are aggregated on (doc_id, 64-bit hash, 32-bit hash, length of
+       the text) -- a few bytes per row cross the shuffle;
+    2. the top k of those groups, plus any group tied with the k-th on
+       (score, doc_id), are the candidates (at most k rows go to the driver,
+       to read the k-th score);
+    3. only candidate rows are read again with their text, regrouped on
+       (doc_id, content) and ranked.  If two different texts of one doc_id
+       ever shared a key, step 3 sees two texts under one key and the search
+       falls back to the direct plan.
+    """
+    ts = normalise_terms(terms)
+    if k > MAX_BROADCAST_ROWS:
+        raise ValueError(f"k={k} exceeds {MAX_BROADCAST_ROWS}")
+    hits = _hits(corpus, ts, doc_id, content)
+    if strategy == "direct":
+        return _direct(hits, doc_id, content, k)
+    if strategy != "keyed":
+        raise ValueError(f"unknown strategy {strategy!r}")
+
+    # a few bytes per matching text; written once so that the top-k and the
+    # candidate filter below do not tokenise the corpus again
+    keyed = (hits.select(doc_id, *_text_key(content), "_tf")
+             .groupBy(doc_id, *_KEY).agg(F.sum("_tf").cast("bigint").alias("score"))
+             .checkpoint(eager=True))
+    order = [F.desc("score"), F.asc_nulls_last(doc_id)]
+    top = keyed.orderBy(*order).limit(k).collect()          # <= k rows
+    spark = corpus.sparkSession
+    out_schema = (f"{doc_id} {corpus.schema[doc_id].dataType.simpleString()}, "
+                  f"titulo string, score bigint")
+    if not top:
+        return spark.createDataFrame([], out_schema)
+    cands = keyed
+    if len(top) == k:
+        s_k, d_k = top[-1]["score"], top[-1][doc_id]
+        tie = (F.col("score") == s_k)
+        if d_k is not None:
+            tie = tie & (F.col(doc_id) <= F.lit(d_k))
+        cands = keyed.where((F.col("score") > s_k) | tie)
+    # renamed: the candidate side must not share column identities with the
+    # corpus side it is joined to
+    cands = cands.select(F.col(doc_id).alias("_cdoc"),
+                         *[F.col(c).alias("_c" + c) for c in _KEY]).checkpoint(eager=True)
+    n_cands = cands.count()
+    small = n_cands <= MAX_BROADCAST_ROWS
+    right = F.broadcast(cands) if small else cands
+    ids = cands.select("_cdoc").distinct()
+    # second read: cheap substring test, then the candidate ids, and only
+    # then hash the text of the few surviving rows
+    by_id = corpus.where(may_contain_all(content, ts)).join(
+        F.broadcast(ids) if small else ids, F.col(doc_id).eqNullSafe(F.col("_cdoc")),
+        "left_semi")
+    rows = by_id.select(doc_id, content, *_text_key(content))
+    cond = ([rows[doc_id].eqNullSafe(F.col("_cdoc"))]
+            + [rows[c] == F.col("_c" + c) for c in _KEY])
+    picked = rows.join(right, cond, "left_semi")
+    exact = _hits(picked, ts, doc_id, content, spread_input=False)
+    groups = (exact.groupBy(doc_id, content)
+              .agg(F.sum("_tf").cast("bigint").alias("score"),
+                   F.first(F.struct(*_text_key(content))).alias("_k"))
+              .select(doc_id, F.col(content).alias("titulo"), "score", "_k"))
+    found = groups.collect()                                 # <= candidates rows
+    keys = [(r[doc_id], tuple(r["_k"])) for r in found]
+    if len(set(keys)) != len(keys):                          # a key held two texts
+        return _direct(hits, doc_id, content, k)
+    result = spark.createDataFrame([(r[doc_id], r["titulo"], r["score"]) for r in found],
+                                   out_schema)
+    return _ranked(result, doc_id, k)

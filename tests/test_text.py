@@ -150,3 +150,47 @@ def test_postings_rows(corpus):
     assert rows[("twenty", "doc_2.txt")] == 2
     assert rows[("twenty", "doc_1.txt")] == 2      # same id twice in the corpus
     assert rows[("adventure", "doc_4.txt")] == 3
+
+
+def _random_corpus(spark, seed, n=60):
+    import random
+    rnd = random.Random(seed)
+    vocab = ["red", "blue", "widget", "gear", "the", "of"]
+    rows = []
+    for _ in range(n):
+        doc = rnd.choice([None] + [f"d{i}" for i in range(12)])
+        text = " ".join(rnd.choice(vocab) for _ in range(rnd.randint(1, 6)))
+        rows.extend([(doc, text)] * rnd.choice([1, 1, 2]))
+    return spark.createDataFrame(rows, "doc_id string, content string")
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_keyed_search_equals_direct(spark, seed):
+    corpus = _random_corpus(spark, seed)
+    for terms in (["red"], ["red", "widget"], ["the"]):
+        for k in (1, 3, 10):
+            keyed = [tuple(r) for r in TX.search_all_words(corpus, terms, k).collect()]
+            direct = [tuple(r) for r in
+                      TX.search_all_words(corpus, terms, k, strategy="direct").collect()]
+            assert keyed == direct, (terms, k)
+
+
+def test_keyed_search_falls_back_on_key_collision(spark, corpus, monkeypatch):
+    # every text gets the same key: distinct texts of doc_4 collide
+    monkeypatch.setattr(TX, "_text_key", lambda c: [
+        F.lit(0).cast("bigint").alias("_h1"), F.lit(0).alias("_h2"), F.lit(0).alias("_len")])
+    rows = TX.search_word(corpus, "adventure").collect()
+    assert [(r.titulo, r.score) for r in rows] == [
+        ("The Adventure of the Adventure", 2), ("Another Adventure", 1)]
+
+
+def test_keyed_search_no_hits(corpus):
+    assert TX.search_word(corpus, "zebra").count() == 0
+
+
+def test_inverted_index_reuses_the_pairs_exchange(spark):
+    df = spark.createDataFrame([(i, "alpha beta gamma") for i in range(50)],
+                               "doc_id bigint, content string")
+    out = TX.inverted_index(df, k=2)
+    out.collect()
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
