@@ -19,7 +19,7 @@ SEMANTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-# Performance settings that hold at any scale (runtime re-planning).
+# Runtime re-planning; the sizes are for local runs (local_session).
 ADAPTIVE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -30,9 +30,14 @@ ADAPTIVE_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the result-relevant and adaptive settings to a running session."""
-    for k, v in {**SEMANTIC_CONF, **ADAPTIVE_CONF}.items():
+    """Apply the result-relevant settings (and AQE) to a running session.
+
+    Sizing (advisory partition size, shuffle partitions) is left to the
+    deployment: a 100 TB shuffle wants far larger reducer inputs than a test.
+    """
+    for k, v in SEMANTIC_CONF.items():
         spark.conf.set(k, v)
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
     return spark
 
 
@@ -48,11 +53,17 @@ def local_session(cpus: int | None = None, app: str = "tessera",
          .config("spark.sql.shuffle.partitions", str(parts))
          .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
-    for k, v in {**SEMANTIC_CONF, **ADAPTIVE_CONF, **(extra or {})}.items():
+    conf = {**SEMANTIC_CONF, **ADAPTIVE_CONF, **(extra or {})}
+    for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return configure(spark)
+    for k, v in conf.items():          # also when the session already existed
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - static confs of a running session
+            pass
+    return spark
 
 
 def spread(df, min_partitions: int | None = None):
@@ -72,6 +83,9 @@ def spread(df, min_partitions: int | None = None):
     return df.repartition(want)
 
 
+_OWN_ROOT: dict[str, str] = {}
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables.
 
@@ -80,19 +94,30 @@ def work_root(spark: SparkSession) -> str:
     fresh folder of its own; a cluster session without it is an error,
     because a machine-local folder is not visible to other executors.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if d:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)      # named in the session but not yet applied
+        return d.rstrip("/")
+    if sc.applicationId in _OWN_ROOT:
+        return _OWN_ROOT[sc.applicationId]
+    d = sc.getCheckpointDir()
     if d:
         return d.rstrip("/")
-    master = spark.sparkContext.master or ""
+    master = sc.master or ""
     if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: name a folder shared by all "
             "executors (e.g. on the cluster file system)")
+    # local session without the setting (tests): a folder of its own
     d = tempfile.mkdtemp(prefix="tessera-work-")
-    spark.sparkContext.setCheckpointDir(d)
-    spark.conf.set("spark.checkpoint.dir", d)
+    sc.setCheckpointDir(d)
+    _OWN_ROOT[sc.applicationId] = d
+    try:
+        spark.conf.set("spark.checkpoint.dir", d)
+    except Exception:  # noqa: BLE001 - core confs may be read-only at runtime
+        pass
     return d
 
 
