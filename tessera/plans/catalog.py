@@ -424,6 +424,11 @@ FROM trips GROUP BY payment_type ORDER BY viajes DESC, payment_type NULLS LAST""
     q["gen_sentences"] = (
         lambda s, sf: C.gen_sentences(_docs(s, sf).select(F.col("doc_id").alias("id"))),
         None)
+    def _gen_text(s, sf):
+        # as many bytes of generated text as the documents table holds
+        target = C.corpus_stats(_docs(s, sf), "content").first()["n_bytes"]
+        return C.gen_text(s, int(target))
+    q["gen_text"] = (_gen_text, None)
     numbered_sql = """WITH t AS (
   SELECT p_partkey, regexp_replace(p_name, '^\\s+|\\s+$', '', 'g') AS title FROM part),
 c AS (SELECT * FROM t WHERE title <> ''),

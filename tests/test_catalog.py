@@ -12,7 +12,7 @@ from tests.conftest import SF_SMALL
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations"]
-ROWS_ONLY = {"gen_sentences", "source_inventory"}
+ROWS_ONLY = {"gen_sentences", "gen_text", "source_inventory"}
 
 
 def _norm(v):
@@ -58,3 +58,14 @@ def test_query_matches_oracle(spark, con, name):
     cols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(cols)
     assert _rows(df.columns, got) == _rows(cols, cur.fetchall())
+
+
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas",
+                "FlatMapGroupsInPandas", "PythonMapInArrow")
+
+
+def test_no_python_in_any_query_plan(spark):
+    """Every registered query runs JVM-side: no Python UDF node in any plan."""
+    for name, fn in E.queries().items():
+        plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert not any(p in plan for p in PYTHON_NODES), name

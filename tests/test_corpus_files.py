@@ -115,3 +115,13 @@ def test_source_inventory(spark, tmp_path):
     spark.range(0).write.parquet(empty)
     with pytest.raises(FileNotFoundError):
         FL.source_inventory(spark, {"a": empty}, glob="*.none")
+
+
+def test_gen_text_stops_at_target_bytes(spark):
+    target = 20_000
+    lines = C.gen_text(spark, target, partitions=5).orderBy("id").collect()
+    sizes = [len(r.line.encode("utf-8")) + 1 for r in lines]
+    assert [r.id for r in lines] == list(range(len(lines)))
+    assert sum(sizes) >= target and sum(sizes[:-1]) < target
+    same = C.gen_text(spark, target, partitions=2).orderBy("id").collect()
+    assert [r.line for r in same] == [r.line for r in lines]

@@ -129,6 +129,11 @@ def test_replication_metamorphic(spark, corpus):
     s1 = {(r.doc_id, r.titulo): r.score for r in TX.search_all_words(corpus, ["years"]).collect()}
     sn = {(r.doc_id, r.titulo): r.score for r in TX.search_all_words(rep, ["years"]).collect()}
     assert {k: v * n for k, v in s1.items()} == sn
+    assert (TX.vocabulary_size(corpus, "content").first()[0]
+            == TX.vocabulary_size(rep, "content").first()[0])
+    i1 = sorted(map(tuple, TX.inverted_index(corpus, k=5, layout="single").collect()))
+    i_n = sorted(map(tuple, TX.inverted_index(rep, k=5, layout="single").collect()))
+    assert i1 == i_n
     w1 = {r.word: r.total for r in TX.word_counts(corpus, "content").collect()}
     wn = {r.word: r.total for r in TX.word_counts(rep, "content").collect()}
     assert {k: v * n for k, v in w1.items()} == wn
