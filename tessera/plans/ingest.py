@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from tessera import schemas
 from tessera.operators.trips import SOURCE_YEARS, in_year_window, unify, unify_era
-from tessera.functions.trips import year_window
 from tessera.sources.trips import read_trips_era, read_trips_partitioned
 
 
@@ -73,8 +72,7 @@ def append_era(spark: SparkSession, path: str | list[str], era: str, out: str,
     Appends: running it twice doubles that era's rows, as in the reference.
     """
     raw = read_trips_era(spark, path, era)
-    df = unify_era(in_year_window(raw, *years)).where(
-        year_window("tpep_pickup_datetime", *years))
+    df = unify_era(in_year_window(raw, *years))
     _writer(df, "append", rebalance, max_records_per_file).parquet(out)
     return out
 

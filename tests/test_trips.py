@@ -167,3 +167,12 @@ def test_raw_year_window_pushed_to_parquet(spark, landed):
     from tessera.sources.trips import read_trips_era
     plan = _plan(TR.in_year_window(read_trips_era(spark, landed[0], "a"), 2020, 2025))
     assert "PushedFilters: [IsNotNull(tpep_pickup_datetime), GreaterThanOrEqual(tpep_pickup_datetime" in plan
+
+
+def test_rebalanced_write_same_rows_capped_files(spark, landed, tmp_path):
+    import glob
+    out = ingest_trips(spark, *landed, str(tmp_path / "rb"), years=(2020, 2025),
+                       rebalance=True, max_records_per_file=1)
+    t = read_trips_partitioned(spark, out)
+    assert t.count() == 4
+    assert len(glob.glob(f"{out}/anio=*/mes=*/*.parquet")) == 4   # one row per file
