@@ -80,10 +80,18 @@ def append_era(spark: SparkSession, path: str | list[str], era: str, out: str,
 def show_partitions(spark: SparkSession, root: str) -> DataFrame:
     """Partitions present, ``anio=YYYY/mes=M`` as ``SHOW PARTITIONS`` prints them.
 
-    Reads no data columns (partition values only).
+    Answered from the file listing alone: the ``binaryFile`` source discovers
+    ``anio``/``mes`` from the folder names and, with ``content`` never
+    selected, opens no file -- the cost grows with the number of files, not
+    rows.  Only committed data files (``*.parquet``) count.
     """
-    t = read_trips_partitioned(spark, root)
-    return (t.select("anio", "mes").distinct()
+    files = (spark.read.format("binaryFile")
+             .option("pathGlobFilter", "*.parquet")
+             .option("basePath", root)
+             .load(root))
+    return (files.select(F.col("anio").cast("int").alias("anio"),
+                         F.col("mes").cast("int").alias("mes"))
+            .distinct()
             .select("anio", "mes",
                     F.format_string("anio=%d/mes=%d", "anio", "mes").alias("partition"))
             .orderBy("anio", "mes"))
