@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera import schemas
 from tessera.functions.trips import (
-    micros_to_timestamp, micros_window, payment_label, positive, year_window)  # noqa: F401
+    micros_to_timestamp, micros_window, payment_label, positive)
 
 SOURCE_YEARS = (2020, 2025)
 
