@@ -152,7 +152,7 @@ def _ranked(groups: DataFrame, doc_id: str, k: int) -> DataFrame:
 
 
 def search_word(corpus: DataFrame, word: str, k: int = 10, doc_id: str = "doc_id",
-                content: str = "content", strategy: str = "keyed") -> DataFrame:
+                content: str = "content", strategy: str = "auto") -> DataFrame:
     """Documents containing ``word``, scored by its term frequency.
 
     Output ``(doc_id, titulo, score)``; the group is (doc_id, content), so a
@@ -178,6 +178,27 @@ def _hits(corpus: DataFrame, ts: list[str], doc_id: str, content: str,
     return scored.where(F.col("_nd") == len(ts)).drop("_nd")
 
 
+# Below this input size the direct search's text shuffle is cheap.
+DIRECT_SEARCH_MAX_BYTES = 1 << 30
+
+
+def _input_bytes_bound(df: DataFrame) -> int:
+    """Upper bound of a scan's input bytes: partitions x max bytes per split."""
+    spark = df.sparkSession
+    raw = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
+    per = _parse_bytes(raw)
+    return df.rdd.getNumPartitions() * per
+
+
+def _parse_bytes(v: str) -> int:
+    v = v.strip().lower()
+    for suffix, mult in (("k", 1 << 10), ("m", 1 << 20), ("g", 1 << 30), ("t", 1 << 40)):
+        for s in (suffix + "b", suffix):
+            if v.endswith(s):
+                return int(float(v[: -len(s)]) * mult)
+    return int(v.rstrip("b"))
+
+
 def _text_key(content: str) -> list[Column]:
     c = F.col(content)
     return [F.xxhash64(c).alias("_h1"), F.hash(c).alias("_h2"), F.length(c).alias("_len")]
@@ -195,7 +216,7 @@ def _direct(hits: DataFrame, doc_id: str, content: str, k: int) -> DataFrame:
 
 def search_all_words(corpus: DataFrame, terms: Iterable[str], k: int = 10,
                      doc_id: str = "doc_id", content: str = "content",
-                     strategy: str = "keyed") -> DataFrame:
+                     strategy: str = "auto") -> DataFrame:
     """Documents containing every term (AND), scored by summed frequencies.
 
     A group (doc_id, content) always has identical text in all its rows, so
@@ -215,11 +236,18 @@ def search_all_words(corpus: DataFrame, terms: Iterable[str], k: int = 10,
        (doc_id, content) and ranked.  If two different texts of one doc_id
        ever shared a key, step 3 sees two texts under one key and the search
        falls back to the direct plan.
+
+    ``strategy="auto"`` (default) takes the direct plan only when the whole
+    input is provably small -- at most ``DIRECT_SEARCH_MAX_BYTES`` by the
+    upper bound (scan partitions x ``spark.sql.files.maxPartitionBytes``) --
+    so its shuffle is bounded too; otherwise the keyed plan.
     """
     ts = normalise_terms(terms)
     if k > MAX_BROADCAST_ROWS:
         raise ValueError(f"k={k} exceeds {MAX_BROADCAST_ROWS}")
     hits = _hits(corpus, ts, doc_id, content)
+    if strategy == "auto":
+        strategy = "direct" if _input_bytes_bound(corpus) <= DIRECT_SEARCH_MAX_BYTES else "keyed"
     if strategy == "direct":
         return _direct(hits, doc_id, content, k)
     if strategy != "keyed":

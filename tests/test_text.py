@@ -174,7 +174,8 @@ def test_keyed_search_equals_direct(spark, seed):
     corpus = _random_corpus(spark, seed)
     for terms in (["red"], ["red", "widget"], ["the"]):
         for k in (1, 3, 10):
-            keyed = [tuple(r) for r in TX.search_all_words(corpus, terms, k).collect()]
+            keyed = [tuple(r) for r in
+                     TX.search_all_words(corpus, terms, k, strategy="keyed").collect()]
             direct = [tuple(r) for r in
                       TX.search_all_words(corpus, terms, k, strategy="direct").collect()]
             assert keyed == direct, (terms, k)
@@ -184,13 +185,22 @@ def test_keyed_search_falls_back_on_key_collision(spark, corpus, monkeypatch):
     # every text gets the same key: distinct texts of doc_4 collide
     monkeypatch.setattr(TX, "_text_key", lambda c: [
         F.lit(0).cast("bigint").alias("_h1"), F.lit(0).alias("_h2"), F.lit(0).alias("_len")])
-    rows = TX.search_word(corpus, "adventure").collect()
+    rows = TX.search_word(corpus, "adventure", strategy="keyed").collect()
     assert [(r.titulo, r.score) for r in rows] == [
         ("The Adventure of the Adventure", 2), ("Another Adventure", 1)]
 
 
 def test_keyed_search_no_hits(corpus):
-    assert TX.search_word(corpus, "zebra").count() == 0
+    assert TX.search_word(corpus, "zebra", strategy="keyed").count() == 0
+
+
+def test_auto_strategy_picks_by_input_size(spark, corpus):
+    assert TX._parse_bytes("128m") == 128 << 20 and TX._parse_bytes("134217728") == 134217728
+    assert TX._input_bytes_bound(corpus) <= TX.DIRECT_SEARCH_MAX_BYTES
+    big = corpus.repartition(64)      # 64 partitions x 128 MB bound > 1 GB: keyed plan
+    assert TX._input_bytes_bound(big) > TX.DIRECT_SEARCH_MAX_BYTES
+    rows = [tuple(r) for r in TX.search_word(big, "adventure").collect()]
+    assert rows == [tuple(r) for r in TX.search_word(corpus, "adventure").collect()]
 
 
 def test_inverted_index_reuses_the_pairs_exchange(spark):
