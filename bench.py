@@ -1,10 +1,11 @@
 """Benchmark: run every registered query at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is executed in full with a ``noop`` write (every row computed,
-nothing collected), once untimed (JVM warm-up) and once timed.  Derived inputs (trip files landed from ``lineitem``, the
-partitioned trip table, text files) are built first and timed separately as
-``prep``; the trip ingest itself is also timed as the ``trips_partitioned_write``
-query.  Prints one JSON line.
+nothing collected): one untimed pass (JVM warm-up), then ``$BENCH_RUNS``
+(default 2) timed passes; each query reports its best pass.  Derived inputs
+(trip files landed from ``lineitem``, the partitioned trip table, text files)
+are built first and timed separately as ``prep``; the trip ingest itself is
+also timed as the ``trips_partitioned_write`` query.  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -39,7 +40,10 @@ def main() -> None:
     # one untimed pass: JIT warm-up, so the first query of a kind is not
     # charged for compiling the code paths all of them share
     time_queries(spark, qs, sf_dir)
-    timings = time_queries(spark, qs, sf_dir)
+    runs = max(1, int(os.environ.get("BENCH_RUNS", "2")))
+    passes = [time_queries(spark, qs, sf_dir) for _ in range(runs)]
+    # best of the timed passes per query (run-to-run noise is ~20 % here)
+    timings = {k: min((p[k] for p in passes), key=lambda t: t["sec"]) for k in qs}
     total = round(sum(t["sec"] for t in timings.values()), 3)
     out = {
         "metric": "total_query_time",
@@ -49,6 +53,7 @@ def main() -> None:
         "prep": prep,
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
         "cpus": cpus,
+        "runs": f"best of {runs} timed passes after one warm-up pass",
     }
     print(json.dumps(out))
     spark.stop()
