@@ -125,3 +125,20 @@ def test_gen_text_stops_at_target_bytes(spark):
     assert sum(sizes) >= target and sum(sizes[:-1]) < target
     same = C.gen_text(spark, target, partitions=2).orderBy("id").collect()
     assert [r.line for r in same] == [r.line for r in lines]
+
+
+def test_number_rows_heavy_ties_are_split_and_stable(spark):
+    df = spark.range(0, 3000, numPartitions=6).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"))
+    # tiny data: keep AQE from merging the range partitions back into one
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = C.number_rows(df, ["k"])
+        rows = sorted((r.n, r.k, r.id) for r in out.collect())
+        sizes = out.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [r[0] for r in rows] == list(range(1, 3001))
+    tied = [r[2] for r in rows[:1000]]
+    assert all(r[1] == 0 for r in rows[:1000]) and tied == sorted(tied)   # input order
+    assert max(r["count"] for r in sizes) < 1000                         # ties split
