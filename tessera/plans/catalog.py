@@ -206,6 +206,12 @@ def _ingest_fresh(spark, sf):
     return read_trips_partitioned(spark, out)
 
 
+def _routed_fresh(spark, sf):
+    out = fresh_dir(spark, "taxi_part_routed")
+    IG.ingest_routed(spark, M.trip_landing(spark, sf), out, years=YEARS, era_b_from=ERA_B_FROM)
+    return read_trips_partitioned(spark, out)
+
+
 def _append_fresh(spark, sf):
     out = fresh_dir(spark, "taxi_part_append")
     IG.append_era(spark, M.era_path(spark, sf, "a"), "a", out, years=YEARS)
@@ -247,6 +253,7 @@ def _catalog() -> dict[str, tuple[Run, str | None]]:
 
     # -- sinks
     q["trips_partitioned_write"] = (_ingest_fresh, _trips_sql("SELECT * FROM trips"))
+    q["trips_routed_write"] = (_routed_fresh, _trips_sql("SELECT * FROM trips"))
     q["trips_era_append"] = (_append_fresh, _trips_sql("SELECT * FROM trips"))
     q["trips_era_append_stream"] = (_stream_fresh, _trips_sql("SELECT * FROM trips"))
     q["show_partitions"] = (

@@ -64,6 +64,19 @@ def ingest_trips(spark: SparkSession, era_a: str | list[str] | None,
     return out
 
 
+def ingest_routed(spark: SparkSession, landing: str, out: str,
+                  years: tuple[int, int] = SOURCE_YEARS,
+                  era_b_from: tuple[int, int] | None = None, **write) -> str:
+    """Rebuild from one landing folder holding monthly files of both eras.
+
+    Each file goes to the reader of its era by its name, then as
+    ``ingest_trips``.
+    """
+    from tessera.sources.trips import route_by_name
+    routes = route_by_name(spark, landing, era_b_from)
+    return ingest_trips(spark, routes["a"] or None, routes["b"] or None, out, years, **write)
+
+
 def append_era(spark: SparkSession, path: str | list[str], era: str, out: str,
                years: tuple[int, int] = SOURCE_YEARS, rebalance: bool = False,
                max_records_per_file: int | None = None) -> str:

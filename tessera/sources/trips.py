@@ -36,3 +36,32 @@ def read_trips_partitioned(spark: SparkSession, root: str) -> DataFrame:
     inference; filters on ``anio``/``mes`` prune directories.
     """
     return spark.read.schema(schemas.PARTITIONED).option("basePath", root).parquet(root)
+
+
+def route_by_name(spark: SparkSession, root: str,
+                  era_b_from: tuple[int, int] | None = None) -> dict[str, list[str]]:
+    """Paths of the monthly trip files under ``root``, grouped by era.
+
+    The era comes from the file name (``{type}_tripdata_{YYYY}-{MM}.parquet``),
+    as when downloads are routed into per-era folders.  The listing is file
+    metadata only (no file is opened); the path lists hold one entry per
+    file, the same list Spark's file index keeps for any read.  Files whose
+    name is not a trip file name are ignored.
+    """
+    from pyspark.sql import functions as F
+
+    from tessera.operators.files import SOURCE_ERA_B_FROM, classify_era, list_files
+    # the trip file name may be the file itself or a folder holding its parts
+    files = list_files(spark, root, "*.parquet")
+    routed = classify_era(files, "path", era_b_from or SOURCE_ERA_B_FROM)
+    out: dict[str, list[str]] = {"a": [], "b": []}
+    for r in routed.where(F.col("era").isNotNull()).select("era", "path").collect():
+        out[r["era"]].append(r["path"])
+    return out
+
+
+def read_trips_routed(spark: SparkSession, root: str,
+                      era_b_from: tuple[int, int] | None = None) -> dict[str, DataFrame]:
+    """One DataFrame per era present under ``root``, each read with its own types."""
+    return {era: read_trips_era(spark, paths, era)
+            for era, paths in route_by_name(spark, root, era_b_from).items() if paths}

@@ -102,3 +102,27 @@ def test_timestamp_column_read_as_micros(spark, tmp_path):
     df.write.parquet(str(tmp_path / "ts"))
     got = spark.read.schema("tpep_pickup_datetime bigint").parquet(str(tmp_path / "ts")).first()[0]
     assert got == 1577872800123456
+
+
+def test_mixed_landing_routed_by_file_name(spark, tmp_path):
+    import pyarrow.parquet as pq
+    from tessera.operators.trips import unify
+    from tessera.sources.trips import read_trips_routed, route_by_name
+    a, b = _era_frames(spark)
+    land = tmp_path / "landing"
+    land.mkdir()
+    pq.write_table(pq.read_table(_one_file(a, tmp_path / "a")), land / "yellow_tripdata_2023-01.parquet")
+    pq.write_table(pq.read_table(_one_file(b, tmp_path / "b")), land / "yellow_tripdata_2023-02.parquet")
+    (land / "notes.txt").write_text("not a trip file")
+    routes = route_by_name(spark, str(land))
+    assert [p.rsplit("/", 1)[-1] for p in routes["a"]] == ["yellow_tripdata_2023-01.parquet"]
+    assert [p.rsplit("/", 1)[-1] for p in routes["b"]] == ["yellow_tripdata_2023-02.parquet"]
+    eras = read_trips_routed(spark, str(land))
+    assert eras["a"].schema == schemas.ERA_A and eras["b"].schema == schemas.ERA_B
+    assert unify(eras.values(), 2020, 2025).count() == 2
+
+
+def _one_file(df, path):
+    import glob
+    df.coalesce(1).write.parquet(str(path))
+    return glob.glob(f"{path}/*.parquet")[0]
