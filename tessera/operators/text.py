@@ -187,7 +187,10 @@ def _input_bytes_bound(df: DataFrame) -> int:
     spark = df.sparkSession
     raw = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
     per = _parse_bytes(raw)
-    return df.rdd.getNumPartitions() * per
+    try:
+        return df.rdd.getNumPartitions() * per
+    except Exception:  # noqa: BLE001 - no RDD view: assume large (keyed plan)
+        return DIRECT_SEARCH_MAX_BYTES + 1
 
 
 def _parse_bytes(v: str) -> int:

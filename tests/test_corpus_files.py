@@ -142,3 +142,12 @@ def test_number_rows_heavy_ties_are_split_and_stable(spark):
     tied = [r[2] for r in rows[:1000]]
     assert all(r[1] == 0 for r in rows[:1000]) and tied == sorted(tied)   # input order
     assert max(r["count"] for r in sizes) < 1000                         # ties split
+
+
+def test_cluster_conf_scales_with_input():
+    from tessera.session import cluster_conf
+    small = cluster_conf(10 << 30)
+    big = cluster_conf(100 << 40)
+    assert int(small["spark.sql.shuffle.partitions"]) == 200
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.enabled"] == "true"
