@@ -102,6 +102,8 @@ def show_partitions(spark: SparkSession, root: str) -> DataFrame:
              .option("pathGlobFilter", "*.parquet")
              .option("basePath", root)
              .load(root))
+    if not {"anio", "mes"} <= set(files.columns):      # no partition written yet
+        return spark.createDataFrame([], "anio int, mes int, partition string")
     return (files.select(F.col("anio").cast("int").alias("anio"),
                          F.col("mes").cast("int").alias("mes"))
             .distinct()
