@@ -119,12 +119,21 @@ def present_files(expected: DataFrame, found: DataFrame,
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
-    """``(path, length)`` of every file below ``root`` (content never read)."""
-    return (spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", glob)
-            .load(root)
-            .select("path", "length"))
+    """``(path, length)`` of every file below ``root`` (content never read).
+
+    A folder that does not exist lists as empty.
+    """
+    from pyspark.errors import AnalysisException
+    try:
+        return (spark.read.format("binaryFile")
+                .option("recursiveFileLookup", "true")
+                .option("pathGlobFilter", glob)
+                .load(root)
+                .select("path", "length"))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], "path string, length bigint")
 
 
 def source_inventory(spark: SparkSession, era_roots: dict[str, str],

@@ -41,3 +41,15 @@ def test_one_era_only(spark, tmp_path):
     _raw(spark, [(1675209600000000, 2.25, 0, -4.0)], B_TYPES, 1).write.parquet(b)
     out = ingest_trips(spark, None, b, str(tmp_path / "t"), years=(2020, 2025))
     assert read_trips_partitioned(spark, out).count() == 1
+
+
+def test_inventory_missing_folders(spark, tmp_path):
+    import pytest
+    from tessera.operators.files import source_inventory
+    a = str(tmp_path / "raw_a")
+    spark.range(3).write.parquet(a)
+    inv = {r.era: r.n_files for r in
+           source_inventory(spark, {"a": a, "b": str(tmp_path / "nope")}).collect()}
+    assert inv["a"] >= 1 and "b" not in inv
+    with pytest.raises(FileNotFoundError):
+        source_inventory(spark, {"a": str(tmp_path / "x"), "b": str(tmp_path / "y")})
