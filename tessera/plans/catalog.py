@@ -24,7 +24,7 @@ from tessera.plans import ingest as IG
 from tessera.plans import materialize as M
 from tessera.session import fresh_dir
 from tessera.sources import testdata as TD
-from tessera.sources.text import read_lines, read_tsv_corpus
+from tessera.sources.text import read_lines, read_lines_positioned, read_tsv_corpus
 from tessera.sources.trips import read_trips_era, read_trips_partitioned
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -446,6 +446,10 @@ tot AS (SELECT count(*) AS cnt FROM c)
         _numbered_titles,
         numbered_sql + "SELECT 'doc_' || lpad(CAST(n AS VARCHAR), CAST(length(CAST(cnt AS VARCHAR)) AS INTEGER), '0')"
         " || '.txt' AS doc_id, title AS content, n FROM n, tot")
+    q["number_corpus_file_order"] = (
+        lambda s, sf: C.number_corpus_file_order(read_lines_positioned(s, M.title_lines(s, sf))),
+        numbered_sql + "SELECT 'doc_' || lpad(CAST(n AS VARCHAR), CAST(length(CAST(cnt AS VARCHAR)) AS INTEGER), '0')"
+        " || '.txt' AS doc_id, title AS content, n FROM n, tot")
     q["doc_map"] = (
         lambda s, sf: C.doc_map(_numbered_titles(s, sf)),
         numbered_sql + "SELECT 'doc_' || lpad(CAST(n AS VARCHAR), CAST(length(CAST(cnt AS VARCHAR)) AS INTEGER), '0')"

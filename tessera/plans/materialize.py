@@ -55,3 +55,15 @@ def tsv_corpus(spark: SparkSession, sf_dir: str) -> str:
     """``p_partkey<TAB>p_name`` lines written from ``part``."""
     return _memo(spark, sf_dir, "cg_corpus", lambda d: write_tsv_corpus(
         testdata.table(spark, sf_dir, "part"), "p_partkey", "p_name", d))
+
+
+def title_lines(spark: SparkSession, sf_dir: str) -> str:
+    """``part.p_name`` as text lines, in ``p_partkey`` order across files.
+
+    Range-partitioned sort: part file i holds the i-th key range, so file
+    order (file name, then line) is key order.
+    """
+    def build(d: str) -> str:
+        part = testdata.table(spark, sf_dir, "part").orderBy("p_partkey")
+        return write_lines(part, "p_name", d)
+    return _memo(spark, sf_dir, "titles", build)

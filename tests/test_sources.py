@@ -126,3 +126,14 @@ def _one_file(df, path):
     import glob
     df.coalesce(1).write.parquet(str(path))
     return glob.glob(f"{path}/*.parquet")[0]
+
+
+def test_title_corpus_file_order_with_blanks(spark, tmp_path):
+    from tessera.operators.corpus import number_corpus_file_order
+    d = str(tmp_path / "titles")
+    _write(d, "a.txt", "  First \n\n Second\n   \nThird\n")
+    _write(d, "b.txt", "\nFourth\n")
+    rows = [(r.doc_id, r.content, r.n) for r in
+            number_corpus_file_order(read_lines_positioned(spark, d)).orderBy("n").collect()]
+    assert rows == [("doc_1.txt", "First", 1), ("doc_2.txt", "Second", 2),
+                    ("doc_3.txt", "Third", 3), ("doc_4.txt", "Fourth", 4)]
