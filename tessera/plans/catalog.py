@@ -436,6 +436,15 @@ FROM trips GROUP BY payment_type ORDER BY viajes DESC, payment_type NULLS LAST""
         target = C.corpus_stats(_docs(s, sf), "content").first()["n_bytes"]
         return C.gen_text(s, int(target))
     q["gen_text"] = (_gen_text, None)
+
+    def _build_text(s, sf):
+        # base text of a quarter of the documents' bytes, grown to their size
+        from tessera.plans.build import build_text
+        size = int(C.corpus_stats(_docs(s, sf), "content").first()["n_bytes"])
+        res = build_text(s, fresh_dir(s, "text_build"), base_bytes=size // 4,
+                         target_bytes=size, min_part_bytes=size // 2)
+        return read_lines(s, res["text"])
+    q["build_text"] = (_build_text, None)
     numbered_sql = """WITH t AS (
   SELECT p_partkey, regexp_replace(p_name, '^\\s+|\\s+$', '', 'g') AS title FROM part),
 c AS (SELECT * FROM t WHERE title <> ''),
@@ -450,6 +459,18 @@ tot AS (SELECT count(*) AS cnt FROM c)
         lambda s, sf: C.number_corpus_file_order(read_lines_positioned(s, M.title_lines(s, sf))),
         numbered_sql + "SELECT 'doc_' || lpad(CAST(n AS VARCHAR), CAST(length(CAST(cnt AS VARCHAR)) AS INTEGER), '0')"
         " || '.txt' AS doc_id, title AS content, n FROM n, tot")
+    def _build_titles(s, sf):
+        from tessera.plans.build import build_title_corpus
+        titles = M.title_lines(s, sf)
+        single = C.title_bytes(read_lines(s, titles).withColumnRenamed("line", "title"))
+        res = build_title_corpus(s, titles, fresh_dir(s, "title_corpus"),
+                                 target_bytes=6 * single, part_bytes=2 * single)
+        return read_tsv_corpus(s, res["corpus"])
+    q["build_title_corpus"] = (
+        _build_titles,
+        numbered_sql + "SELECT 'doc_' || lpad(CAST(r.r * cnt + n AS VARCHAR), "
+        "CAST(length(CAST(cnt * 2 AS VARCHAR)) AS INTEGER), '0') || '.txt' AS doc_id, "
+        "title AS content FROM n, tot, range(0, 2) r(r), range(1, 4) k(k)")
     q["doc_map"] = (
         lambda s, sf: C.doc_map(_numbered_titles(s, sf)),
         numbered_sql + "SELECT 'doc_' || lpad(CAST(n AS VARCHAR), CAST(length(CAST(cnt AS VARCHAR)) AS INTEGER), '0')"

@@ -151,3 +151,38 @@ def test_cluster_conf_scales_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 200
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert big["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_build_title_corpus(spark, tmp_path):
+    from tessera.plans.build import build_title_corpus
+    from tessera.sources.text import read_tsv_corpus
+    d = tmp_path / "titles"
+    d.mkdir()
+    (d / "t.txt").write_text("Alpha\n\nBeta\nGamma\n")
+    plain = build_title_corpus(spark, str(d), str(tmp_path / "plain"))
+    rows = sorted(map(tuple, read_tsv_corpus(spark, plain["corpus"]).collect()))
+    assert rows == [("doc_1.txt", "Alpha"), ("doc_2.txt", "Beta"), ("doc_3.txt", "Gamma")]
+    single = sum(len(t) + 15 for t in ("Alpha", "Beta", "Gamma"))
+    grown = build_title_corpus(spark, str(d), str(tmp_path / "grown"),
+                               target_bytes=6 * single, part_bytes=2 * single)
+    assert (grown["base_repeats"], grown["num_copies"]) == (2, 3)
+    corpus = read_tsv_corpus(spark, grown["corpus"])
+    assert corpus.count() == 3 * 2 * 3
+    assert corpus.select("doc_id").distinct().count() == 6
+    dm = sorted(map(tuple, read_tsv_corpus(spark, grown["doc_map"]).collect()))
+    assert dm[:2] == [("doc_1.txt", "Alpha"), ("doc_2.txt", "Beta")]
+    assert dm[3] == ("doc_4.txt", "Alpha") and len(dm) == 6
+
+
+def test_build_text(spark, tmp_path):
+    from tessera.plans.build import build_text
+    from tessera.sources.text import read_lines
+    res = build_text(spark, str(tmp_path / "t"), base_bytes=5000, target_bytes=20000,
+                     min_part_bytes=8000)
+    lines = read_lines(spark, res["text"])
+    base = C.gen_text(spark, 5000)
+    actual = C.corpus_stats(base).first()["n_bytes"]
+    repeats, copies = C.plan_text_replication(actual, 20000, 8000)
+    assert res["times"] == repeats * copies == 4
+    assert lines.count() == base.count() * res["times"]
+    assert set(r.line for r in lines.collect()) == set(r.line for r in base.collect())
