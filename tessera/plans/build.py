@@ -33,7 +33,8 @@ def build_title_corpus(spark: SparkSession, titles: str, out: str,
     reach ``target_bytes`` (``plan_replication``); the doc map lists the base
     chunk.
     """
-    numbered = number_corpus_file_order(read_lines_positioned(spark, titles))
+    # reused four times below (sizes, count, two writes): written once
+    numbered = number_corpus_file_order(read_lines_positioned(spark, titles)).checkpoint()
     if target_bytes is None:
         repeats, copies = 1, 1
     else:
@@ -55,7 +56,7 @@ def build_text(spark: SparkSession, out: str, base_bytes: int = 2 * MB,
     The base is repeated to at least ``min_part_bytes`` and that block copied
     ``round(target / block)`` times (``plan_text_replication``).
     """
-    base = gen_text(spark, base_bytes, seed)
+    base = gen_text(spark, base_bytes, seed).checkpoint()   # sized, then copied
     if target_bytes is None:
         times = 1
     else:
