@@ -40,15 +40,33 @@ def tokenize(df: DataFrame, text: str = "line", keep: Iterable[str] = (),
 
 
 def words(df: DataFrame, text: str = "line", keep: Iterable[str] = (),
-          stopwords: Iterable[str] | None = None, distinct_per_row: bool = False) -> DataFrame:
+          stopwords: Iterable[str] | DataFrame | None = None,
+          distinct_per_row: bool = False) -> DataFrame:
     """Tokens kept by the word rule (``length > 1``), optionally minus stopwords."""
     arr = token_array(text)
     if distinct_per_row:
         arr = F.array_distinct(arr)
     out = spread(df).select(*keep, F.explode(arr).alias("word")).where(is_word("word"))
-    if stopwords is not None:
-        out = out.where(not_stopword("word", stopwords))
-    return out
+    return remove_stopwords(out, stopwords)
+
+
+def remove_stopwords(df: DataFrame, stopwords: Iterable[str] | DataFrame | None,
+                     word: str = "word") -> DataFrame:
+    """Drop rows whose ``word`` is a stopword.
+
+    A list becomes ``word NOT IN (...)`` (an in-memory hash set in every
+    task).  A DataFrame of stopwords (first column) is a left anti join:
+    broadcast when it has at most ``MAX_BROADCAST_ROWS`` rows (counted
+    first), a shuffle join otherwise.
+    """
+    if stopwords is None:
+        return df
+    if isinstance(stopwords, DataFrame):
+        sw = stopwords.select(F.col(stopwords.columns[0]).alias("__stop")).distinct()
+        small = sw.count() <= MAX_BROADCAST_ROWS
+        return df.join(F.broadcast(sw) if small else sw,
+                       F.col(word) == F.col("__stop"), "left_anti")
+    return df.where(not_stopword(word, stopwords))
 
 
 def word_counts(lines: DataFrame, text: str = "line") -> DataFrame:
@@ -70,7 +88,7 @@ def vocabulary_size(lines: DataFrame, text: str = "line") -> DataFrame:
 
 def doc_frequency_all(corpus: DataFrame, doc_id: str = "doc_id",
                       content: str = "content",
-                      stopwords: Iterable[str] | None = STOPWORDS) -> DataFrame:
+                      stopwords: Iterable[str] | DataFrame | None = STOPWORDS) -> DataFrame:
     """``(word, doc_count)`` for every word: distinct documents containing it."""
     pairs = words(corpus, content, keep=[doc_id], stopwords=stopwords,
                   distinct_per_row=True)

@@ -209,3 +209,14 @@ def test_inverted_index_reuses_the_pairs_exchange(spark):
     out = TX.inverted_index(df, k=2)
     out.collect()
     assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stopwords_as_table_equal_list(spark, corpus):
+    from tessera.functions.text import STOPWORDS
+    table = spark.createDataFrame([(w,) for w in STOPWORDS], "w string")
+    a = sorted(map(tuple, TX.doc_frequency_all(corpus).collect()))
+    b = sorted(map(tuple, TX.doc_frequency_all(corpus, stopwords=table).collect()))
+    assert a == b
+    custom = spark.createDataFrame([("twenty",), ("years",)], "w string")
+    got = {r.word for r in TX.doc_frequency_all(corpus, stopwords=custom).collect()}
+    assert "twenty" not in got and "years" not in got and "the" in got
