@@ -481,6 +481,25 @@ tot AS (SELECT count(*) AS cnt FROM c)
         f"CAST(length(CAST(cnt * {REPEATS} AS VARCHAR)) AS INTEGER), '0') || '.txt' AS doc_id, "
         "title AS content, CAST(k.k AS INTEGER) AS copy "
         f"FROM n, tot, range(0, {REPEATS}) r(r), range(1, {COPIES + 1}) k(k)")
+    replicated_sql = numbered_sql + f""", rep AS (
+  SELECT 'doc_' || lpad(CAST(r.r * cnt + n AS VARCHAR),
+                        CAST(length(CAST(cnt * {REPEATS} AS VARCHAR)) AS INTEGER), '0')
+         || '.txt' AS doc_id, title AS content
+  FROM n, tot, range(0, {REPEATS}) r(r), range(1, {COPIES + 1}) k(k))
+"""
+    q["search_word_replicated"] = (
+        lambda s, sf: TX.search_word(
+            C.replicate_corpus(_numbered_titles(s, sf), REPEATS, COPIES).drop("copy"),
+            TITLE_WORD, TOP_HITS),
+        replicated_sql + "SELECT doc_id, content AS titulo, count(*) AS score FROM ("
+        + _tok("rep", "content", "doc_id, content") + f") WHERE word = '{TITLE_WORD}' "
+        f"GROUP BY doc_id, content ORDER BY score DESC, doc_id, titulo LIMIT {TOP_HITS}")
+    q["doc_frequency_replicated"] = (
+        lambda s, sf: TX.doc_frequency(
+            C.replicate_corpus(_numbered_titles(s, sf), REPEATS, COPIES).drop("copy"), TOP_DOCS),
+        replicated_sql + "SELECT word, count(DISTINCT doc_id) AS doc_count FROM ("
+        + _tok("rep", "content", "doc_id") + f") WHERE length(word) > 1 AND word NOT IN "
+        f"({_STOP_SQL}) GROUP BY word ORDER BY doc_count DESC, word LIMIT {TOP_DOCS}")
     q["corpus_stats"] = (
         lambda s, sf: C.corpus_stats(_docs(s, sf), "content"),
         "SELECT count(*) AS n_docs, CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS n_lines, "
