@@ -45,6 +45,14 @@ def time_queries(spark: SparkSession, qs: dict, sf_dir: str,
             for name, fn in qs.items()}
 
 
+_EVENT_SCHEMA = (
+    "`Event` string, `Properties` map<string,string>, `Stage IDs` array<bigint>, "
+    "`Stage ID` bigint, "
+    "`Stage Info` struct<`Stage ID`: bigint, `Stage Name`: string, `Number of Tasks`: bigint, "
+    "`Submission Time`: bigint, `Completion Time`: bigint>, "
+    "`Task Info` struct<`Launch Time`: bigint, `Finish Time`: bigint>")
+
+
 def stage_timings(spark: SparkSession, event_log: str) -> DataFrame:
     """Per query and stage: tasks, stage time and the longest task, in ms.
 
@@ -54,9 +62,11 @@ def stage_timings(spark: SparkSession, event_log: str) -> DataFrame:
     """
     from pyspark.sql import functions as F
 
-    ev = spark.read.json(event_log)
+    # only the fields used; no schema inference over the whole log (which
+    # also trips over keys differing in case only between event types)
+    ev = spark.read.schema(_EVENT_SCHEMA).json(event_log)
     jobs = (ev.where(F.col("Event") == "SparkListenerJobStart")
-            .select(F.col("Properties").getField("spark.job.description").alias("query"),
+            .select(F.col("Properties").getItem("spark.job.description").alias("query"),
                     F.explode(F.col("`Stage IDs`")).alias("stage_id")))
     info = F.col("`Stage Info`")
     stages = (ev.where(F.col("Event") == "SparkListenerStageCompleted")
