@@ -86,20 +86,54 @@ def vocabulary_size(lines: DataFrame, text: str = "line") -> DataFrame:
         F.countDistinct("word").alias("palabras_unicas"))
 
 
+def unique_ids(corpus: DataFrame, doc_id: str = "doc_id") -> bool:
+    """True when no non-NULL ``doc_id`` occurs on two rows.
+
+    Reads only the id column (partial counts per id, then one maximum), a
+    small fraction of what the (word, doc_id) pair shuffle it can save moves.
+    """
+    m = (corpus.where(F.col(doc_id).isNotNull()).groupBy(doc_id)
+         .agg(F.count(F.lit(1)).alias("__c")).agg(F.max("__c")).first()[0])
+    return m is None or m <= 1
+
+
+def _doc_pairs(corpus: DataFrame, doc_id: str, content: str,
+               stopwords: Iterable[str] | DataFrame | None,
+               ids_unique: bool | None) -> DataFrame:
+    """(word, doc_id) with every pair once.
+
+    Words are de-duplicated inside each row.  When ids are unique that is
+    already every pair once, and no pair shuffle is needed; otherwise (a
+    replicated corpus repeats ids) the pairs are de-duplicated by one
+    exchange on (word, doc_id).  ``ids_unique=None`` checks.
+    """
+    per_row = words(corpus, content, keep=[doc_id], stopwords=stopwords,
+                    distinct_per_row=True)
+    if ids_unique is None:
+        ids_unique = unique_ids(corpus, doc_id)
+    return per_row if ids_unique else per_row.distinct()
+
+
 def doc_frequency_all(corpus: DataFrame, doc_id: str = "doc_id",
                       content: str = "content",
-                      stopwords: Iterable[str] | DataFrame | None = STOPWORDS) -> DataFrame:
-    """``(word, doc_count)`` for every word: distinct documents containing it."""
-    pairs = words(corpus, content, keep=[doc_id], stopwords=stopwords,
-                  distinct_per_row=True)
-    return pairs.groupBy("word").agg(F.countDistinct(doc_id).alias("doc_count"))
+                      stopwords: Iterable[str] | DataFrame | None = STOPWORDS,
+                      ids_unique: bool | None = None) -> DataFrame:
+    """``(word, doc_count)`` for every word: distinct documents containing it.
+
+    ``COUNT(DISTINCT doc_id)`` semantics: NULL ids are not counted (a word
+    seen only under NULL ids has ``doc_count`` 0).  With unique ids the plan
+    is one per-word partial count; otherwise pairs are de-duplicated first.
+    """
+    pairs = _doc_pairs(corpus, doc_id, content, stopwords, ids_unique)
+    return pairs.groupBy("word").agg(F.count(doc_id).alias("doc_count"))
 
 
 def doc_frequency(corpus: DataFrame, k: int = 20, doc_id: str = "doc_id",
                   content: str = "content",
-                  stopwords: Iterable[str] | None = STOPWORDS) -> DataFrame:
+                  stopwords: Iterable[str] | DataFrame | None = STOPWORDS,
+                  ids_unique: bool | None = None) -> DataFrame:
     """Top ``k`` words by document frequency, stopwords removed."""
-    return (doc_frequency_all(corpus, doc_id, content, stopwords)
+    return (doc_frequency_all(corpus, doc_id, content, stopwords, ids_unique)
             .orderBy(F.desc("doc_count"), F.asc("word")).limit(k))
 
 
@@ -125,7 +159,7 @@ def inverted_index(corpus: DataFrame, k: int = 20, doc_id: str = "doc_id",
                    content: str = "content",
                    stopwords: Iterable[str] | None = STOPWORDS,
                    block_size: int = DEFAULT_BLOCK_SIZE,
-                   layout: str = "blocks") -> DataFrame:
+                   layout: str = "blocks", ids_unique: bool | None = None) -> DataFrame:
     """Postings of the top ``k`` words by document frequency.
 
     ``layout="blocks"`` (default) returns ``(word, doc_count, block,
@@ -141,11 +175,16 @@ def inverted_index(corpus: DataFrame, k: int = 20, doc_id: str = "doc_id",
     """
     if k > MAX_BROADCAST_ROWS:
         raise ValueError(f"k={k} exceeds {MAX_BROADCAST_ROWS}; use postings()")
-    # distinct (word, doc_id) pairs: one exchange, read by both branches
-    # below (the plan reuses it, so the corpus is tokenised once)
-    pairs = words(corpus, content, keep=[doc_id], stopwords=stopwords,
-                  distinct_per_row=True).distinct()
-    top = (pairs.groupBy("word").agg(F.count(F.lit(1)).alias("doc_count"))
+    # every (word, doc_id) pair once.  With repeated ids that takes one
+    # exchange, which both branches below read (the plan reuses it); with
+    # unique ids no pair is shuffled at all -- only per-word partial counts,
+    # and then the pairs of the k chosen words.
+    pairs = _doc_pairs(corpus, doc_id, content, stopwords, ids_unique)
+    if layout == "blocks":
+        # a NULL id is listed in no block; dropped once, for both branches
+        # (the same filter on both keeps the shared exchange reusable)
+        pairs = pairs.where(F.col(doc_id).isNotNull())
+    top = (pairs.groupBy("word").agg(F.count(doc_id).alias("doc_count"))
            .orderBy(F.desc("doc_count"), F.asc("word")).limit(k))
     # top has at most k rows (checked above): safe to broadcast
     sel = pairs.join(F.broadcast(top), "word")

@@ -204,13 +204,23 @@ def test_auto_strategy_picks_by_input_size(spark, corpus):
 
 
 def test_inverted_index_reuses_the_pairs_exchange(spark):
-    df = spark.createDataFrame([(i, "alpha beta gamma") for i in range(50)],
+    # repeated ids: the pair exchange is built once and read by both branches
+    df = spark.createDataFrame([(i % 20, "alpha beta gamma") for i in range(50)],
                                "doc_id bigint, content string")
     out = TX.inverted_index(df, k=2)
     out.collect()
     assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_unique_ids_shuffle_no_pairs(spark):
+    df = spark.createDataFrame([(i, "alpha beta gamma") for i in range(50)],
+                               "doc_id bigint, content string")
+    for out in (TX.doc_frequency(df), TX.inverted_index(df, k=2)):
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(doc_id" not in plan and "hashpartitioning(word" in plan
+
+
 def test_stopwords_as_table_equal_list(spark, corpus):
     from tessera.functions.text import STOPWORDS
     table = spark.createDataFrame([(w,) for w in STOPWORDS], "w string")
@@ -220,3 +230,30 @@ def test_stopwords_as_table_equal_list(spark, corpus):
     custom = spark.createDataFrame([("twenty",), ("years",)], "w string")
     got = {r.word for r in TX.doc_frequency_all(corpus, stopwords=custom).collect()}
     assert "twenty" not in got and "years" not in got and "the" in got
+
+
+def test_null_ids_are_not_documents(spark):
+    df = spark.createDataFrame([(None, "alpha beta"), (None, "alpha"), ("d1", "alpha"),
+                                ("d2", "gamma")], "doc_id string, content string")
+    for unique in (None, True, False):
+        got = {r.word: r.doc_count for r in
+               TX.doc_frequency_all(df, stopwords=None, ids_unique=unique).collect()}
+        assert got == {"alpha": 1, "beta": 0, "gamma": 1}, unique
+    single = {r.word: (r.doc_count, r.doc_list) for r in
+              TX.inverted_index(df, k=3, stopwords=None, layout="single").collect()}
+    assert single == {"alpha": (1, "d1"), "gamma": (1, "d2"), "beta": (0, "")}
+    blocks = [tuple(r) for r in TX.inverted_index(df, k=3, stopwords=None).collect()]
+    assert all(r[3] != "" for r in blocks) and len(blocks) == 2
+
+
+def test_unique_id_fast_path_equals_dedup_plan(spark, corpus):
+    uniq = spark.createDataFrame([(f"d{i}", t) for i, (_, t) in enumerate(CORPUS)],
+                                 "doc_id string, content string")
+    assert TX.unique_ids(uniq) and not TX.unique_ids(corpus)
+    for df in (uniq, corpus):
+        a = sorted(map(tuple, TX.doc_frequency_all(df).collect()))
+        b = sorted(map(tuple, TX.doc_frequency_all(df, ids_unique=False).collect()))
+        assert a == b
+        a = sorted(map(tuple, TX.inverted_index(df, k=5).collect()))
+        b = sorted(map(tuple, TX.inverted_index(df, k=5, ids_unique=False).collect()))
+        assert a == b
