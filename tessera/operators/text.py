@@ -209,13 +209,14 @@ def _ranked(groups: DataFrame, doc_id: str, k: int) -> DataFrame:
 
 
 def search_word(corpus: DataFrame, word: str, k: int = 10, doc_id: str = "doc_id",
-                content: str = "content", strategy: str = "auto") -> DataFrame:
+                content: str = "content", strategy: str = "auto",
+                ids_unique: bool | None = None) -> DataFrame:
     """Documents containing ``word``, scored by its term frequency.
 
     Output ``(doc_id, titulo, score)``; the group is (doc_id, content), so a
     replicated row adds its count again.  No stopword or length filter.
     """
-    return search_all_words(corpus, [word], k, doc_id, content, strategy)
+    return search_all_words(corpus, [word], k, doc_id, content, strategy, ids_unique)
 
 
 def _hits(corpus: DataFrame, ts: list[str], doc_id: str, content: str,
@@ -274,9 +275,24 @@ def _direct(hits: DataFrame, doc_id: str, content: str, k: int) -> DataFrame:
     return _ranked(groups, doc_id, k)
 
 
+def _rows_plan(hits: DataFrame, doc_id: str, content: str, k: int) -> DataFrame:
+    """Search when no non-NULL id repeats: each such row is its own group.
+
+    Rows are ranked directly (a per-task top k, no aggregation).  NULL ids
+    can still share a group, per text; only those rows are aggregated.
+    """
+    single = (hits.where(F.col(doc_id).isNotNull())
+              .select(doc_id, F.col(content).alias("titulo"),
+                      F.col("_tf").cast("bigint").alias("score")))
+    nulls = (hits.where(F.col(doc_id).isNull()).groupBy(doc_id, content)
+             .agg(F.sum("_tf").cast("bigint").alias("score"))
+             .select(doc_id, F.col(content).alias("titulo"), "score"))
+    return _ranked(single.unionByName(nulls), doc_id, k)
+
+
 def search_all_words(corpus: DataFrame, terms: Iterable[str], k: int = 10,
                      doc_id: str = "doc_id", content: str = "content",
-                     strategy: str = "auto") -> DataFrame:
+                     strategy: str = "auto", ids_unique: bool | None = None) -> DataFrame:
     """Documents containing every term (AND), scored by summed frequencies.
 
     A group (doc_id, content) always has identical text in all its rows, so
@@ -297,17 +313,29 @@ def search_all_words(corpus: DataFrame, terms: Iterable[str], k: int = 10,
        ever shared a key, step 3 sees two texts under one key and the search
        falls back to the direct plan.
 
-    ``strategy="auto"`` (default) takes the direct plan only when the whole
-    input is provably small -- at most ``DIRECT_SEARCH_MAX_BYTES`` by the
-    upper bound (scan partitions x ``spark.sql.files.maxPartitionBytes``) --
-    so its shuffle is bounded too; otherwise the keyed plan.
+    ``strategy="rows"`` is for corpora where no non-NULL id repeats: every
+    group is then one row, ranked without any aggregation.
+
+    ``strategy="auto"`` (default) checks the ids (``unique_ids``, reading the
+    id column only, unless ``ids_unique`` is given) and takes the rows plan
+    when they are unique.  Otherwise it takes the direct plan only when the
+    whole input is provably small -- at most ``DIRECT_SEARCH_MAX_BYTES`` by
+    the upper bound (scan partitions x ``spark.sql.files.maxPartitionBytes``)
+    -- so its shuffle is bounded too, and the keyed plan beyond that.
     """
     ts = normalise_terms(terms)
     if k > MAX_BROADCAST_ROWS:
         raise ValueError(f"k={k} exceeds {MAX_BROADCAST_ROWS}")
     hits = _hits(corpus, ts, doc_id, content)
     if strategy == "auto":
-        strategy = "direct" if _input_bytes_bound(corpus) <= DIRECT_SEARCH_MAX_BYTES else "keyed"
+        if ids_unique if ids_unique is not None else unique_ids(corpus, doc_id):
+            strategy = "rows"
+        elif _input_bytes_bound(corpus) <= DIRECT_SEARCH_MAX_BYTES:
+            strategy = "direct"
+        else:
+            strategy = "keyed"
+    if strategy == "rows":
+        return _rows_plan(hits, doc_id, content, k)
     if strategy == "direct":
         return _direct(hits, doc_id, content, k)
     if strategy != "keyed":

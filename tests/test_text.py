@@ -169,6 +169,19 @@ def _random_corpus(spark, seed, n=60):
     return spark.createDataFrame(rows, "doc_id string, content string")
 
 
+def test_rows_plan_for_unique_ids(spark):
+    df = spark.createDataFrame(
+        [("a", "red red"), ("b", "red"), (None, "red"), (None, "red"), (None, "red blue"),
+         ("c", "blue")], "doc_id string, content string")
+    assert TX.unique_ids(df)
+    rows = [tuple(r) for r in TX.search_word(df, "red", strategy="rows").collect()]
+    assert rows == [tuple(r) for r in TX.search_word(df, "red", strategy="direct").collect()]
+    assert rows[:2] == [("a", "red red", 2), (None, "red", 2)]
+    out = TX.search_word(df.where("doc_id is not null"), "red")      # auto -> rows
+    out.collect()
+    assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3, 4])
 def test_keyed_search_equals_direct(spark, seed):
     corpus = _random_corpus(spark, seed)
