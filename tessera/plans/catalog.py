@@ -534,6 +534,14 @@ e AS (
   SELECT DISTINCT printf('yellow_tripdata_%04d-%02d.parquet',
                          year(l_shipdate), month(l_shipdate)) AS file_name FROM lineitem)
 SELECT * FROM e WHERE file_name NOT IN (SELECT file_name FROM f)""")
+    def _stage_timings(s, sf):
+        # the six analytical trip queries, timed like an interactive session
+        from tessera.plans.timing import time_queries, timings_frame
+        names = ["trip_total", "distance_stats", "trips_by_hour", "payment_methods",
+                 "top_trips", "monthly_revenue"]
+        return timings_frame(s, time_queries(s, {n: q[n][0] for n in names}, sf,
+                                             count_rows=True))
+    q["stage_timings"] = (_stage_timings, None)
     q["source_inventory"] = (
         lambda s, sf: FL.source_inventory(
             s, {"a": M.era_path(s, sf, "a"), "b": M.era_path(s, sf, "b")}),

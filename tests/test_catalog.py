@@ -12,7 +12,7 @@ from tests.conftest import SF_SMALL
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations"]
-ROWS_ONLY = {"gen_sentences", "gen_text", "build_text", "source_inventory"}
+ROWS_ONLY = {"gen_sentences", "gen_text", "build_text", "source_inventory", "stage_timings"}
 
 
 def _norm(v):
