@@ -41,6 +41,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _driver_memory(cap_gb: int = 8) -> str:
+    """At most ``cap_gb`` and at most 60 % of this machine's memory."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        gb = max(1, min(cap_gb, int(total * 0.6) >> 30))
+    except (ValueError, OSError, AttributeError):
+        gb = 2
+    return f"{gb}g"
+
+
 def local_session(cpus: int | None = None, app: str = "tessera",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -51,7 +61,7 @@ def local_session(cpus: int | None = None, app: str = "tessera",
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(parts))
-         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g"))
+         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", _driver_memory()))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     conf = {**SEMANTIC_CONF, **ADAPTIVE_CONF, **(extra or {})}
     for k, v in conf.items():
