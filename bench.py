@@ -33,7 +33,10 @@ def main() -> None:
     log_dir = tempfile.mkdtemp(prefix="tessera-bench-events-", dir="/tmp")
     spark = local_session(cpus, app="tessera-bench",
                           extra={"spark.eventLog.enabled": "true",
-                                 "spark.eventLog.dir": log_dir})
+                                 "spark.eventLog.dir": log_dir,
+                                 # one plain JSON-lines file, readable without codecs
+                                 "spark.eventLog.rolling.enabled": "false",
+                                 "spark.eventLog.compress": "false"})
     prep = {}
     for name, build in (("landing", M.trip_landing), ("taxi_part", M.trips_table),
                         ("wm_input", M.text_lines), ("cg_corpus", M.tsv_corpus)):
@@ -65,10 +68,12 @@ def main() -> None:
     try:
         import glob
         from tessera.plans.timing import query_stage_summary
-        reader = local_session(2, app="tessera-bench-log")
+        reader = local_session(2, app="tessera-bench-log",
+                               extra={"spark.eventLog.enabled": "false"})
         last = f"p{runs - 1}:"
+        logs = [f for f in glob.glob(f"{log_dir}/*") if not os.path.isdir(f)]
         summary = {r["query"][len(last):]: {"stages": r["stages"], "max_task_ms": r["max_task_ms"]}
-                   for r in query_stage_summary(reader, glob.glob(f"{log_dir}/*")).collect()
+                   for r in query_stage_summary(reader, logs).collect()
                    if r["query"].startswith(last)}
         out["stages"] = dict(sorted(summary.items()))
         reader.stop()

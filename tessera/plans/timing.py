@@ -53,11 +53,11 @@ _EVENT_SCHEMA = (
     "`Task Info` struct<`Launch Time`: bigint, `Finish Time`: bigint>")
 
 
-def stage_timings(spark: SparkSession, event_log: str) -> DataFrame:
+def stage_timings(spark: SparkSession, event_log: str | list[str]) -> DataFrame:
     """Per query and stage: tasks, stage time and the longest task, in ms.
 
-    Read from Spark's event log (``spark.eventLog.enabled``; JSON lines) with
-    Spark itself.  Stages are tied to queries through the job description
+    Read from Spark's event log (``spark.eventLog.enabled``; JSON lines,
+    written with ``spark.eventLog.compress=false``) with Spark itself.  Stages are tied to queries through the job description
     set by ``time_query``; the longest task against the median shows skew.
     """
     from pyspark.sql import functions as F
@@ -88,7 +88,7 @@ def stage_timings(spark: SparkSession, event_log: str) -> DataFrame:
                     "max_task_ms", "median_task_ms"))
 
 
-def query_stage_summary(spark: SparkSession, event_log: str) -> DataFrame:
+def query_stage_summary(spark: SparkSession, event_log: str | list[str]) -> DataFrame:
     """Per query: stages, summed stage time, tasks and the longest task."""
     from pyspark.sql import functions as F
     return (stage_timings(spark, event_log).groupBy("query")
