@@ -176,3 +176,38 @@ def test_rebalanced_write_same_rows_capped_files(spark, landed, tmp_path):
     t = read_trips_partitioned(spark, out)
     assert t.count() == 4
     assert len(glob.glob(f"{out}/anio=*/mes=*/*.parquet")) == 4   # one row per file
+
+
+def test_rebalance_splits_a_hot_month(spark, tmp_path):
+    """One month with a third of all rows is written by several tasks."""
+    import glob
+    from pyspark.sql import functions as F
+    base = 1577836800000000                       # 2020-01-01
+    day = 86_400_000_000
+    n = 3000
+    raw = spark.range(n, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(base))                 # the hot month
+         .otherwise(F.lit(base) + (F.col("id") % 700 + 40) * day).alias("p"),
+        (F.col("id") % 10).cast("double").alias("d"))
+    rows = raw.select(F.lit(1).cast("bigint").alias("vendorid"),
+                      F.col("p").alias("tpep_pickup_datetime"),
+                      F.col("p").alias("tpep_dropoff_datetime"),
+                      F.lit(1.0).alias("passenger_count"), F.col("d").alias("trip_distance"),
+                      F.lit(1.0).alias("ratecodeid"), F.lit("N").alias("store_and_fwd_flag"),
+                      F.lit(1).cast("bigint").alias("pulocationid"),
+                      F.lit(2).cast("bigint").alias("dolocationid"),
+                      F.lit(1).cast("bigint").alias("payment_type"),
+                      *[F.lit(1.0).alias(c) for c in (
+                          "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
+                          "improvement_surcharge", "total_amount", "congestion_surcharge")])
+    a = str(tmp_path / "raw_a")
+    rows.write.parquet(a)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    try:
+        out = ingest_trips(spark, a, None, str(tmp_path / "t"), years=(2020, 2025),
+                           rebalance=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    assert read_trips_partitioned(spark, out).count() == n
+    hot = glob.glob(f"{out}/anio=2020/mes=1/*.parquet")
+    assert len(hot) > 1
