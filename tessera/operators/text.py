@@ -148,8 +148,12 @@ def postings(corpus: DataFrame, doc_id: str = "doc_id", content: str = "content"
             .groupBy("word", doc_id).agg(F.count(F.lit(1)).alias("tf")))
 
 
+def _integral(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
+
+
 def _block_of(doc: str, dtype: T.DataType, n_blocks: Column, block_size: int) -> Column:
-    if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+    if _integral(dtype):
         # id ranges, exact integer floor division: blocks come out in id order
         return F.expr(f"(`{doc}` - pmod(`{doc}`, {block_size})) div {block_size}").cast("bigint")
     return F.pmod(F.xxhash64(F.col(doc)), n_blocks)
@@ -163,11 +167,13 @@ def inverted_index(corpus: DataFrame, k: int = 20, doc_id: str = "doc_id",
     """Postings of the top ``k`` words by document frequency.
 
     ``layout="blocks"`` (default) returns ``(word, doc_count, block,
-    doc_list)``: each row lists, comma-joined and sorted, the ids of one
-    block -- an id range ``[block*block_size, (block+1)*block_size)`` for
-    integral ids, a hash bucket of about ``block_size`` ids otherwise -- so no
-    row and no task ever holds more than ``block_size`` ids of one word.
-    Concatenating a word's blocks in block order gives its full list.
+    doc_list)``: each row lists, comma-joined and sorted, at most
+    ``block_size`` ids of one word.  For integral ids a block is the id range
+    ``[block*block_size, (block+1)*block_size)`` and concatenating a word's
+    blocks in block order gives its full sorted list; other ids are hashed
+    into buckets of about ``block_size`` ids, each cut into sorted slices of
+    at most ``block_size`` (block = bucket * 2^20 + slice).  No row and no
+    task holds a whole postings list.
 
     ``layout="single"`` returns one ``(word, doc_count, doc_list)`` row per
     word, the whole list in one value; its size grows with the corpus, so use
@@ -197,9 +203,22 @@ def inverted_index(corpus: DataFrame, k: int = 20, doc_id: str = "doc_id",
         raise ValueError(f"unknown layout {layout!r}")
     n_blocks = F.greatest(F.lit(1), F.ceil(F.col("doc_count") / F.lit(block_size)))
     blocked = sel.withColumn("block", _block_of(doc_id, ids_type, n_blocks, block_size))
-    return (blocked.groupBy("word", "doc_count", "block")
-            .agg(F.array_join(F.array_sort(F.collect_list(doc_id)).cast("array<string>"),
-                              ",").alias("doc_list")))
+    lists = (blocked.groupBy("word", "doc_count", "block")
+             .agg(F.array_sort(F.collect_list(doc_id)).cast("array<string>").alias("ids")))
+    if _integral(ids_type):
+        # an id range holds at most block_size ids
+        return lists.select("word", "doc_count", "block",
+                            F.array_join("ids", ",").alias("doc_list"))
+    # a hash bucket holds about block_size ids: cut its sorted list into
+    # slices of at most block_size; block = bucket * 2^20 + slice
+    n = F.ceil(F.size("ids") / F.lit(block_size)).cast("int")
+    slices = F.transform(F.sequence(F.lit(0), n - 1),
+                         lambda i: F.slice("ids", i * block_size + 1, block_size))
+    return (lists.select("word", "doc_count", "block",
+                         F.posexplode(slices).alias("part", "chunk"))
+            .select("word", "doc_count",
+                    (F.col("block") * F.lit(1 << 20) + F.col("part")).alias("block"),
+                    F.array_join("chunk", ",").alias("doc_list")))
 
 
 def _ranked(groups: DataFrame, doc_id: str, k: int) -> DataFrame:

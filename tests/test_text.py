@@ -89,11 +89,19 @@ def test_inverted_index_blocks_bounded_and_complete(spark):
     assert sorted(by_word["beta"]) == [i for i in range(1, 26) if i % 3]
 
 
-def test_inverted_index_blocks_string_ids(corpus):
+def test_inverted_index_blocks_string_ids(corpus, spark):
     rows = TX.inverted_index(corpus, k=1, block_size=2).collect()
     ids = sorted(i for r in rows for i in r.doc_list.split(","))
     assert ids == ["doc_1.txt", "doc_2.txt", "doc_3.txt"]
-    assert all(len(r.doc_list.split(",")) <= 3 for r in rows)
+    assert all(len(r.doc_list.split(",")) <= 2 for r in rows)
+    big = spark.createDataFrame([(f"id{i:04d}", "alpha") for i in range(500)],
+                                "doc_id string, content string")
+    rows = TX.inverted_index(big, k=1, block_size=7).collect()
+    sizes = [len(r.doc_list.split(",")) for r in rows]
+    assert max(sizes) <= 7 and sum(sizes) == 500 and len({r.block for r in rows}) == len(rows)
+    for r in rows:
+        ids = r.doc_list.split(",")
+        assert ids == sorted(ids)
 
 
 def test_search_word_group_is_id_and_content(corpus):
