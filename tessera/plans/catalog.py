@@ -223,7 +223,9 @@ def _stream_fresh(spark, sf):
     from tessera.streaming.ingest import run_trip_ingest
     out = fresh_dir(spark, "taxi_part_stream")
     dirs = {"a": M.era_path(spark, sf, "a"), "b": M.era_path(spark, sf, "b")}
-    run_trip_ingest(spark, dirs, out, out + "-checkpoint", years=YEARS)
+    # bounded micro-batches: the check covers exactly-once over many batches
+    run_trip_ingest(spark, dirs, out, out + "-checkpoint", years=YEARS,
+                    max_files_per_trigger=16)
     return read_trips_partitioned(spark, out)
 
 

@@ -27,3 +27,14 @@ def test_stream_ingest_is_incremental_and_idempotent(spark, tmp_path):
         spark, ingest_trips(spark, a, b, str(tmp_path / "batch"), years=(2020, 2025)))
     assert sorted(map(tuple, streamed.collect()), key=repr) == \
         sorted(map(tuple, batch.collect()), key=repr)
+
+
+def test_bounded_micro_batches_same_result(spark, tmp_path):
+    import os
+    a = str(tmp_path / "raw_a")
+    for i, row in enumerate(ROWS_A):                 # one file per row
+        _raw(spark, [row], A_TYPES, 1.0).coalesce(1).write.mode("append").parquet(a)
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    run_trip_ingest(spark, {"a": a}, out, ck, years=(2020, 2025), max_files_per_trigger=1)
+    assert len(os.listdir(f"{ck}/commits")) == len(ROWS_A)          # one batch per file
+    assert read_trips_partitioned(spark, out).count() == 2
