@@ -97,21 +97,63 @@ def unique_ids(corpus: DataFrame, doc_id: str = "doc_id") -> bool:
     return m is None or m <= 1
 
 
-def _doc_pairs(corpus: DataFrame, doc_id: str, content: str,
-               stopwords: Iterable[str] | DataFrame | None,
-               ids_unique: bool | None) -> DataFrame:
-    """(word, doc_id) with every pair once.
-
-    Words are de-duplicated inside each row.  When ids are unique that is
-    already every pair once, and no pair shuffle is needed; otherwise (a
-    replicated corpus repeats ids) the pairs are de-duplicated by one
-    exchange on (word, doc_id).  ``ids_unique=None`` checks.
+def repeated_ids(corpus: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """``(__rid)``: the non-NULL ids that occur on more than one row."""
+    return (corpus.where(F.col(doc_id).isNotNull()).groupBy(doc_id)
+            .agg(F.count(F.lit(1)).alias("__c")).where(F.col("__c") > 1)
+            .select(F.col(doc_id).alias("__rid")))
+
+
+def _id_plan(corpus: DataFrame, doc_id: str, ids_unique: bool | None):
+    """How to count documents: ``("unique" | "hybrid" | "dedup", repeated)``.
+
+    ``ids_unique`` True/False forces the unique or the de-duplicating plan.
+    Otherwise the repeated ids are found (id column only) and written once:
+    none -> "unique"; at most ``MAX_BROADCAST_ROWS`` -> "hybrid" (they are
+    broadcast); more -> "dedup".
+    """
+    if ids_unique is True:
+        return "unique", None
+    if ids_unique is False:
+        return "dedup", None
+    rep = repeated_ids(corpus, doc_id).checkpoint()
+    n = rep.count()
+    if n == 0:
+        return "unique", None
+    return ("hybrid", rep) if n <= MAX_BROADCAST_ROWS else ("dedup", None)
+
+
+def _per_row(corpus: DataFrame, doc_id: str, content: str, stopwords, keep=()) -> DataFrame:
+    return words(corpus, content, keep=[doc_id, *keep], stopwords=stopwords,
+                 distinct_per_row=True)
+
+
+def _doc_counts(corpus: DataFrame, doc_id: str, content: str, stopwords,
+                plan: str, rep: DataFrame | None) -> DataFrame:
+    """``(word, doc_count)``, counting distinct non-NULL ids, by ``plan``.
+
+    * unique: per-row distinct words already hold every (word, doc_id) once:
+      a per-word count (partial counts per task, one small exchange);
+    * dedup: (word, doc_id) pairs de-duplicated by one exchange, then counted;
+    * hybrid: rows are tagged with their id when it repeats (broadcast of the
+      repeated ids) and aggregated once on (word, repeated id or none): rows
+      with unique ids collapse map-side into one count per word, copies into
+      one row per (word, id), each then counting 1.  Only the copies' pairs
+      cross the shuffle -- a document copied into a third of all rows costs
+      its own distinct words, not a third of the corpus.
     """
-    per_row = words(corpus, content, keep=[doc_id], stopwords=stopwords,
-                    distinct_per_row=True)
-    if ids_unique is None:
-        ids_unique = unique_ids(corpus, doc_id)
-    return per_row if ids_unique else per_row.distinct()
+    if plan == "unique":
+        return (_per_row(corpus, doc_id, content, stopwords)
+                .groupBy("word").agg(F.count(doc_id).alias("doc_count")))
+    if plan == "dedup":
+        return (_per_row(corpus, doc_id, content, stopwords).distinct()
+                .groupBy("word").agg(F.count(doc_id).alias("doc_count")))
+    tagged = corpus.join(F.broadcast(rep), F.col(doc_id) == F.col("__rid"), "left")
+    stage = (_per_row(tagged, doc_id, content, stopwords, keep=["__rid"])
+             .groupBy("word", "__rid").agg(F.count(doc_id).alias("__c")))
+    return stage.groupBy("word").agg(
+        F.sum(F.when(F.col("__rid").isNull(), F.col("__c")).otherwise(F.lit(1)))
+        .cast("bigint").alias("doc_count"))
 
 
 def doc_frequency_all(corpus: DataFrame, doc_id: str = "doc_id",
@@ -121,11 +163,12 @@ def doc_frequency_all(corpus: DataFrame, doc_id: str = "doc_id",
     """``(word, doc_count)`` for every word: distinct documents containing it.
 
     ``COUNT(DISTINCT doc_id)`` semantics: NULL ids are not counted (a word
-    seen only under NULL ids has ``doc_count`` 0).  With unique ids the plan
-    is one per-word partial count; otherwise pairs are de-duplicated first.
+    seen only under NULL ids has ``doc_count`` 0).  The plan follows the ids
+    (``_id_plan``): no pair shuffle when they are unique, only the copies'
+    pairs when a few ids repeat, all pairs de-duplicated otherwise.
     """
-    pairs = _doc_pairs(corpus, doc_id, content, stopwords, ids_unique)
-    return pairs.groupBy("word").agg(F.count(doc_id).alias("doc_count"))
+    plan, rep = _id_plan(corpus, doc_id, ids_unique)
+    return _doc_counts(corpus, doc_id, content, stopwords, plan, rep)
 
 
 def doc_frequency(corpus: DataFrame, k: int = 20, doc_id: str = "doc_id",
@@ -181,30 +224,37 @@ def inverted_index(corpus: DataFrame, k: int = 20, doc_id: str = "doc_id",
     """
     if k > MAX_BROADCAST_ROWS:
         raise ValueError(f"k={k} exceeds {MAX_BROADCAST_ROWS}; use postings()")
-    # every (word, doc_id) pair once.  With repeated ids that takes one
-    # exchange, which both branches below read (the plan reuses it); with
-    # unique ids no pair is shuffled at all -- only per-word partial counts,
-    # and then the pairs of the k chosen words.
-    pairs = _doc_pairs(corpus, doc_id, content, stopwords, ids_unique)
-    if layout == "blocks":
-        # a NULL id is listed in no block; dropped once, for both branches
-        # (the same filter on both keeps the shared exchange reusable)
-        pairs = pairs.where(F.col(doc_id).isNotNull())
-    top = (pairs.groupBy("word").agg(F.count(doc_id).alias("doc_count"))
-           .orderBy(F.desc("doc_count"), F.asc("word")).limit(k))
+    plan, rep = _id_plan(corpus, doc_id, ids_unique)
+    if plan == "dedup":
+        # every (word, doc_id) pair once: one exchange, which both branches
+        # below read (the plan reuses it), so the corpus is tokenised once
+        pairs = _per_row(corpus, doc_id, content, stopwords).distinct()
+        if layout == "blocks":
+            # a NULL id is listed in no block; dropped for both branches
+            pairs = pairs.where(F.col(doc_id).isNotNull())
+        counts = pairs.groupBy("word").agg(F.count(doc_id).alias("doc_count"))
+    else:
+        # counts without shuffling pairs; the postings of the k chosen words
+        # are read again below (copies collapse in the set aggregation)
+        counts = _doc_counts(corpus, doc_id, content, stopwords, plan, rep)
+        pairs = _per_row(corpus, doc_id, content, stopwords)
+        if layout == "blocks":
+            counts = counts.where(F.col("doc_count") > 0)
+            pairs = pairs.where(F.col(doc_id).isNotNull())
+    top = counts.orderBy(F.desc("doc_count"), F.asc("word")).limit(k)
     # top has at most k rows (checked above): safe to broadcast
     sel = pairs.join(F.broadcast(top), "word")
     ids_type = corpus.schema[doc_id].dataType
     if layout == "single":
         return (sel.groupBy("word", "doc_count")
-                .agg(F.array_join(F.array_sort(F.collect_list(doc_id)).cast("array<string>"),
+                .agg(F.array_join(F.array_sort(F.collect_set(doc_id)).cast("array<string>"),
                                   ",").alias("doc_list")))
     if layout != "blocks":
         raise ValueError(f"unknown layout {layout!r}")
     n_blocks = F.greatest(F.lit(1), F.ceil(F.col("doc_count") / F.lit(block_size)))
     blocked = sel.withColumn("block", _block_of(doc_id, ids_type, n_blocks, block_size))
     lists = (blocked.groupBy("word", "doc_count", "block")
-             .agg(F.array_sort(F.collect_list(doc_id)).cast("array<string>").alias("ids")))
+             .agg(F.array_sort(F.collect_set(doc_id)).cast("array<string>").alias("ids")))
     if _integral(ids_type):
         # an id range holds at most block_size ids
         return lists.select("word", "doc_count", "block",

@@ -225,10 +225,10 @@ def test_auto_strategy_picks_by_input_size(spark, corpus):
 
 
 def test_inverted_index_reuses_the_pairs_exchange(spark):
-    # repeated ids: the pair exchange is built once and read by both branches
+    # the de-duplicating plan: its pair exchange is built once, read twice
     df = spark.createDataFrame([(i % 20, "alpha beta gamma") for i in range(50)],
                                "doc_id bigint, content string")
-    out = TX.inverted_index(df, k=2)
+    out = TX.inverted_index(df, k=2, ids_unique=False)
     out.collect()
     assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
 
@@ -278,3 +278,22 @@ def test_unique_id_fast_path_equals_dedup_plan(spark, corpus):
         a = sorted(map(tuple, TX.inverted_index(df, k=5).collect()))
         b = sorted(map(tuple, TX.inverted_index(df, k=5, ids_unique=False).collect()))
         assert a == b
+
+
+def test_hybrid_plan_for_a_hot_group_of_copies(spark):
+    # a third of all rows are copies of one document; the other ids are unique
+    rows = [(f"d{i}", f"alpha w{i % 7} beta{i % 3}") for i in range(60)]
+    rows += [("hot", "alpha gamma delta")] * 30 + [(None, "alpha zeta")] * 3
+    df = spark.createDataFrame(rows, "doc_id string, content string")
+    plan, rep = TX._id_plan(df, "doc_id", None)
+    assert plan == "hybrid" and [r[0] for r in rep.collect()] == ["hot"]
+    auto = sorted(map(tuple, TX.doc_frequency_all(df, stopwords=None).collect()))
+    dedup = sorted(map(tuple, TX.doc_frequency_all(df, stopwords=None, ids_unique=False).collect()))
+    assert auto == dedup
+    assert dict(auto)["alpha"] == 61 and dict(auto)["gamma"] == 1 and dict(auto)["zeta"] == 0
+    for layout in ("blocks", "single"):
+        a = sorted(map(tuple, TX.inverted_index(df, k=6, stopwords=None, layout=layout,
+                                                block_size=8).collect()))
+        b = sorted(map(tuple, TX.inverted_index(df, k=6, stopwords=None, layout=layout,
+                                                block_size=8, ids_unique=False).collect()))
+        assert a == b, layout
