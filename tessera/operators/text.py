@@ -289,7 +289,7 @@ def search_word(corpus: DataFrame, word: str, k: int = 10, doc_id: str = "doc_id
 
 
 def _hits(corpus: DataFrame, ts: list[str], doc_id: str, content: str,
-          spread_input: bool = True) -> DataFrame:
+          spread_input: bool = True, keep: Iterable[str] = ()) -> DataFrame:
     """Rows holding every term, with ``_tf`` = occurrences of the terms.
 
     A substring test (necessary condition) runs before the regex split, so
@@ -298,8 +298,8 @@ def _hits(corpus: DataFrame, ts: list[str], doc_id: str, content: str,
     pre = may_contain_all(content, ts) if len(ts) > 1 else may_contain_any(content, ts)
     rows = corpus.where(pre)
     arr = ((spread(rows) if spread_input else rows)
-           .select(doc_id, content, token_array(content).alias("_tokens")))
-    scored = arr.select(doc_id, content,
+           .select(doc_id, content, *keep, token_array(content).alias("_tokens")))
+    scored = arr.select(doc_id, content, *keep,
                         count_matches(F.col("_tokens"), ts).alias("_tf"),
                         distinct_matches(F.col("_tokens"), ts).alias("_nd"))
     return scored.where(F.col("_nd") == len(ts)).drop("_nd")
@@ -359,6 +359,22 @@ def _rows_plan(hits: DataFrame, doc_id: str, content: str, k: int) -> DataFrame:
     return _ranked(single.unionByName(nulls), doc_id, k)
 
 
+def _hybrid_plan(corpus: DataFrame, ts: list[str], doc_id: str, content: str, k: int,
+                 rep: DataFrame) -> DataFrame:
+    """A few ids repeat (``rep``, broadcast): rows with a unique id are ranked
+    as rows; only copies (and NULL ids) are grouped on (doc_id, content),
+    where copies in one task collapse map-side."""
+    tagged = corpus.join(F.broadcast(rep), F.col(doc_id) == F.col("__rid"), "left")
+    hits = _hits(tagged, ts, doc_id, content, keep=["__rid"])
+    once = F.col("__rid").isNull() & F.col(doc_id).isNotNull()
+    single = hits.where(once).select(doc_id, F.col(content).alias("titulo"),
+                                     F.col("_tf").cast("bigint").alias("score"))
+    grouped = (hits.where(~once).groupBy(doc_id, content)
+               .agg(F.sum("_tf").cast("bigint").alias("score"))
+               .select(doc_id, F.col(content).alias("titulo"), "score"))
+    return _ranked(single.unionByName(grouped), doc_id, k)
+
+
 def search_all_words(corpus: DataFrame, terms: Iterable[str], k: int = 10,
                      doc_id: str = "doc_id", content: str = "content",
                      strategy: str = "auto", ids_unique: bool | None = None) -> DataFrame:
@@ -385,24 +401,28 @@ def search_all_words(corpus: DataFrame, terms: Iterable[str], k: int = 10,
     ``strategy="rows"`` is for corpora where no non-NULL id repeats: every
     group is then one row, ranked without any aggregation.
 
-    ``strategy="auto"`` (default) checks the ids (``unique_ids``, reading the
-    id column only, unless ``ids_unique`` is given) and takes the rows plan
-    when they are unique.  Otherwise it takes the direct plan only when the
-    whole input is provably small -- at most ``DIRECT_SEARCH_MAX_BYTES`` by
-    the upper bound (scan partitions x ``spark.sql.files.maxPartitionBytes``)
-    -- so its shuffle is bounded too, and the keyed plan beyond that.
+    ``strategy="auto"`` (default) looks at the ids (``_id_plan``: the id
+    column only, unless ``ids_unique`` is given): unique -> the rows plan; a
+    few repeated ids -> rows for the unique ones and grouping for the copies
+    only; many -> the direct plan when the whole input is provably small (at
+    most ``DIRECT_SEARCH_MAX_BYTES`` by the upper bound scan partitions x
+    ``spark.sql.files.maxPartitionBytes``, which bounds its shuffle), and
+    the keyed plan beyond that.
     """
     ts = normalise_terms(terms)
     if k > MAX_BROADCAST_ROWS:
         raise ValueError(f"k={k} exceeds {MAX_BROADCAST_ROWS}")
-    hits = _hits(corpus, ts, doc_id, content)
     if strategy == "auto":
-        if ids_unique if ids_unique is not None else unique_ids(corpus, doc_id):
+        plan, rep = _id_plan(corpus, doc_id, ids_unique)
+        if plan == "unique":
             strategy = "rows"
+        elif plan == "hybrid":
+            return _hybrid_plan(corpus, ts, doc_id, content, k, rep)
         elif _input_bytes_bound(corpus) <= DIRECT_SEARCH_MAX_BYTES:
             strategy = "direct"
         else:
             strategy = "keyed"
+    hits = _hits(corpus, ts, doc_id, content)
     if strategy == "rows":
         return _rows_plan(hits, doc_id, content, k)
     if strategy == "direct":

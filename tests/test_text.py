@@ -200,6 +200,8 @@ def test_keyed_search_equals_direct(spark, seed):
             direct = [tuple(r) for r in
                       TX.search_all_words(corpus, terms, k, strategy="direct").collect()]
             assert keyed == direct, (terms, k)
+            auto = [tuple(r) for r in TX.search_all_words(corpus, terms, k).collect()]
+            assert auto == direct, ("auto", terms, k)
 
 
 def test_keyed_search_falls_back_on_key_collision(spark, corpus, monkeypatch):
