@@ -17,6 +17,9 @@ from pyspark.sql import SparkSession
 SEMANTIC_CONF = {
     # from_unixtime / hour() etc. follow the session zone; pin it (S9).
     "spark.sql.session.timeZone": "UTC",
+    # source files name columns VendorID, PULocationID, ...; the declared
+    # schemas use lower case and rely on case-insensitive resolution (S11)
+    "spark.sql.caseSensitive": "false",
 }
 
 # Runtime re-planning; the sizes are for local runs (local_session).
