@@ -186,3 +186,14 @@ def test_build_text(spark, tmp_path):
     assert res["times"] == repeats * copies == 4
     assert lines.count() == base.count() * res["times"]
     assert set(r.line for r in lines.collect()) == set(r.line for r in base.collect())
+
+
+def test_name_and_id_padding(spark):
+    df = spark.createDataFrame([(2020, 1), (999, 12), (12345, 7)], "y int, m int")
+    names = [r[0] for r in df.select(FL.trip_file_name(F.lit("yellow"), "y", "m")).collect()]
+    assert names == ["yellow_tripdata_2020-01.parquet", "yellow_tripdata_0999-12.parquet",
+                     "yellow_tripdata_12345-07.parquet"]
+    ids = spark.createDataFrame([(1,), (42,), (100,)], "n bigint")
+    got = [r[0] for r in ids.select(C.doc_id_col(F.col("n"), 100)).collect()]
+    assert got == ["doc_001.txt", "doc_042.txt", "doc_100.txt"]
+    assert C.doc_id_format(100) == "doc_%03d.txt"
