@@ -31,6 +31,7 @@ from tessera.functions.text import (
 # Most rows a side may have to be broadcast by row count alone.
 MAX_BROADCAST_ROWS = 100_000
 DEFAULT_BLOCK_SIZE = 1000
+MIN_WORD_LEN_FOR_TF = 2
 
 
 def tokenize(df: DataFrame, text: str = "line", keep: Iterable[str] = (),
@@ -180,15 +181,66 @@ def doc_frequency(corpus: DataFrame, k: int = 20, doc_id: str = "doc_id",
             .orderBy(F.desc("doc_count"), F.asc("word")).limit(k))
 
 
+def _grouped_tf(df: DataFrame, doc_id: str, content: str, stopwords) -> DataFrame:
+    """(word, doc_id, tf) by grouping tokens across rows (one exchange)."""
+    return (words(df, content, keep=[doc_id], stopwords=stopwords)
+            .groupBy("word", doc_id).agg(F.count(F.lit(1)).alias("tf")))
+
+
+def _row_tf(df: DataFrame, doc_id: str, content: str, stopwords) -> DataFrame:
+    """(word, doc_id, tf) computed inside each row, without any shuffle.
+
+    The row's words are sorted and counted as runs: a run starts where a word
+    differs from its predecessor, and its length is the distance to the next
+    start.  Right when each row is its own document (a unique id).
+    """
+    arr = token_array(content)
+    keep_word = lambda t: F.length(t) >= MIN_WORD_LEN_FOR_TF
+    listed = stopwords is not None and not isinstance(stopwords, DataFrame)
+    if listed:
+        stops = list(stopwords)
+        ws = F.array_sort(F.filter(arr, lambda t: keep_word(t) & ~t.isin(*stops)))
+    else:
+        ws = F.array_sort(F.filter(arr, keep_word))
+    rows = spread(df).select(doc_id, ws.alias("__w"))
+    n = F.size("__w")
+    pos = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    starts = F.filter(pos, lambda p: (p == 0) | (F.get("__w", p) != F.get("__w", p - 1)))
+    runs = rows.select(doc_id, "__w", starts.alias("__s")).select(
+        doc_id, F.explode(F.transform(
+            "__s", lambda st, j: F.struct(
+                F.get("__w", st).alias("word"),
+                (F.coalesce(F.get("__s", j + 1), F.size("__w")) - st).alias("tf")))).alias("__r"))
+    out = runs.select(F.col("__r.word").alias("word"), doc_id,
+                      F.col("__r.tf").cast("bigint").alias("tf"))
+    if stopwords is not None and not listed:
+        out = remove_stopwords(out, stopwords)
+    return out
+
+
 def postings(corpus: DataFrame, doc_id: str = "doc_id", content: str = "content",
-             stopwords: Iterable[str] | DataFrame | None = STOPWORDS) -> DataFrame:
+             stopwords: Iterable[str] | DataFrame | None = STOPWORDS,
+             ids_unique: bool | None = None) -> DataFrame:
     """The full index as rows: ``(word, doc_id, tf)``.
 
-    Grouped on (word, doc_id), so a frequent word is spread over as many
-    tasks as it has documents; this is the form to write out and query.
+    Rows whose id occurs once (the common case) get their term frequencies
+    inside the row -- no shuffle of the index at all.  Rows sharing an id
+    (copies, and NULL ids, which group together) are grouped on
+    (word, doc_id), spread over as many tasks as there are such pairs.
     """
-    return (words(corpus, content, keep=[doc_id], stopwords=stopwords)
-            .groupBy("word", doc_id).agg(F.count(F.lit(1)).alias("tf")))
+    plan, rep = _id_plan(corpus, doc_id, ids_unique)
+    if plan == "dedup":
+        return _grouped_tf(corpus, doc_id, content, stopwords)
+    if plan == "unique":
+        once = corpus.where(F.col(doc_id).isNotNull())
+        shared = corpus.where(F.col(doc_id).isNull())
+    else:
+        tagged = corpus.join(F.broadcast(rep), F.col(doc_id) == F.col("__rid"), "left")
+        single = F.col("__rid").isNull() & F.col(doc_id).isNotNull()
+        once = tagged.where(single).drop("__rid")
+        shared = tagged.where(~single).drop("__rid")
+    return (_row_tf(once, doc_id, content, stopwords)
+            .unionByName(_grouped_tf(shared, doc_id, content, stopwords)))
 
 
 def _integral(dtype: T.DataType) -> bool:

@@ -299,3 +299,20 @@ def test_hybrid_plan_for_a_hot_group_of_copies(spark):
         b = sorted(map(tuple, TX.inverted_index(df, k=6, stopwords=None, layout=layout,
                                                 block_size=8, ids_unique=False).collect()))
         assert a == b, layout
+
+
+def test_postings_in_row_equals_grouped(spark, corpus):
+    from tessera.functions.text import STOPWORDS
+    uniq = spark.createDataFrame(
+        [(f"d{i}", t) for i, (_, t) in enumerate(CORPUS)] + [("e", ""), ("f", None),
+                                                           (None, "red red"), (None, "red")],
+        "doc_id string, content string")
+    table = spark.createDataFrame([(w,) for w in STOPWORDS], "w string")
+    for df in (uniq, corpus):
+        for sw in (STOPWORDS, None, table):
+            auto = sorted(map(tuple, TX.postings(df, stopwords=sw).collect()), key=repr)
+            grouped = sorted(map(tuple, TX.postings(df, stopwords=sw, ids_unique=False).collect()),
+                             key=repr)
+            assert auto == grouped
+    rows = {(r.word, r.doc_id): r.tf for r in TX.postings(uniq).collect()}
+    assert rows[("red", None)] == 3 and rows[("adventure", "d4")] == 2
