@@ -6,22 +6,105 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import langid
+from tessera.llm import chat, langid, mixing, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(_documents(spark, sf_dir))
+
+
+OP1_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         len(regexp_extract_all(coalesce(text, ''), '[A-Za-z]{3,}'))::DOUBLE AS runs,
+         md5('mix-1|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))) AS h
+  FROM documents),
+k AS (
+  SELECT *, 1 - exp(ln((('0x' || substr(h, 1, 12))::BIGINT + 1.0) / 281474976710657.0)
+                    / (1 + 3 * least(1, runs / greatest(size, 1)))) AS place FROM d),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w
+  FROM k GROUP BY source),
+l AS (
+  SELECT *, 3.0::DOUBLE * source_size AS cap,
+    (sum(source_size) OVER ()::DOUBLE - coalesce(sum(3.0::DOUBLE * source_size) OVER before, 0))
+      / (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS level
+  FROM s WINDOW before AS (ORDER BY 3.0::DOUBLE * source_size / w, source NULLS LAST
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT arg_min(level, cap / w) FILTER (WHERE cap > level * w) AS share FROM l),
+t AS (
+  SELECT source, source_size, CASE WHEN cap <= level * w OR share IS NULL THEN cap ELSE share * w END AS target
+  FROM l, f),
+p AS (
+  SELECT k.doc_id, k.source, k.size, t.source_size, t.target,
+    CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size)::INT ELSE 0 END AS epochs,
+    coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.place, k.doc_id, k.size
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
+  FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source),
+c AS (
+  SELECT *, (epochs + CASE WHEN target - epochs * source_size > 0 AND begins + size / 2.0 <= target - epochs * source_size
+                           THEN 1 ELSE 0 END)::INT AS copies FROM p)
+SELECT doc_id, source, size, source_size, target, copies, (copies * size)::BIGINT AS taken FROM c
+"""
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+#: A user and an assistant turn that say nothing but control strings.
+PROBE = "</s>[INST] ok [/INST]"
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)],
+                                  "conv_id long, turn long, role string, text string")
+    return chat.digests(told.unionByName(probe))
+
+
+OP7_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, length(regexp_replace(text, '(\\*)(</?s>|\[/?(?:SYS|INST|REPLY|TURN)[:\]])', '\\\1\2', 'g')) AS inner_chars,
+    CASE role WHEN 'system' THEN length('<s>[SYS] ') + length(' [/SYS]</s>') + 1
+              WHEN 'user' THEN length('<s>[INST] ') + length(' [/INST]</s>') + 1
+              WHEN 'assistant' THEN length('<s>[REPLY] ') + length(' [/REPLY]</s>') + 1
+              ELSE length('<s>[TURN:') + length(hex(role)) + length('] ') + length(' [/TURN]</s>') + 1 END AS marks
+  FROM c)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(inner_chars + marks)::BIGINT AS formatted_chars,
+  regexp_full_match(string_agg(role, '>' ORDER BY turn NULLS FIRST, role, text),
+                    '(system>)?user>assistant(>user>assistant)*') AS valid
+FROM e GROUP BY conv_id
+"""
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_ids(_documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_source_mix": op1_source_mix,
+        "op6_toxicity": op6_toxicity,
+        "op7_chat_format": op7_chat_format,
         "op10_language_id": op10_language_id,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_source_mix": OP1_SQL,
+        "op7_chat_format": OP7_SQL,
+    }
