@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, langid, mixing, toxicity
+from tessera.llm import chat, langid, mixing, ngram_join, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,36 @@ SELECT doc_id, source, size, source_size, target, copies, (copies * size)::BIGIN
 """
 
 
+#: Links of the contract: three-word shingles, Jaccard of at least 0.9.
+NEAR = ngram_join.Rule(width=3, num=90, den=100)
+
+
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_components(_documents(spark, sf_dir), NEAR).drop("row")
+
+
+OP2_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN []
+    WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM w),
+n AS (SELECT doc_id, len(s)::BIGINT AS n FROM s),
+x AS (SELECT doc_id, unnest(s) AS g FROM s),
+shared AS (SELECT g FROM x GROUP BY g HAVING count(*) > 1),
+y AS (SELECT x.* FROM x JOIN shared USING (g)),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM y a JOIN y b USING (g) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * o >= 90 * (na.n + nb.n - o)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT a AS node, b AS other FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.other = e.a),
+c AS (SELECT node, least(node, min(other)) AS c FROM r GROUP BY node)
+SELECT n.doc_id, n.n AS n_shingles, coalesce(c.c, n.doc_id) AS component_id FROM n LEFT JOIN c ON c.node = n.doc_id
+"""
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -97,6 +127,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mix": op1_source_mix,
+        "op2_ngram_join": op2_ngram_join,
         "op6_toxicity": op6_toxicity,
         "op7_chat_format": op7_chat_format,
         "op10_language_id": op10_language_id,
@@ -106,5 +137,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_source_mix": OP1_SQL,
+        "op2_ngram_join": OP2_SQL,
         "op7_chat_format": OP7_SQL,
     }

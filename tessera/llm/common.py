@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 # A-Z to a-z for byte strings; no other byte changes.
 LOWER_AZ = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 HELD_OUT_REMAINDER = 1
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def land(df: DataFrame, name: str) -> DataFrame:
@@ -26,15 +29,21 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of whole texts: fewer rows than the default 10,000.
+def prepare_python(spark: SparkSession, rows: int = 1000) -> None:
+    """Settings for operators that run Python in tasks.
 
-    Long texts in large batches are what fills a Python worker's memory.  A
-    value that the deployment set itself is left alone.
+    Arrow batches of whole texts hold ``rows`` rows instead of the default
+    10,000, which is what fills a worker's memory; a value that the deployment
+    set itself is left alone.  Workers on this machine also find this package
+    when it is not installed; on a cluster, install it or pass --py-files.
     """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key, "10000") == "10000":
         spark.conf.set(key, str(rows))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from tessera.llm.common import held_out, learnable, small_batches, unit_hash
+from tessera.llm.common import held_out, learnable, prepare_python, unit_hash
 
 UNKNOWN = "und"
 DOCS_PER_LANG = 3000
@@ -149,7 +149,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
         grams_per_lang: int = GRAMS_PER_LANG, min_share: float = MIN_SHARE) -> LanguageFilters:
     """Learn one filter per language from rows with text and language."""
     spark = docs.sparkSession
-    small_batches(spark)
+    prepare_python(spark)
     use = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t"), F.col(lang).cast("string").alias("l"),
                       (F.lit(True) if may_learn is None else may_learn).alias("ok"))
     use = use.filter("ok AND t IS NOT NULL AND l IS NOT NULL")
@@ -207,7 +207,7 @@ def identify(docs: DataFrame, model: LanguageFilters, text: str = "text",
     names as the three results are replaced.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    prepare_python(spark)
     keep = [c for c in docs.columns if c not in names]
     at = keep.index(text)
     shared = spark.sparkContext.broadcast(model)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import held_out, learnable, small_batches
+from tessera.llm.common import held_out, learnable, prepare_python
 
 MAX_TOXIC = 1500
 MAX_CLEAN = 2500
@@ -200,7 +200,7 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text",
     with the names of the results are replaced.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    prepare_python(spark)
     keep = [c for c in docs.columns if c not in names]
     at = keep.index(text)
     shared = spark.sparkContext.broadcast(model)
