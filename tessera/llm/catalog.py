@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, langid, mixing, ngram_join, toxicity
+from tessera.llm import bpe, chat, langid, mixing, ngram_join, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,6 +120,19 @@ FROM e GROUP BY conv_id
 """
 
 
+#: Rank file of the tokenizer that op8 and the pipeline use.
+RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+
+
+def tokenizer(rank_path: str | None = None) -> bpe.ByteBpe:
+    import public_tokenizers
+    return bpe.ByteBpe(bpe.read_ranks(rank_path or public_tokenizers.path(RANK_FILE)), public_tokenizers.PATTERN)
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(_documents(spark, sf_dir), tokenizer())
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_ids(_documents(spark, sf_dir))
 
@@ -130,6 +143,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_ngram_join": op2_ngram_join,
         "op6_toxicity": op6_toxicity,
         "op7_chat_format": op7_chat_format,
+        "op8_byte_bpe": op8_byte_bpe,
         "op10_language_id": op10_language_id,
     }
 
