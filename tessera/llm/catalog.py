@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, chat, langid, mixing, ngram_join, toxicity
+from tessera.llm import bpe, chat, langid, mixing, ngram_join, outliers, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +83,10 @@ SELECT n.doc_id, n.n AS n_shingles, coalesce(c.c, n.doc_id) AS component_id FROM
 """
 
 
+def op5_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.document_verdicts(_documents(spark, sf_dir))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -141,6 +145,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mix": op1_source_mix,
         "op2_ngram_join": op2_ngram_join,
+        "op5_quality_outliers": op5_quality_outliers,
         "op6_toxicity": op6_toxicity,
         "op7_chat_format": op7_chat_format,
         "op8_byte_bpe": op8_byte_bpe,
