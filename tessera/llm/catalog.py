@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, chat, langid, mixing, ngram_join, outliers, toxicity
+from tessera.llm import bpe, chat, fingerprints, langid, mixing, ngram_join, outliers, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,6 +137,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_documents(spark, sf_dir), tokenizer())
 
 
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.document_fingerprints(_documents(spark, sf_dir))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_ids(_documents(spark, sf_dir))
 
@@ -149,6 +153,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_toxicity": op6_toxicity,
         "op7_chat_format": op7_chat_format,
         "op8_byte_bpe": op8_byte_bpe,
+        "op9_order_minhash": op9_order_minhash,
         "op10_language_id": op10_language_id,
     }
 
