@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, chat, fingerprints, langid, mixing, ngram_join, outliers, toxicity
+from tessera.llm import bpe, chat, fingerprints, langid, licenses, mixing, ngram_join, outliers, token_counts, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ NEAR = ngram_join.Rule(width=3, num=90, den=100)
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join_components(_documents(spark, sf_dir), NEAR).drop("row")
+    return ngram_join.join_components(_documents(spark, sf_dir), NEAR).drop("row", "text_hash")
 
 
 OP2_SQL = r"""
@@ -83,6 +83,57 @@ SELECT n.doc_id, n.n AS n_shingles, coalesce(c.c, n.doc_id) AS component_id FROM
 """
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.document_token_counts(_documents(spark, sf_dir))
+
+
+OP3_SQL = r"""
+WITH d AS (
+  SELECT source, lang, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS words,
+         len(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+'))::BIGINT AS runs
+  FROM documents),
+k AS (
+  SELECT source, lang, 'words-1' AS tokenizer, words AS n FROM d WHERE words >= 20
+  UNION ALL SELECT source, lang, 'runs-2', runs FROM d WHERE words >= 20)
+SELECT source, lang, tokenizer, count(*)::BIGINT AS docs, sum(n)::BIGINT AS tokens FROM k GROUP BY 1, 2, 3
+"""
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.document_licences(_documents(spark, sf_dir))
+
+
+def _op4_sql() -> str:
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    cases = " ".join(f"WHEN regexp_full_match(s, {quoted(p)}) THEN {quoted(n)}" for n, p in licenses.SENTENCES)
+    steps, names = ["r AS (SELECT doc_id, ids, '|' || array_to_string(ids, '||') || '|' AS left0 FROM i)"], []
+    for k, (name, ids) in enumerate(licenses.RULES):
+        sequence = quoted("".join(f"|{x}|" for x in ids))
+        before = f"r{k - 1}" if k else "r"
+        steps.append(f"r{k} AS (SELECT *, CASE WHEN contains(left{k}, {sequence}) THEN {quoted(name)} END AS n{k}, "
+                     f"replace(left{k}, {sequence}, '#') AS left{k + 1} FROM {before})")
+        names.append(f"n{k}")
+    once = (f"list_filter(list_transform([{', '.join(names)}], lambda x, i: "
+            f"CASE WHEN list_position([{', '.join(names)}], x) = i THEN x END), lambda x: x IS NOT NULL)")
+    return rf"""
+WITH c AS (
+  SELECT doc_id, string_split_regex(regexp_replace(lower(coalesce(text, '')), '[.;:!?]+(\s|$)', chr(10) || '\1', 'g'), '[\n\r]+') AS s
+  FROM documents),
+n AS (
+  SELECT doc_id, list_filter(list_transform(s, lambda x: regexp_replace(regexp_replace(x, '\s+', ' ', 'g'),
+    '^[ #*/\-"''(]+|[ *"'')]+$', '', 'g')), lambda x: x <> '') AS s FROM c),
+u AS (SELECT doc_id, unnest(s) AS s, generate_subscripts(s, 1) AS p FROM n),
+k AS (SELECT doc_id, p, CASE {cases} END AS id FROM u),
+i AS (SELECT n.doc_id, coalesce(list(id ORDER BY p) FILTER (WHERE id IS NOT NULL), []) AS ids
+      FROM n LEFT JOIN k USING (doc_id) GROUP BY n.doc_id),
+{", ".join(steps)}
+SELECT doc_id, len(ids)::BIGINT AS n_known, array_to_string(ids, ',') AS sentence_ids,
+  array_to_string({once}, ',') AS licences FROM r{len(licenses.RULES) - 1}
+"""
+
+
 def op5_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.document_verdicts(_documents(spark, sf_dir))
 
@@ -149,6 +200,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mix": op1_source_mix,
         "op2_ngram_join": op2_ngram_join,
+        "op3_token_counts": op3_token_counts,
+        "op4_license_scan": op4_license_scan,
         "op5_quality_outliers": op5_quality_outliers,
         "op6_toxicity": op6_toxicity,
         "op7_chat_format": op7_chat_format,
@@ -162,5 +215,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_source_mix": OP1_SQL,
         "op2_ngram_join": OP2_SQL,
+        "op3_token_counts": OP3_SQL,
+        "op4_license_scan": _op4_sql(),
         "op7_chat_format": OP7_SQL,
     }

@@ -4,9 +4,9 @@ Documents are sets of word n-grams (64-bit hashes).  Equal sets are one set
 from the start.  The join then runs in the steps of a token-group matrix:
 
 1. *Groups.*  Sets that share a signature (their two smallest tokens under one
-   of three hash orders) are compared with the smallest set of that signature;
-   those within the threshold form its group.  A group is thus connected, and
-   its members are never compared with each other.
+   of three hash orders) go to the group of the smallest set of a signature.
+   Those within the threshold of it are linked through it and are never
+   compared with each other.
 2. *Matrix.*  The union of a group's tokens is kept as rows (token, group).
    Only tokens below a share of the hash range are kept; the share shrinks with
    the set's size, so that a set of n tokens is represented by a few more than
@@ -14,9 +14,9 @@ from the start.  The join then runs in the steps of a token-group matrix:
 3. *Bound.*  A link between sets of a <= b tokens needs an overlap of
    ``num (a + b) / (num + den)``, so the smaller set may miss at most
    ``a - 2 num a / (num + den)`` of its tokens in any group that holds a partner.
-   A set that has more private tokens than that is done.  The others look up
-   their rarest tokens, as many as guarantee one hit, and the overlap of set
-   and group is counted for the groups found.
+   A set that has more private tokens than that is done.  For the others the
+   overlap with every group is counted over their rarer tokens; a group that
+   misses more of these than the set may miss cannot hold a partner.
 4. *Open.*  Only members of groups that reach the bound, of a fitting size, are
    compared exactly, by the whole sets.
 
@@ -41,6 +41,7 @@ from tessera.llm.common import LOWER_AZ, land, prepare_python
 from tessera.llm.graph import components
 
 CACHE = 400_000              # word hashes remembered in a task
+COMMON = 64                  # sets; more frequent tokens are looked up only where needed
 _STEP = 0x9E3779B97F4A7C15
 _ORDERS = tuple(np.uint64(x) for x in (1, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 _TOP = float(1 << 64)
@@ -113,18 +114,24 @@ def _signatures(tokens: np.ndarray) -> list[int]:
     return out
 
 
+def _key(tokens: np.ndarray) -> int:
+    """Hash of a whole set; even, as the lowest bit carries a flag later."""
+    return _signed([xxhash.xxh3_64_intdigest(tokens.tobytes()) & ~1])[0]
+
+
 def _signed(values) -> list[int]:
     return np.array(values, dtype=np.uint64).view(np.int64).tolist()
 
 
 def _numbered(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """row (the id; for a NULL id a hash of the text), doc_id, text."""
+    """row (the id; for a NULL id a hash of the text), text_hash, doc_id, text."""
     return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(F.col(text))).alias("row"),
+                       F.xxhash64(F.col(text)).alias("text_hash"),
                        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
 
 def sketched(docs: DataFrame, rule: Rule, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Per document: row, doc_id, n (set size), k (hash of the set; NULL if
+    """Per document: row, text_hash, doc_id, n (set size), k (hash of the set; NULL if
     empty), nq (tokens to look up), low (tokens to store), sig.
 
     ``low`` and ``sig`` come with the first document of a set in a task only,
@@ -137,14 +144,14 @@ def sketched(docs: DataFrame, rule: Rule, text: str = "text", doc_id: str = "doc
         seen: set[int] = set()
         for b in batches:
             n, k, nq, low, sig = [], [], [], [], []
-            for t in b.column(2):
+            for t in b.column(3):
                 s = shingles(t.as_py(), rule.width, cache)
                 n.append(len(s))
                 if not len(s):
                     k.append(None), nq.append(0), low.append([]), sig.append([])
                     continue
-                key = xxhash.xxh3_64_intdigest(s.tobytes())
-                k.append(_signed([key])[0])
+                key = _key(s)
+                k.append(key)
                 if key in seen:
                     nq.append(0), low.append([]), sig.append([])
                     continue
@@ -155,31 +162,50 @@ def sketched(docs: DataFrame, rule: Rule, text: str = "text", doc_id: str = "doc
                 low.append(s[:stored].view(np.int64))
                 sig.append(_signed(_signatures(s)))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(nq, pa.int32()),
+                [b.column(0), b.column(1), b.column(2), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(nq, pa.int32()),
                  pa.array(low, pa.list_(pa.int64())), pa.array(sig, pa.list_(pa.int64()))],
-                names=["row", "doc_id", "n", "k", "nq", "low", "sig"])
+                names=["row", "text_hash", "doc_id", "n", "k", "nq", "low", "sig"])
 
     return _numbered(docs, text, doc_id).mapInArrow(
-        run, "row long, doc_id long, n long, k long, nq int, low array<long>, sig array<long>")
+        run, "row long, text_hash long, doc_id long, n long, k long, nq int, low array<long>, sig array<long>")
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, rule: Rule, text: str, doc_id: str) -> DataFrame:
-    """(k, tokens) of the sets in ``wanted`` (row, k): only their texts move."""
-    texts = _numbered(docs, text, doc_id).join(wanted, "row").select("k", "text")
+    """(k, tokens) of the sets in ``wanted`` (row, k, picked), written.
+
+    Spark's runtime Bloom filter over the wanted rows (a few MB at most) keeps
+    most other texts from being shuffled; the join decides.  Rows of one id
+    meet in one task, which keeps each set once.
+    """
+    spark = docs.sparkSession
+    texts = _numbered(docs, text, doc_id).join(wanted.filter("picked = true").hint("merge"), "row").select("k", "text")
 
     def run(batches):
         cache: dict[bytes, int] = {}
+        seen: set[int] = set()
         for b in batches:
             keys, sets = [], []
             for k, t in zip(b.column(0).to_pylist(), b.column(1)):
+                if k in seen:
+                    continue
                 s = shingles(t.as_py(), rule.width, cache)
-                if len(s) and _signed([xxhash.xxh3_64_intdigest(s.tobytes())])[0] == k:   # else the id occurs twice
+                if len(s) and _key(s) == k:      # else another text with this id
+                    seen.add(k)
                     keys.append(k)
                     sets.append(s.view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
                                              names=["k", "tokens"])
 
-    return texts.mapInArrow(run, "k long, tokens array<long>").dropDuplicates(["k"])
+    filters = "spark.sql.optimizer.runtime.bloomFilter"
+    least, most = f"{filters}.applicationSideScanSizeThreshold", f"{filters}.creationSideThreshold"
+    before = {key: spark.conf.get(key) for key in (least, most)}
+    try:
+        spark.conf.set(least, "1")
+        spark.conf.set(most, "1g")
+        return land(texts.mapInArrow(run, "k long, tokens array<long>"), "whole-sets")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -193,6 +219,10 @@ def _linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
             .select("a", "b"))
 
 
+def _even(flagged: Column) -> Column:
+    return flagged.bitwiseAND(F.lit(-2))
+
+
 def _fits(a: Column, b: Column, rule: Rule) -> Column:
     """Sizes a <= b that a link allows."""
     return (a <= b) & (b * rule.num <= a * rule.den)
@@ -201,12 +231,12 @@ def _fits(a: Column, b: Column, rule: Rule) -> Column:
 def links(docs: DataFrame, sketches: DataFrame, rule: Rule, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(a, b): links between different sets (by k) that connect all linked sets.
 
-    Links inside a group are those with its smallest set; between groups, all
-    links found by opening the groups that reach the bound.
+    Sets that link with the same set of a group's signature are not compared
+    again; all other pairs come from opening the groups that reach the bound.
     """
     firsts = sketches.filter(F.size("sig") > 0)
     sizes = land(sketches.filter("k IS NOT NULL").groupBy("k").agg(
-        F.min("row").alias("row"), F.first("n").alias("n"), F.max("nq").alias("nq")), "sets")
+        F.min("row").alias("row"), F.first("n").alias("n"), F.max("nq").alias("nq")), "set-sizes")
 
     # sets of one signature meet the smallest of them
     signed = firsts.select("k", "n", F.posexplode("sig").alias("order", "s")).distinct()
@@ -214,54 +244,68 @@ def links(docs: DataFrame, sketches: DataFrame, rule: Rule, text: str = "text",
     hub_pairs = land(signed.join(hubs.filter("c > 1"), ["order", "s"])
                      .filter((F.col("k") != F.col("h.k")) & _fits(F.col("h.n"), F.col("n"), rule))
                      .select(F.col("k").alias("a"), F.col("h.k").alias("b")).distinct(), "hub-pairs")
+    grouped = hub_pairs.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("g"))
 
     # tokens of at least two sets; the sets with few enough private tokens
-    cells = firsts.select("k", "nq", F.posexplode("low").alias("at", "token"))
-    shared = (cells.groupBy("token").agg(F.min("k").alias("x"), F.max("k").alias("y"))
+    cells = firsts.select(F.posexplode("low").alias("at", "token"), "k", "nq").select(
+        "token", F.col("k").bitwiseOR((F.col("at") < F.col("nq")).cast("long")).alias("f"))
+    shared = (cells.groupBy("token").agg(F.min(_even(F.col("f"))).alias("x"), F.max(_even(F.col("f"))).alias("y"))
               .filter("x <> y").select("token"))
-    hits = land(cells.join(shared, "token").groupBy("token", "k")
-                .agg(F.max((F.col("at") < F.col("nq")).cast("int")).alias("asked")), "hits")
+    hits = land(cells.join(shared, "token").distinct(), "hits")
+    asked = hits.filter(F.col("f") != _even(F.col("f"))).select("token", _even(F.col("f")).alias("k"))
     need = F.greatest(F.lit(1), F.col("nq") - (F.col("n") - F.ceil(
         F.lit(2 * rule.num) * F.col("n") / F.lit(float(rule.num + rule.den)) - F.lit(1e-9))))
-    asking = (hits.filter("asked = 1").groupBy("k").agg(F.count("*").alias("found"))
-              .join(sizes, "k").withColumn("need", need.cast("int"))
-              .filter("found >= need").select("k", "n", "found", "need"))
-    asking = land(asking, "asking")
-    common = hits.groupBy("token").agg(F.count("*").alias("sets"))
+    asking = land(asked.groupBy("k").agg(F.count("*").alias("found")).join(sizes, "k")
+                  .withColumn("need", need.cast("int")).filter("found >= need")
+                  .join(grouped, "k", "left")
+                  .select("k", "n", "found", "need", F.coalesce("g", "k").alias("own")), "asking")
+    asked = land(asked.join(asking, "k"), "asked")
+
+    # the matrix for the tokens that are asked
+    used = asked.select("token").distinct()
+    holders = hits.join(used, "token").select("token", _even(F.col("f")).alias("k"))
+    holders = land(holders.join(sizes.select("k", "n"), "k").join(grouped, "k", "left")
+                   .groupBy("token", F.coalesce("g", "k").alias("g"))
+                   .agg(F.count("*").alias("c"), F.min("n").alias("least"), F.max("n").alias("most")), "matrix")
+    sets_of = holders.groupBy("token").agg(F.sum("c").alias("sets"))
+
+    # per set: all tokens up to COMMON sets, or as many of the rarest as
+    # guarantee a hit; a group must have all of them but those it may miss
     rare = Window.partitionBy("k").orderBy("sets", "token")
-    asked = land(hits.filter("asked = 1").select("token", "k").join(asking, "k").join(common, "token")
-                 .withColumn("turn", F.row_number().over(rare)), "asked")
-    lookups = asked.filter(F.col("turn") <= F.col("found") - F.col("need") + 1)
-
-    # whole sets of all that can be compared, fetched once
-    partners = hits.join(lookups.select("token").distinct(), "token").select("k")
-    wanted = (hub_pairs.select(F.explode(F.array("a", "b")).alias("k")).unionByName(partners).distinct()
-              .join(sizes, "k").select("row", "k"))
-    sets = land(_whole_sets(docs, wanted, rule, text, doc_id), "whole-sets")
-
-    near_hub = land(_linked(hub_pairs, sets, rule), "hub-links")
-    groups = near_hub.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("g"))
-    member = land(hits.select("k").distinct().join(sizes.select("k", "n"), "k").join(groups, "k", "left")
-                  .select("k", "n", F.coalesce("g", "k").alias("g")), "members")
-    matrix = land(hits.select("token", "k").join(member, "k").groupBy("token", "g")
-                  .agg(F.min("n").alias("least"), F.max("n").alias("most")), "matrix")
-
-    # groups found by the rare tokens, then the bound over all tokens asked
-    own = member.select("k", F.col("g").alias("own"))
+    counted = asked.join(sets_of, "token").withColumn("turn", F.row_number().over(rare)).withColumn(
+        "usable", F.greatest(F.sum((F.col("sets") <= COMMON).cast("int")).over(Window.partitionBy("k")),
+                             F.col("found") - F.col("need") + 1))
+    lookups = counted.filter("turn <= usable").withColumn("least_hits", F.col("need") - (F.col("found") - F.col("usable")))
     room = (F.col("most") >= F.col("n")) & (F.col("least") * rule.num <= F.col("n") * rule.den)
-    found = (lookups.join(own, "k").join(matrix, "token").filter((F.col("g") != F.col("own")) & room)
-             .select("k", "g").distinct())
-    reached = (found.join(asked.select("k", "token", "n", "need"), "k").join(matrix.select("token", "g"), ["token", "g"])
-               .groupBy("k", "g").agg(F.count("*").alias("c"), F.first("need").alias("need"), F.first("n").alias("n"))
-               .filter("c >= need"))
-    opened = (reached.join(member.select(F.col("k").alias("b"), F.col("n").alias("nb"), "g"), "g")
-              .filter((F.col("k") != F.col("b")) & _fits(F.col("n"), F.col("nb"), rule))
-              .select(F.col("k").alias("a"), "b").distinct())
-    return near_hub.unionByName(_linked(opened, sets, rule))
+    reached = (lookups.join(holders, "token").filter((F.col("g") != F.col("own")) & room)
+               .groupBy("k", "g").agg(F.count("*").alias("hits"), F.first("least_hits").alias("least_hits"),
+                                      F.first("n").alias("n"))
+               .filter("hits >= least_hits").select("k", "g", "n"))
+    own = asking.join(grouped.select(F.col("g").alias("own")).distinct(), "own", "left_semi").select(
+        "k", F.col("own").alias("g"), "n")
+    members = (sizes.select(F.col("k").alias("b"), F.col("n").alias("nb"))
+               .join(grouped.withColumnsRenamed({"k": "b"}), "b", "left")
+               .select("b", "nb", F.coalesce("g", "b").alias("g")))
+    opened = land(reached.unionByName(own).join(members, "g")
+                  .filter((F.col("k") != F.col("b")) & _fits(F.col("n"), F.col("nb"), rule))
+                  .select(F.col("k").alias("a"), "b").distinct(), "opened")
+
+    # whole sets of all that are compared, fetched once
+    ends = F.explode(F.array("a", "b")).alias("k")
+    wanted = land(hub_pairs.select(ends).unionByName(opened.select(ends)).distinct()
+                  .join(sizes, "k").select("row", "k", F.lit(True).alias("picked")), "wanted")
+    sets = _whole_sets(docs, wanted, rule, text, doc_id)
+    near_hub = land(_linked(hub_pairs, sets, rule), "hub-links")
+    star = near_hub.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("star"))
+    left = star.select(F.col("k").alias("a"), F.col("star").alias("_sa"))
+    right = star.select(F.col("k").alias("b"), F.col("star").alias("_sb"))
+    apart = (opened.join(left, "a", "left").join(right, "b", "left")
+             .filter(F.coalesce("_sa", "a") != F.coalesce("_sb", "b")).select("a", "b"))
+    return near_hub.unionByName(_linked(apart, sets, rule))
 
 
 def join_components(docs: DataFrame, rule: Rule, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """row, doc_id, n_shingles, component_id for every document.
+    """row, text_hash, doc_id, n_shingles, component_id for every document.
 
     Two documents link when their sets' Jaccard similarity reaches the rule;
     component_id is the smallest doc_id that can be reached.  Documents without
@@ -276,6 +320,6 @@ def join_components(docs: DataFrame, rule: Rule, text: str = "text", doc_id: str
     ids = land(ids, "set-ids")
     whole = ids.groupBy("c").agg(F.min("least").alias("component_id"))
     named = ids.join(whole, "c").select("k", "component_id")
-    return (sketches.select("row", "doc_id", F.col("n").alias("n_shingles"), "k").join(named, "k", "left")
-            .select("row", "doc_id", "n_shingles",
+    return (sketches.select("row", "text_hash", "doc_id", F.col("n").alias("n_shingles"), "k").join(named, "k", "left")
+            .select("row", "text_hash", "doc_id", "n_shingles",
                     F.when(F.col("k").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
