@@ -53,41 +53,41 @@ def signed(docs: DataFrame, text: str, out: str) -> DataFrame:
     than K runs is one k-mer.
     """
     pieces = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(rf"\S{{1,{PIECE}}}\s*|\s+"), F.lit(0))
-    rows = docs.withColumn("_h", F.transform(pieces, lambda p: F.xxhash64(p)))
-    n = F.size("_h")
-    many = F.transform(F.slice("_h", F.lit(1), F.greatest(n - (K - 1), F.lit(0))),
-                       lambda h, i: _packed(F.xxhash64(h, F.get("_h", i + 1), F.get("_h", i + 2)), i))
-    few = F.array(_packed(F.xxhash64(F.lit(K), F.get("_h", F.lit(0)), F.coalesce(F.get("_h", F.lit(1)), F.lit(0))),
+    rows = docs.withColumn("_omh_h", F.transform(pieces, lambda p: F.xxhash64(p)))
+    n = F.size("_omh_h")
+    many = F.transform(F.slice("_omh_h", F.lit(1), F.greatest(n - (K - 1), F.lit(0))),
+                       lambda h, i: _packed(F.xxhash64(h, F.get("_omh_h", i + 1), F.get("_omh_h", i + 2)), i))
+    few = F.array(_packed(F.xxhash64(F.lit(K), F.get("_omh_h", F.lit(0)), F.coalesce(F.get("_omh_h", F.lit(1)), F.lit(0))),
                           F.lit(0)))
-    rows = rows.withColumn("_k", F.when(n == 0, F.array().cast("array<long>")).when(n < K, few).otherwise(many)).drop("_h")
+    rows = rows.withColumn("_omh_k", F.when(n == 0, F.array().cast("array<long>")).when(n < K, few).otherwise(many)).drop("_omh_h")
     # without NULL elements the sort of longs is a primitive one
-    rows = rows.withColumn("_k", F.sort_array("_k"))
-    again = F.exists(F.transform("_k", lambda x, i: (i > 0) & (_key(x) == _key(F.get("_k", i - 1)))), lambda x: x)
+    rows = rows.withColumn("_omh_k", F.sort_array("_omh_k"))
+    again = F.exists(F.transform("_omh_k", lambda x, i: (i > 0) & (_key(x) == _key(F.get("_omh_k", i - 1)))), lambda x: x)
     powers = F.array(*[F.lit(1 << b) for b in range(PLACE_BITS, -1, -1)])
 
     def numbered(x: Column, i: Column) -> Column:
         # equal keys are neighbours: the number of an occurrence is the largest
         # distance to an equal key before it, found by powers of two
         before = F.aggregate(powers, F.lit(0), lambda c, s: F.when(
-            (i - c - s >= 0) & (_key(F.get("_k", i - c - s)) == _key(x)), c + s).otherwise(c))
-        first = (i == 0) | (_key(F.get("_k", i - 1)) != _key(x))
+            (i - c - s >= 0) & (_key(F.get("_omh_k", i - c - s)) == _key(x)), c + s).otherwise(c))
+        first = (i == 0) | (_key(F.get("_omh_k", i - 1)) != _key(x))
         place = x.bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
         return F.when(first, x).otherwise(_packed(F.xxhash64(_key(x), before), place))
 
-    rows = rows.withColumn("_k", F.when(again, F.sort_array(F.transform("_k", numbered))).otherwise(F.col("_k")))
+    rows = rows.withColumn("_omh_k", F.when(again, F.sort_array(F.transform("_omh_k", numbered))).otherwise(F.col("_omh_k")))
     # the PICK smallest of each bin stay; then neighbours make up the tuples
-    rows = rows.withColumn("_k", F.filter("_k", lambda x, i: (i < PICK) | (_bin(F.get("_k", i - PICK)) != _bin(x))))
+    rows = rows.withColumn("_omh_k", F.filter("_omh_k", lambda x, i: (i < PICK) | (_bin(F.get("_omh_k", i - PICK)) != _bin(x))))
 
     def tuple_of(x: Column, i: Column) -> Column:
-        after = F.get("_k", i + 1)
+        after = F.get("_omh_k", i + 1)
         mask = F.lit((1 << PLACE_BITS) - 1)
         pair = F.when(x.bitwiseAND(mask) <= after.bitwiseAND(mask), F.xxhash64(_key(x), _key(after))).otherwise(
             F.xxhash64(_key(after), _key(x)))
-        starts = (i == 0) | (_bin(F.get("_k", i - 1)) != _bin(x))
+        starts = (i == 0) | (_bin(F.get("_omh_k", i - 1)) != _bin(x))
         whole = F.when(_bin(after) == _bin(x), pair).otherwise(F.xxhash64(_key(x)))
         return F.when(starts, F.shiftleft(_bin(x), 32).bitwiseOR(F.shiftrightunsigned(whole, 32)))
 
-    return rows.withColumn(out, F.filter(F.transform("_k", tuple_of), lambda t: t.isNotNull())).drop("_k")
+    return rows.withColumn(out, F.filter(F.transform("_omh_k", tuple_of), lambda t: t.isNotNull())).drop("_omh_k")
 
 
 def likeness(a: Column, b: Column) -> Column:

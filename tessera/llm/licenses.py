@@ -29,7 +29,7 @@ SENTENCES: tuple[tuple[str, str], ...] = (
     ("gpl3-notice", r"(this (work|program|software) is )?licensed under the gnu general public licen[sc]e,? version 3"),
     ("gpl2-notice", r"(this (work|program|software) is )?licensed under the gnu general public licen[sc]e,? version 2"),
     ("gpl-notice", r"(this (work|program|software) is )?licensed under the gnu general public licen[sc]e"),
-    ("or-later", r"(either version [23] of the license, )?or \(?at your option\)? any later version"),
+    ("or-later", r"(either version [23] of the license, )?or (\(?at your option\)? )?any later version"),
     ("bsd-notice", r"(released|licensed|distributed) under the (new |modified )?bsd licen[sc]e"),
     ("cc-by-nc-4", r"licensed under cc by-nc 4(\.0)?"),
     ("cc-by-sa-4", r"licensed under cc by-sa 4(\.0)?"),

@@ -51,7 +51,7 @@ def base_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     words = F.regexp_extract_all(t, F.lit(WORD), F.lit(0))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(WORD))
     keep = [c for c in docs.columns if c not in STATS]
-    base = docs.select(*[F.col(f"`{c}`") for c in keep], F.transform(words, lambda w: F.xxhash64(w)).alias("_h"),
+    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.transform(words, lambda w: F.xxhash64(w)).alias("_h"),
                        F.char_length(F.regexp_replace(t, r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
                        F.regexp_count(t, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
                        lines.alias("_l"))
@@ -71,7 +71,8 @@ def base_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     base = base.select(*[c for c in base.columns if c != "_p"], starts.alias("_s"))
     covered = F.aggregate(F.transform("_s", lambda s, i: F.least(
         F.lit(3), F.coalesce(F.get("_s", i + 1) - s, F.lit(3)))), F.lit(0).cast("long"), lambda a, x: a + x)
-    return base.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("_s")
+    return base.select("_row.*", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                       F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
 def base_failed() -> Column:
