@@ -29,7 +29,7 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def prepare_python(spark: SparkSession, rows: int = 1000) -> None:
+def prepare_python(spark: SparkSession, rows: int = 256) -> None:
     """Settings for operators that run Python in tasks.
 
     Arrow batches of whole texts hold ``rows`` rows instead of the default

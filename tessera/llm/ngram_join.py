@@ -40,7 +40,7 @@ from pyspark.sql import Window
 from tessera.llm.common import LOWER_AZ, land, prepare_python
 from tessera.llm.graph import components
 
-CACHE = 400_000              # word hashes remembered in a task
+CACHE = 100_000              # word hashes remembered in a task
 COMMON = 64                  # sets; more frequent tokens are looked up only where needed
 _STEP = 0x9E3779B97F4A7C15
 _ORDERS = tuple(np.uint64(x) for x in (1, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))

@@ -38,7 +38,7 @@ WINDOW = 2                  # distinct words averaged
 EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"     # marks taken off both ends of a word
 STEPS, WARM, DECAY = 100, 20, 1e-5
 MAX_WORD = 64               # longer words: n-grams of their overlapping pieces
-CACHE = 400_000             # words remembered in a task
+CACHE = 200_000             # words remembered in a task
 
 
 def subwords(word: str) -> np.ndarray:
