@@ -38,8 +38,8 @@ def main() -> None:
                                  "spark.eventLog.rolling.enabled": "false",
                                  "spark.eventLog.compress": "false"})
     prep = {}
-    for name, build in (("landing", M.trip_landing), ("taxi_part", M.trips_table),
-                        ("wm_input", M.text_lines), ("cg_corpus", M.tsv_corpus)):
+    for name, build in (("landing", M.trip_landing), ("trips_by_month", M.trips_table),
+                        ("lines_input", M.text_lines), ("corpus_input", M.tsv_corpus)):
         t0 = time.perf_counter()
         build(spark, sf_dir)
         prep[name] = round(time.perf_counter() - t0, 3)

@@ -74,14 +74,9 @@ def normalise_terms(words: Iterable[str]) -> list[str]:
     return out
 
 
-def count_matches(token_arr: Column, terms: list[str]) -> Column:
-    """Number of tokens in ``token_arr`` equal to one of ``terms``."""
-    return F.size(F.filter(token_arr, lambda x: x.isin(*terms)))
-
-
-def distinct_matches(token_arr: Column, terms: list[str]) -> Column:
-    """Number of different ``terms`` present in ``token_arr``."""
-    return F.size(F.array_distinct(F.filter(token_arr, lambda x: x.isin(*terms))))
+def term_count(text: str | Column, term: str) -> Column:
+    """Tokens of ``text`` equal to ``term``: its occurrences between non-letters."""
+    return F.regexp_count(F.lower(_col(text)), F.lit(f"(?<![a-z]){term}(?![a-z])"))
 
 
 def may_contain_all(text: str | Column, terms: list[str]) -> Column:
@@ -96,12 +91,3 @@ def may_contain_all(text: str | Column, terms: list[str]) -> Column:
         c = low.contains(t)
         cond = c if cond is None else (cond & c)
     return cond
-
-
-def may_contain_any(text: str | Column, terms: list[str]) -> Column:
-    low = F.lower(_col(text))
-    cond = None
-    for t in terms:
-        c = low.contains(t)
-        cond = c if cond is None else (cond | c)
-    return cond

@@ -45,16 +45,10 @@ def _sql(c: str | Column) -> str:
     raise TypeError("micros_to_timestamp expects a column name")
 
 
-def year_window(ts: str | Column, first_year: int, last_year: int) -> Column:
-    """``ts IS NOT NULL AND YEAR(ts) BETWEEN first AND last``."""
-    t = _col(ts)
-    return t.isNotNull() & F.year(t).between(first_year, last_year)
-
-
 def micros_window(micros: str | Column, first_year: int, last_year: int) -> Column:
     """The year window as a range on the raw int64 µs column.
 
-    Exactly equivalent to ``year_window`` applied after
+    Exactly equivalent to ``YEAR(ts) BETWEEN first AND last`` applied after
     ``micros_to_timestamp`` (the bounds account for ``DIV`` truncating toward
     zero on either side of the epoch), but a plain range on a stored column
     is pushed into the Parquet reader and skips row groups by statistics.

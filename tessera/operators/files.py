@@ -112,12 +112,6 @@ def missing_files(expected: DataFrame, found: DataFrame,
     return expected.join(found.select(key).distinct(), key, "left_anti")
 
 
-def present_files(expected: DataFrame, found: DataFrame,
-                  key: str = "file_name") -> DataFrame:
-    """Expected files already present (left semi join)."""
-    return expected.join(found.select(key).distinct(), key, "left_semi")
-
-
 def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
     """``(path, length)`` of every file below ``root`` (content never read).
 

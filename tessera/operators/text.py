@@ -4,40 +4,38 @@ Plans, and why they hold at scale:
 
 * Word counts are a map-side partially aggregated ``groupBy(word)``; a hot
   word costs one partial row per task, not one row per occurrence.
-* Document frequency de-duplicates words inside each row first
-  (``array_distinct``), so the (word, doc_id) shuffle carries distinct
-  pairs only; the count per word is then partial/final aggregated.
+* Document frequency makes (word, doc_id) pairs distinct, first inside each
+  row, then in each task, then once over the shuffle; the count per word is
+  partially aggregated.  The same plan serves unique, repeated and NULL ids.
 * The inverted index never gathers a whole postings list in one task: the
-  top-k words are chosen from document frequencies first (k rows,
-  broadcast), and their postings are cut into blocks of bounded size.
-* Searches score each row in place (no explode, no shuffle of tokens) after
-  a substring pre-filter; only matching rows reach the (doc_id, content)
-  aggregation.  Every top-k has a tie-breaker so results are deterministic.
+  top-k words are chosen from document frequencies first, and their postings
+  are cut into blocks of bounded size.
+* Searches count the terms in each row (no tokens are made) after a substring
+  test.  Keys and scores of matching rows are aggregated without their text;
+  the text is read for the ids of the top k only.  Every top-k has a
+  tie-breaker so results are deterministic.
+
+Nothing here runs a job or looks at sizes while a plan is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tessera.session import spread
 from tessera.functions.text import (
-    STOPWORDS, count_matches, distinct_matches, is_word, may_contain_all,
-    may_contain_any, normalise_terms, not_stopword, token_array, tokens)
+    STOPWORDS, is_word, may_contain_all, normalise_terms, not_stopword, term_count,
+    token_array, tokens)
 
-# Most rows a side may have to be broadcast by row count alone.
-MAX_BROADCAST_ROWS = 100_000
 DEFAULT_BLOCK_SIZE = 1000
-MIN_WORD_LEN_FOR_TF = 2
 
 
 def tokenize(df: DataFrame, text: str = "line", keep: Iterable[str] = (),
              word: str = "word") -> DataFrame:
     """``LATERAL VIEW EXPLODE(SPLIT(LOWER(text), '[^a-z]+'))``: raw tokens."""
-    return spread(df).select(*keep, tokens(text).alias(word))
+    return df.select(*keep, tokens(text).alias(word))
 
 
 def words(df: DataFrame, text: str = "line", keep: Iterable[str] = (),
@@ -47,7 +45,7 @@ def words(df: DataFrame, text: str = "line", keep: Iterable[str] = (),
     arr = token_array(text)
     if distinct_per_row:
         arr = F.array_distinct(arr)
-    out = spread(df).select(*keep, F.explode(arr).alias("word")).where(is_word("word"))
+    out = df.select(*keep, F.explode(arr).alias("word")).where(is_word("word"))
     return remove_stopwords(out, stopwords)
 
 
@@ -56,17 +54,14 @@ def remove_stopwords(df: DataFrame, stopwords: Iterable[str] | DataFrame | None,
     """Drop rows whose ``word`` is a stopword.
 
     A list becomes ``word NOT IN (...)`` (an in-memory hash set in every
-    task).  A DataFrame of stopwords (first column) is a left anti join:
-    broadcast when it has at most ``MAX_BROADCAST_ROWS`` rows (counted
-    first), a shuffle join otherwise.
+    task).  A DataFrame of stopwords (first column) is a left anti join, which
+    Spark broadcasts if the table is small enough.
     """
     if stopwords is None:
         return df
     if isinstance(stopwords, DataFrame):
         sw = stopwords.select(F.col(stopwords.columns[0]).alias("__stop")).distinct()
-        small = sw.count() <= MAX_BROADCAST_ROWS
-        return df.join(F.broadcast(sw) if small else sw,
-                       F.col(word) == F.col("__stop"), "left_anti")
+        return df.join(sw, F.col(word) == F.col("__stop"), "left_anti")
     return df.where(not_stopword(word, stopwords))
 
 
@@ -87,232 +82,79 @@ def vocabulary_size(lines: DataFrame, text: str = "line") -> DataFrame:
         F.countDistinct("word").alias("palabras_unicas"))
 
 
-def unique_ids(corpus: DataFrame, doc_id: str = "doc_id") -> bool:
-    """True when no non-NULL ``doc_id`` occurs on two rows.
-
-    Reads only the id column (partial counts per id, then one maximum), a
-    small fraction of what the (word, doc_id) pair shuffle it can save moves.
-    """
-    m = (corpus.where(F.col(doc_id).isNotNull()).groupBy(doc_id)
-         .agg(F.count(F.lit(1)).alias("__c")).agg(F.max("__c")).first()[0])
-    return m is None or m <= 1
-
-
-def repeated_ids(corpus: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """``(__rid)``: the non-NULL ids that occur on more than one row."""
-    return (corpus.where(F.col(doc_id).isNotNull()).groupBy(doc_id)
-            .agg(F.count(F.lit(1)).alias("__c")).where(F.col("__c") > 1)
-            .select(F.col(doc_id).alias("__rid")))
-
-
-def _id_plan(corpus: DataFrame, doc_id: str, ids_unique: bool | None):
-    """How to count documents: ``("unique" | "hybrid" | "dedup", repeated)``.
-
-    ``ids_unique`` True/False forces the unique or the de-duplicating plan.
-    Otherwise the repeated ids are found (id column only) and written once:
-    none -> "unique"; at most ``MAX_BROADCAST_ROWS`` -> "hybrid" (they are
-    broadcast); more -> "dedup".
-    """
-    if ids_unique is True:
-        return "unique", None
-    if ids_unique is False:
-        return "dedup", None
-    rep = repeated_ids(corpus, doc_id).checkpoint()
-    n = rep.count()
-    if n == 0:
-        return "unique", None
-    return ("hybrid", rep) if n <= MAX_BROADCAST_ROWS else ("dedup", None)
-
-
-def _per_row(corpus: DataFrame, doc_id: str, content: str, stopwords, keep=()) -> DataFrame:
-    return words(corpus, content, keep=[doc_id, *keep], stopwords=stopwords,
-                 distinct_per_row=True)
-
-
-def _doc_counts(corpus: DataFrame, doc_id: str, content: str, stopwords,
-                plan: str, rep: DataFrame | None) -> DataFrame:
-    """``(word, doc_count)``, counting distinct non-NULL ids, by ``plan``.
-
-    * unique: per-row distinct words already hold every (word, doc_id) once:
-      a per-word count (partial counts per task, one small exchange);
-    * dedup: (word, doc_id) pairs de-duplicated by one exchange, then counted;
-    * hybrid: rows are tagged with their id when it repeats (broadcast of the
-      repeated ids) and aggregated once on (word, repeated id or none): rows
-      with unique ids collapse map-side into one count per word, copies into
-      one row per (word, id), each then counting 1.  Only the copies' pairs
-      cross the shuffle -- a document copied into a third of all rows costs
-      its own distinct words, not a third of the corpus.
-    """
-    if plan == "unique":
-        return (_per_row(corpus, doc_id, content, stopwords)
-                .groupBy("word").agg(F.count(doc_id).alias("doc_count")))
-    if plan == "dedup":
-        return (_per_row(corpus, doc_id, content, stopwords).distinct()
-                .groupBy("word").agg(F.count(doc_id).alias("doc_count")))
-    tagged = corpus.join(F.broadcast(rep), F.col(doc_id) == F.col("__rid"), "left")
-    stage = (_per_row(tagged, doc_id, content, stopwords, keep=["__rid"])
-             .groupBy("word", "__rid").agg(F.count(doc_id).alias("__c")))
-    return stage.groupBy("word").agg(
-        F.sum(F.when(F.col("__rid").isNull(), F.col("__c")).otherwise(F.lit(1)))
-        .cast("bigint").alias("doc_count"))
+def doc_words(corpus: DataFrame, doc_id: str = "doc_id", content: str = "content",
+              stopwords: Iterable[str] | DataFrame | None = STOPWORDS) -> DataFrame:
+    """``(word, doc_id)``: every pair once."""
+    return words(corpus, content, keep=[doc_id], stopwords=stopwords,
+                 distinct_per_row=True).select("word", doc_id).distinct()
 
 
 def doc_frequency_all(corpus: DataFrame, doc_id: str = "doc_id",
                       content: str = "content",
-                      stopwords: Iterable[str] | DataFrame | None = STOPWORDS,
-                      ids_unique: bool | None = None) -> DataFrame:
+                      stopwords: Iterable[str] | DataFrame | None = STOPWORDS) -> DataFrame:
     """``(word, doc_count)`` for every word: distinct documents containing it.
 
     ``COUNT(DISTINCT doc_id)`` semantics: NULL ids are not counted (a word
-    seen only under NULL ids has ``doc_count`` 0).  The plan follows the ids
-    (``_id_plan``): no pair shuffle when they are unique, only the copies'
-    pairs when a few ids repeat, all pairs de-duplicated otherwise.
+    seen only under NULL ids has ``doc_count`` 0).
     """
-    plan, rep = _id_plan(corpus, doc_id, ids_unique)
-    return _doc_counts(corpus, doc_id, content, stopwords, plan, rep)
+    return (doc_words(corpus, doc_id, content, stopwords)
+            .groupBy("word").agg(F.count(doc_id).alias("doc_count")))
 
 
 def doc_frequency(corpus: DataFrame, k: int = 20, doc_id: str = "doc_id",
                   content: str = "content",
-                  stopwords: Iterable[str] | DataFrame | None = STOPWORDS,
-                  ids_unique: bool | None = None) -> DataFrame:
+                  stopwords: Iterable[str] | DataFrame | None = STOPWORDS) -> DataFrame:
     """Top ``k`` words by document frequency, stopwords removed."""
-    return (doc_frequency_all(corpus, doc_id, content, stopwords, ids_unique)
+    return (doc_frequency_all(corpus, doc_id, content, stopwords)
             .orderBy(F.desc("doc_count"), F.asc("word")).limit(k))
 
 
-def _grouped_tf(df: DataFrame, doc_id: str, content: str, stopwords) -> DataFrame:
-    """(word, doc_id, tf) by grouping tokens across rows (one exchange)."""
-    return (words(df, content, keep=[doc_id], stopwords=stopwords)
-            .groupBy("word", doc_id).agg(F.count(F.lit(1)).alias("tf")))
-
-
-def _row_tf(df: DataFrame, doc_id: str, content: str, stopwords) -> DataFrame:
-    """(word, doc_id, tf) computed inside each row, without any shuffle.
-
-    The row's words are sorted and counted as runs: a run starts where a word
-    differs from its predecessor, and its length is the distance to the next
-    start.  Right when each row is its own document (a unique id).
-    """
-    arr = token_array(content)
-    keep_word = lambda t: F.length(t) >= MIN_WORD_LEN_FOR_TF
-    listed = stopwords is not None and not isinstance(stopwords, DataFrame)
-    if listed:
-        stops = list(stopwords)
-        ws = F.array_sort(F.filter(arr, lambda t: keep_word(t) & ~t.isin(*stops)))
-    else:
-        ws = F.array_sort(F.filter(arr, keep_word))
-    rows = spread(df).select(doc_id, ws.alias("__w"))
-    n = F.size("__w")
-    pos = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    starts = F.filter(pos, lambda p: (p == 0) | (F.get("__w", p) != F.get("__w", p - 1)))
-    runs = rows.select(doc_id, "__w", starts.alias("__s")).select(
-        doc_id, F.explode(F.transform(
-            "__s", lambda st, j: F.struct(
-                F.get("__w", st).alias("word"),
-                (F.coalesce(F.get("__s", j + 1), F.size("__w")) - st).alias("tf")))).alias("__r"))
-    out = runs.select(F.col("__r.word").alias("word"), doc_id,
-                      F.col("__r.tf").cast("bigint").alias("tf"))
-    if stopwords is not None and not listed:
-        out = remove_stopwords(out, stopwords)
-    return out
-
-
 def postings(corpus: DataFrame, doc_id: str = "doc_id", content: str = "content",
-             stopwords: Iterable[str] | DataFrame | None = STOPWORDS,
-             ids_unique: bool | None = None) -> DataFrame:
+             stopwords: Iterable[str] | DataFrame | None = STOPWORDS) -> DataFrame:
     """The full index as rows: ``(word, doc_id, tf)``.
 
-    Rows whose id occurs once (the common case) get their term frequencies
-    inside the row -- no shuffle of the index at all.  Rows sharing an id
-    (copies, and NULL ids, which group together) are grouped on
-    (word, doc_id), spread over as many tasks as there are such pairs.
+    One aggregation on (word, doc_id), combined in each task first and spread
+    over as many tasks as there are pairs; NULL ids group together.
     """
-    plan, rep = _id_plan(corpus, doc_id, ids_unique)
-    if plan == "dedup":
-        return _grouped_tf(corpus, doc_id, content, stopwords)
-    if plan == "unique":
-        once = corpus.where(F.col(doc_id).isNotNull())
-        shared = corpus.where(F.col(doc_id).isNull())
-    else:
-        tagged = corpus.join(F.broadcast(rep), F.col(doc_id) == F.col("__rid"), "left")
-        single = F.col("__rid").isNull() & F.col(doc_id).isNotNull()
-        once = tagged.where(single).drop("__rid")
-        shared = tagged.where(~single).drop("__rid")
-    return (_row_tf(once, doc_id, content, stopwords)
-            .unionByName(_grouped_tf(shared, doc_id, content, stopwords)))
-
-
-def _integral(dtype: T.DataType) -> bool:
-    return isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
-
-
-def _block_of(doc: str, dtype: T.DataType, n_blocks: Column, block_size: int) -> Column:
-    if _integral(dtype):
-        # id ranges, exact integer floor division: blocks come out in id order
-        return F.expr(f"(`{doc}` - pmod(`{doc}`, {block_size})) div {block_size}").cast("bigint")
-    return F.pmod(F.xxhash64(F.col(doc)), n_blocks)
+    return (words(corpus, content, keep=[doc_id], stopwords=stopwords)
+            .groupBy("word", doc_id).agg(F.count(F.lit(1)).alias("tf")))
 
 
 def inverted_index(corpus: DataFrame, k: int = 20, doc_id: str = "doc_id",
                    content: str = "content",
                    stopwords: Iterable[str] | DataFrame | None = STOPWORDS,
                    block_size: int = DEFAULT_BLOCK_SIZE,
-                   layout: str = "blocks", ids_unique: bool | None = None) -> DataFrame:
+                   layout: str = "blocks") -> DataFrame:
     """Postings of the top ``k`` words by document frequency.
 
     ``layout="blocks"`` (default) returns ``(word, doc_count, block,
     doc_list)``: each row lists, comma-joined and sorted, at most
-    ``block_size`` ids of one word.  For integral ids a block is the id range
-    ``[block*block_size, (block+1)*block_size)`` and concatenating a word's
-    blocks in block order gives its full sorted list; other ids are hashed
-    into buckets of about ``block_size`` ids, each cut into sorted slices of
-    at most ``block_size`` (block = bucket * 2^20 + slice).  No row and no
-    task holds a whole postings list.
+    ``block_size`` ids of one word.  Ids of any type are dealt by the MD5 of
+    their text into buckets of about ``block_size`` ids, each cut into sorted
+    slices (block = bucket * 2^20 + slice); NULL ids are in no block.  No row
+    and no task holds a whole postings list.
 
     ``layout="single"`` returns one ``(word, doc_count, doc_list)`` row per
     word, the whole list in one value; its size grows with the corpus, so use
     it only where a word's postings fit in one task.
     """
-    if k > MAX_BROADCAST_ROWS:
-        raise ValueError(f"k={k} exceeds {MAX_BROADCAST_ROWS}; use postings()")
-    plan, rep = _id_plan(corpus, doc_id, ids_unique)
-    if plan == "dedup":
-        # every (word, doc_id) pair once: one exchange, which both branches
-        # below read (the plan reuses it), so the corpus is tokenised once
-        pairs = _per_row(corpus, doc_id, content, stopwords).distinct()
-        if layout == "blocks":
-            # a NULL id is listed in no block; dropped for both branches
-            pairs = pairs.where(F.col(doc_id).isNotNull())
-        counts = pairs.groupBy("word").agg(F.count(doc_id).alias("doc_count"))
-    else:
-        # counts without shuffling pairs; the postings of the k chosen words
-        # are read again below (copies collapse in the set aggregation)
-        counts = _doc_counts(corpus, doc_id, content, stopwords, plan, rep)
-        pairs = _per_row(corpus, doc_id, content, stopwords)
-        if layout == "blocks":
-            counts = counts.where(F.col("doc_count") > 0)
-            pairs = pairs.where(F.col(doc_id).isNotNull())
+    if layout not in ("blocks", "single"):
+        raise ValueError(f"unknown layout {layout!r}")
+    pairs = doc_words(corpus, doc_id, content, stopwords)
+    if layout == "blocks":
+        pairs = pairs.where(F.col(doc_id).isNotNull())
+    counts = pairs.groupBy("word").agg(F.count(doc_id).alias("doc_count"))
     top = counts.orderBy(F.desc("doc_count"), F.asc("word")).limit(k)
-    # top has at most k rows (checked above): safe to broadcast
-    sel = pairs.join(F.broadcast(top), "word")
-    ids_type = corpus.schema[doc_id].dataType
+    sel = pairs.join(top, "word")
     if layout == "single":
         return (sel.groupBy("word", "doc_count")
                 .agg(F.array_join(F.array_sort(F.collect_set(doc_id)).cast("array<string>"),
                                   ",").alias("doc_list")))
-    if layout != "blocks":
-        raise ValueError(f"unknown layout {layout!r}")
     n_blocks = F.greatest(F.lit(1), F.ceil(F.col("doc_count") / F.lit(block_size)))
-    blocked = sel.withColumn("block", _block_of(doc_id, ids_type, n_blocks, block_size))
-    lists = (blocked.groupBy("word", "doc_count", "block")
+    digest = F.md5(F.col(doc_id).cast("string").cast("binary"))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % n_blocks
+    lists = (sel.withColumn("block", bucket).groupBy("word", "doc_count", "block")
              .agg(F.array_sort(F.collect_set(doc_id)).cast("array<string>").alias("ids")))
-    if _integral(ids_type):
-        # an id range holds at most block_size ids
-        return lists.select("word", "doc_count", "block",
-                            F.array_join("ids", ",").alias("doc_list"))
-    # a hash bucket holds about block_size ids: cut its sorted list into
-    # slices of at most block_size; block = bucket * 2^20 + slice
     n = F.ceil(F.size("ids") / F.lit(block_size)).cast("int")
     slices = F.transform(F.sequence(F.lit(0), n - 1),
                          lambda i: F.slice("ids", i * block_size + 1, block_size))
@@ -323,210 +165,55 @@ def inverted_index(corpus: DataFrame, k: int = 20, doc_id: str = "doc_id",
                     F.array_join("chunk", ",").alias("doc_list")))
 
 
-def _ranked(groups: DataFrame, doc_id: str, k: int) -> DataFrame:
-    return (groups.orderBy(F.desc("score"), F.asc_nulls_last(doc_id),
-                           F.asc_nulls_last("titulo"))
-            .limit(k))
-
-
 def search_word(corpus: DataFrame, word: str, k: int = 10, doc_id: str = "doc_id",
-                content: str = "content", strategy: str = "auto",
-                ids_unique: bool | None = None) -> DataFrame:
+                content: str = "content") -> DataFrame:
     """Documents containing ``word``, scored by its term frequency.
 
     Output ``(doc_id, titulo, score)``; the group is (doc_id, content), so a
     replicated row adds its count again.  No stopword or length filter.
     """
-    return search_all_words(corpus, [word], k, doc_id, content, strategy, ids_unique)
+    return search_all_words(corpus, [word], k, doc_id, content)
 
 
-def _hits(corpus: DataFrame, ts: list[str], doc_id: str, content: str,
-          spread_input: bool = True, keep: Iterable[str] = ()) -> DataFrame:
+def _hits(corpus: DataFrame, ts: list[str], content: str) -> DataFrame:
     """Rows holding every term, with ``_tf`` = occurrences of the terms.
 
-    A substring test (necessary condition) runs before the regex split, so
-    rows that cannot match are never tokenised.
-    """
-    pre = may_contain_all(content, ts) if len(ts) > 1 else may_contain_any(content, ts)
-    rows = corpus.where(pre)
-    arr = ((spread(rows) if spread_input else rows)
-           .select(doc_id, content, *keep, token_array(content).alias("_tokens")))
-    scored = arr.select(doc_id, content, *keep,
-                        count_matches(F.col("_tokens"), ts).alias("_tf"),
-                        distinct_matches(F.col("_tokens"), ts).alias("_nd"))
-    return scored.where(F.col("_nd") == len(ts)).drop("_nd")
-
-
-# Below this input size the direct search's text shuffle is cheap.
-DIRECT_SEARCH_MAX_BYTES = 1 << 30
-
-
-def _input_bytes_bound(df: DataFrame) -> int:
-    """Upper bound of a scan's input bytes: partitions x max bytes per split."""
-    spark = df.sparkSession
-    raw = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
-    per = _parse_bytes(raw)
-    try:
-        return df.rdd.getNumPartitions() * per
-    except Exception:  # noqa: BLE001 - no RDD view: assume large (keyed plan)
-        return DIRECT_SEARCH_MAX_BYTES + 1
-
-
-def _parse_bytes(v: str) -> int:
-    v = v.strip().lower()
-    for suffix, mult in (("k", 1 << 10), ("m", 1 << 20), ("g", 1 << 30), ("t", 1 << 40)):
-        for s in (suffix + "b", suffix):
-            if v.endswith(s):
-                return int(float(v[: -len(s)]) * mult)
-    return int(v.rstrip("b"))
-
-
-def _text_key(content: str) -> list[Column]:
-    c = F.col(content)
-    return [F.xxhash64(c).alias("_h1"), F.hash(c).alias("_h2"), F.length(c).alias("_len")]
-
-
-_KEY = ["_h1", "_h2", "_len"]
-
-
-def _direct(hits: DataFrame, doc_id: str, content: str, k: int) -> DataFrame:
-    groups = (hits.groupBy(doc_id, content)
-              .agg(F.sum("_tf").cast("bigint").alias("score"))
-              .select(doc_id, F.col(content).alias("titulo"), "score"))
-    return _ranked(groups, doc_id, k)
-
-
-def _rows_plan(hits: DataFrame, doc_id: str, content: str, k: int) -> DataFrame:
-    """Search when no non-NULL id repeats: each such row is its own group.
-
-    Rows are ranked directly (a per-task top k, no aggregation).  NULL ids
-    can still share a group, per text; only those rows are aggregated.
+    A substring test comes first, so rows that cannot match cost no more; the
+    terms are then counted in place.
     """
-    single = (hits.where(F.col(doc_id).isNotNull())
-              .select(doc_id, F.col(content).alias("titulo"),
-                      F.col("_tf").cast("bigint").alias("score")))
-    nulls = (hits.where(F.col(doc_id).isNull()).groupBy(doc_id, content)
-             .agg(F.sum("_tf").cast("bigint").alias("score"))
-             .select(doc_id, F.col(content).alias("titulo"), "score"))
-    return _ranked(single.unionByName(nulls), doc_id, k)
-
-
-def _hybrid_plan(corpus: DataFrame, ts: list[str], doc_id: str, content: str, k: int,
-                 rep: DataFrame) -> DataFrame:
-    """A few ids repeat (``rep``, broadcast): rows with a unique id are ranked
-    as rows; only copies (and NULL ids) are grouped on (doc_id, content),
-    where copies in one task collapse map-side."""
-    tagged = corpus.join(F.broadcast(rep), F.col(doc_id) == F.col("__rid"), "left")
-    hits = _hits(tagged, ts, doc_id, content, keep=["__rid"])
-    once = F.col("__rid").isNull() & F.col(doc_id).isNotNull()
-    single = hits.where(once).select(doc_id, F.col(content).alias("titulo"),
-                                     F.col("_tf").cast("bigint").alias("score"))
-    grouped = (hits.where(~once).groupBy(doc_id, content)
-               .agg(F.sum("_tf").cast("bigint").alias("score"))
-               .select(doc_id, F.col(content).alias("titulo"), "score"))
-    return _ranked(single.unionByName(grouped), doc_id, k)
+    rows = corpus.where(may_contain_all(content, ts))
+    counts = [f"_c{i}" for i in range(len(ts))]
+    rows = rows.select("*", *[term_count(content, t).alias(c) for t, c in zip(ts, counts)])
+    found = rows.where(" AND ".join(f"{c} > 0" for c in counts))
+    return found.withColumn("_tf", F.expr(" + ".join(counts))).drop(*counts)
 
 
 def search_all_words(corpus: DataFrame, terms: Iterable[str], k: int = 10,
-                     doc_id: str = "doc_id", content: str = "content",
-                     strategy: str = "auto", ids_unique: bool | None = None) -> DataFrame:
+                     doc_id: str = "doc_id", content: str = "content") -> DataFrame:
     """Documents containing every term (AND), scored by summed frequencies.
 
     A group (doc_id, content) always has identical text in all its rows, so
     "all terms present" is decided per row and only the score is summed.
 
-    ``strategy="direct"`` groups on (doc_id, content): one pass, but the text
-    of every matching row crosses the shuffle -- for a common word, most of
-    the corpus.  ``strategy="keyed"`` (default) keeps the text out of the
-    shuffle and is still exact:
-
-    1. scores are aggregated on (doc_id, 64-bit hash, 32-bit hash, length of
-       the text) -- a few bytes per row cross the shuffle;
-    2. the top k of those groups, plus any group tied with the k-th on
-       (score, doc_id), are the candidates (at most k rows go to the driver,
-       to read the k-th score);
-    3. only candidate rows are read again with their text, regrouped on
-       (doc_id, content) and ranked.  If two different texts of one doc_id
-       ever shared a key, step 3 sees two texts under one key and the search
-       falls back to the direct plan.
-
-    ``strategy="rows"`` is for corpora where no non-NULL id repeats: every
-    group is then one row, ranked without any aggregation.
-
-    ``strategy="auto"`` (default) looks at the ids (``_id_plan``: the id
-    column only, unless ``ids_unique`` is given): unique -> the rows plan; a
-    few repeated ids -> rows for the unique ones and grouping for the copies
-    only; many -> the direct plan when the whole input is provably small (at
-    most ``DIRECT_SEARCH_MAX_BYTES`` by the upper bound scan partitions x
-    ``spark.sql.files.maxPartitionBytes``, which bounds its shuffle), and
-    the keyed plan beyond that.
+    1. Scores are aggregated on (doc_id, two hashes and the length of the
+       text): a few bytes per matching row cross the shuffle, no text.
+    2. The top k of those groups by (score, doc_id) name at most k ids.  Any
+       group of the true top k has one of them, as groups that tie on (score,
+       doc_id) share the id.
+    3. Matching rows of these ids are read again with their text, grouped on
+       (doc_id, content) and ranked; this is exact for ids with many texts,
+       too.
     """
     ts = normalise_terms(terms)
-    if k > MAX_BROADCAST_ROWS:
-        raise ValueError(f"k={k} exceeds {MAX_BROADCAST_ROWS}")
-    if strategy == "auto":
-        plan, rep = _id_plan(corpus, doc_id, ids_unique)
-        if plan == "unique":
-            strategy = "rows"
-        elif plan == "hybrid":
-            return _hybrid_plan(corpus, ts, doc_id, content, k, rep)
-        elif _input_bytes_bound(corpus) <= DIRECT_SEARCH_MAX_BYTES:
-            strategy = "direct"
-        else:
-            strategy = "keyed"
-    hits = _hits(corpus, ts, doc_id, content)
-    if strategy == "rows":
-        return _rows_plan(hits, doc_id, content, k)
-    if strategy == "direct":
-        return _direct(hits, doc_id, content, k)
-    if strategy != "keyed":
-        raise ValueError(f"unknown strategy {strategy!r}")
-
-    # a few bytes per matching text; written once so that the top-k and the
-    # candidate filter below do not tokenise the corpus again
-    keyed = (hits.select(doc_id, *_text_key(content), "_tf")
-             .groupBy(doc_id, *_KEY).agg(F.sum("_tf").cast("bigint").alias("score"))
-             .checkpoint(eager=True))
-    order = [F.desc("score"), F.asc_nulls_last(doc_id)]
-    top = keyed.orderBy(*order).limit(k).collect()          # <= k rows
-    spark = corpus.sparkSession
-    out_schema = (f"{doc_id} {corpus.schema[doc_id].dataType.simpleString()}, "
-                  f"titulo string, score bigint")
-    if not top:
-        return spark.createDataFrame([], out_schema)
-    cands = keyed
-    if len(top) == k:
-        s_k, d_k = top[-1]["score"], top[-1][doc_id]
-        tie = (F.col("score") == s_k)
-        if d_k is not None:
-            tie = tie & (F.col(doc_id) <= F.lit(d_k))
-        cands = keyed.where((F.col("score") > s_k) | tie)
-    # renamed: the candidate side must not share column identities with the
-    # corpus side it is joined to
-    cands = cands.select(F.col(doc_id).alias("_cdoc"),
-                         *[F.col(c).alias("_c" + c) for c in _KEY]).checkpoint(eager=True)
-    n_cands = cands.count()
-    small = n_cands <= MAX_BROADCAST_ROWS
-    right = F.broadcast(cands) if small else cands
-    ids = cands.select("_cdoc").distinct()
-    # second read: cheap substring test, then the candidate ids, and only
-    # then hash the text of the few surviving rows
-    by_id = corpus.where(may_contain_all(content, ts)).join(
-        F.broadcast(ids) if small else ids, F.col(doc_id).eqNullSafe(F.col("_cdoc")),
-        "left_semi")
-    rows = by_id.select(doc_id, content, *_text_key(content))
-    cond = ([rows[doc_id].eqNullSafe(F.col("_cdoc"))]
-            + [rows[c] == F.col("_c" + c) for c in _KEY])
-    picked = rows.join(right, cond, "left_semi")
-    exact = _hits(picked, ts, doc_id, content, spread_input=False)
-    groups = (exact.groupBy(doc_id, content)
-              .agg(F.sum("_tf").cast("bigint").alias("score"),
-                   F.first(F.struct(*_text_key(content))).alias("_k"))
-              .select(doc_id, F.col(content).alias("titulo"), "score", "_k"))
-    found = groups.collect()                                 # <= candidates rows
-    keys = [(r[doc_id], tuple(r["_k"])) for r in found]
-    if len(set(keys)) != len(keys):                          # a key held two texts
-        return _direct(hits, doc_id, content, k)
-    result = spark.createDataFrame([(r[doc_id], r["titulo"], r["score"]) for r in found],
-                                   out_schema)
-    return _ranked(result, doc_id, k)
+    hits = _hits(corpus.select(doc_id, content), ts, content)
+    text = F.col(content)
+    keyed = (hits.select(doc_id, F.xxhash64(text).alias("_h1"), F.hash(text).alias("_h2"),
+                         F.length(text).alias("_len"), "_tf")
+             .groupBy(doc_id, "_h1", "_h2", "_len").agg(F.sum("_tf").alias("score")))
+    ids = (keyed.orderBy(F.desc("score"), F.asc_nulls_last(doc_id)).limit(k)
+           .select(F.col(doc_id).alias("_id")))
+    found = hits.join(ids, F.col(doc_id).eqNullSafe(F.col("_id")), "left_semi")
+    groups = (found.groupBy(doc_id, content).agg(F.sum("_tf").cast("bigint").alias("score"))
+              .select(doc_id, F.col(content).alias("titulo"), "score"))
+    return (groups.orderBy(F.desc("score"), F.asc_nulls_last(doc_id), F.asc_nulls_last("titulo"))
+            .limit(k))

@@ -17,14 +17,15 @@ from pyspark.sql import functions as F
 from tessera.operators.corpus import (
     corpus_stats, gen_text, number_corpus_file_order, plan_replication,
     plan_text_replication, replicate_corpus, replicate_lines, title_bytes)
+from tessera.session import work_root
 from tessera.sources.text import read_lines_positioned, write_lines, write_tsv_corpus
 
 MB = 1024 * 1024
 
 
 def build_title_corpus(spark: SparkSession, titles: str, out: str,
-                       target_bytes: int | None = None, part_bytes: int = 50 * MB,
-                       max_copies: int | None = None) -> dict:
+                       target_bytes: int | None = None,
+                       part_bytes: int = 50 * MB) -> dict:
     """Numbered title corpus at ``out/input`` and its doc map at ``out/doc_map``.
 
     Without a target: one row per non-blank title, numbered in file order.
@@ -33,15 +34,16 @@ def build_title_corpus(spark: SparkSession, titles: str, out: str,
     reach ``target_bytes`` (``plan_replication``); the doc map lists the base
     chunk.
     """
-    # reused four times below (sizes, count, two writes): written once
-    numbered = number_corpus_file_order(read_lines_positioned(spark, titles)).checkpoint()
+    # reused three times below (sizes, two writes): written once
+    numbered, n_titles = number_corpus_file_order(read_lines_positioned(spark, titles))
+    numbered = numbered.checkpoint()
     if target_bytes is None:
         repeats, copies = 1, 1
     else:
         single = title_bytes(numbered, "content")
-        repeats, copies = plan_replication(single, target_bytes, part_bytes, max_copies)
-    base = replicate_corpus(numbered, repeats, 1).drop("copy")
-    corpus = replicate_corpus(numbered, repeats, copies).drop("copy")
+        repeats, copies = plan_replication(single, target_bytes, part_bytes)
+    base = replicate_corpus(numbered, n_titles, repeats, 1).drop("copy")
+    corpus = replicate_corpus(numbered, n_titles, repeats, copies).drop("copy")
     write_tsv_corpus(corpus, "doc_id", "content", f"{out}/input")
     write_tsv_corpus(base, "doc_id", "content", f"{out}/doc_map")
     return {"corpus": f"{out}/input", "doc_map": f"{out}/doc_map",
@@ -56,6 +58,7 @@ def build_text(spark: SparkSession, out: str, base_bytes: int = 2 * MB,
     The base is repeated to at least ``min_part_bytes`` and that block copied
     ``round(target / block)`` times (``plan_text_replication``).
     """
+    work_root(spark)                     # makes sure a checkpoint folder is named
     base = gen_text(spark, base_bytes, seed).checkpoint()   # sized, then copied
     if target_bytes is None:
         times = 1

@@ -23,6 +23,7 @@ from tessera.operators import trips as TR
 from tessera.plans import ingest as IG
 from tessera.plans import materialize as M
 from tessera.session import fresh_dir
+from tessera.sources import tables as DT
 from tessera.sources import testdata as TD
 from tessera.sources.text import read_lines, read_lines_positioned, read_tsv_corpus
 from tessera.sources.trips import read_trips_era, read_trips_partitioned
@@ -185,6 +186,11 @@ def _numbered_titles(spark, sf):
     return C.number_corpus(part, order=["p_partkey"])
 
 
+def _replicated_titles(spark, sf):
+    numbered, n = _numbered_titles(spark, sf)
+    return C.replicate_corpus(numbered, n, REPEATS, COPIES)
+
+
 def _lineitem_months(spark, sf):
     li = TD.table(spark, sf, "lineitem")
     return (li.select(F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"))
@@ -200,20 +206,20 @@ def _expected_months(spark, sf):
 
 
 def _ingest_fresh(spark, sf):
-    out = fresh_dir(spark, "taxi_part_rebuild")
+    out = fresh_dir(spark, "trips_rebuild")
     IG.ingest_trips(spark, M.era_path(spark, sf, "a"), M.era_path(spark, sf, "b"), out,
                     years=YEARS)
     return read_trips_partitioned(spark, out)
 
 
 def _routed_fresh(spark, sf):
-    out = fresh_dir(spark, "taxi_part_routed")
+    out = fresh_dir(spark, "trips_routed")
     IG.ingest_routed(spark, M.trip_landing(spark, sf), out, years=YEARS, era_b_from=ERA_B_FROM)
     return read_trips_partitioned(spark, out)
 
 
 def _append_fresh(spark, sf):
-    out = fresh_dir(spark, "taxi_part_append")
+    out = fresh_dir(spark, "trips_append")
     IG.append_era(spark, M.era_path(spark, sf, "a"), "a", out, years=YEARS)
     IG.append_era(spark, M.era_path(spark, sf, "b"), "b", out, years=YEARS)
     return read_trips_partitioned(spark, out)
@@ -221,7 +227,7 @@ def _append_fresh(spark, sf):
 
 def _stream_fresh(spark, sf):
     from tessera.streaming.ingest import run_trip_ingest
-    out = fresh_dir(spark, "taxi_part_stream")
+    out = fresh_dir(spark, "trips_stream")
     dirs = {"a": M.era_path(spark, sf, "a"), "b": M.era_path(spark, sf, "b")}
     # bounded micro-batches: the check covers exactly-once over many batches
     run_trip_ingest(spark, dirs, out, out + "-checkpoint", years=YEARS,
@@ -338,11 +344,16 @@ FROM trips"""))
   WHERE length(word) > 1 AND word NOT IN ({_STOP_SQL})),
 top AS (
   SELECT word, count(DISTINCT doc_id) AS doc_count FROM w
-  GROUP BY word ORDER BY doc_count DESC, word LIMIT {TOP_DOCS})
-SELECT w.word, top.doc_count, CAST(floor(w.doc_id / {INDEX_BLOCK}) AS BIGINT) AS block,
-       array_to_string(list_sort(list(DISTINCT w.doc_id)), ',') AS doc_list
-FROM w JOIN top ON w.word = top.word
-GROUP BY w.word, top.doc_count, block""")
+  GROUP BY word ORDER BY doc_count DESC, word LIMIT {TOP_DOCS}),
+b AS (
+  SELECT w.word, top.doc_count, list_sort(list(DISTINCT w.doc_id)) AS ids,
+         ('0x' || substr(md5(CAST(w.doc_id AS VARCHAR)), 1, 8))::BIGINT
+           % CAST(greatest(1, ceil(top.doc_count / {INDEX_BLOCK})) AS BIGINT) AS bucket
+  FROM w JOIN top ON w.word = top.word GROUP BY w.word, top.doc_count, bucket),
+s AS (SELECT *, unnest(range(0, CAST(ceil(len(ids) / {INDEX_BLOCK}) AS BIGINT))) AS part FROM b)
+SELECT word, doc_count, bucket * 1048576 + part AS block,
+       array_to_string(ids[part * {INDEX_BLOCK} + 1:(part + 1) * {INDEX_BLOCK}], ',') AS doc_list
+FROM s""")
     q["inverted_index_postings"] = (
         lambda s, sf: TX.postings(_docs(s, sf)),
         f"SELECT word, doc_id, count(*) AS tf FROM ({_tok('documents', 'text', 'doc_id')}) "
@@ -430,23 +441,6 @@ FROM trips GROUP BY payment_type ORDER BY viajes DESC, payment_type NULLS LAST""
                    f"WHERE anio = {PART_YEAR} AND mes = {PART_MONTHS[0]}"))
 
     # -- corpus preparation
-    q["gen_sentences"] = (
-        lambda s, sf: C.gen_sentences(_docs(s, sf).select(F.col("doc_id").alias("id"))),
-        None)
-    def _gen_text(s, sf):
-        # as many bytes of generated text as the documents table holds
-        target = C.corpus_stats(_docs(s, sf), "content").first()["n_bytes"]
-        return C.gen_text(s, int(target))
-    q["gen_text"] = (_gen_text, None)
-
-    def _build_text(s, sf):
-        # base text of a quarter of the documents' bytes, grown to their size
-        from tessera.plans.build import build_text
-        size = int(C.corpus_stats(_docs(s, sf), "content").first()["n_bytes"])
-        res = build_text(s, fresh_dir(s, "text_build"), base_bytes=size // 4,
-                         target_bytes=size, min_part_bytes=size // 2)
-        return read_lines(s, res["text"])
-    q["build_text"] = (_build_text, None)
     numbered_sql = """WITH t AS (
   SELECT p_partkey, regexp_replace(p_name, '^\\s+|\\s+$', '', 'g') AS title FROM part),
 c AS (SELECT * FROM t WHERE title <> ''),
@@ -454,31 +448,36 @@ n AS (SELECT title, row_number() OVER (ORDER BY p_partkey) AS n FROM c),
 tot AS (SELECT count(*) AS cnt FROM c)
 """
     q["number_corpus"] = (
-        _numbered_titles,
+        lambda s, sf: _numbered_titles(s, sf)[0],
         numbered_sql + "SELECT 'doc_' || lpad(CAST(n AS VARCHAR), CAST(length(CAST(cnt AS VARCHAR)) AS INTEGER), '0')"
         " || '.txt' AS doc_id, title AS content, n FROM n, tot")
     q["number_corpus_file_order"] = (
-        lambda s, sf: C.number_corpus_file_order(read_lines_positioned(s, M.title_lines(s, sf))),
+        lambda s, sf: C.number_corpus_file_order(read_lines_positioned(s, M.title_lines(s, sf)))[0],
         numbered_sql + "SELECT 'doc_' || lpad(CAST(n AS VARCHAR), CAST(length(CAST(cnt AS VARCHAR)) AS INTEGER), '0')"
         " || '.txt' AS doc_id, title AS content, n FROM n, tot")
-    def _build_titles(s, sf):
+    def _build_titles(s, sf, what="corpus"):
         from tessera.plans.build import build_title_corpus
         titles = M.title_lines(s, sf)
         single = C.title_bytes(read_lines(s, titles).withColumnRenamed("line", "title"))
         res = build_title_corpus(s, titles, fresh_dir(s, "title_corpus"),
                                  target_bytes=6 * single, part_bytes=2 * single)
-        return read_tsv_corpus(s, res["corpus"])
+        return read_tsv_corpus(s, res[what])
+    q["doc_map_sink"] = (
+        lambda s, sf: _build_titles(s, sf, "doc_map"),
+        numbered_sql + "SELECT 'doc_' || lpad(CAST(r.r * cnt + n AS VARCHAR), "
+        "CAST(length(CAST(cnt * 2 AS VARCHAR)) AS INTEGER), '0') || '.txt' AS doc_id, "
+        "title AS content FROM n, tot, range(0, 2) r(r)")
     q["build_title_corpus"] = (
         _build_titles,
         numbered_sql + "SELECT 'doc_' || lpad(CAST(r.r * cnt + n AS VARCHAR), "
         "CAST(length(CAST(cnt * 2 AS VARCHAR)) AS INTEGER), '0') || '.txt' AS doc_id, "
         "title AS content FROM n, tot, range(0, 2) r(r), range(1, 4) k(k)")
     q["doc_map"] = (
-        lambda s, sf: C.doc_map(_numbered_titles(s, sf)),
+        lambda s, sf: C.doc_map(_numbered_titles(s, sf)[0]),
         numbered_sql + "SELECT 'doc_' || lpad(CAST(n AS VARCHAR), CAST(length(CAST(cnt AS VARCHAR)) AS INTEGER), '0')"
         " || '.txt' AS doc_id, title FROM n, tot")
     q["replicate_corpus"] = (
-        lambda s, sf: C.replicate_corpus(_numbered_titles(s, sf), REPEATS, COPIES),
+        _replicated_titles,
         numbered_sql + "SELECT 'doc_' || lpad(CAST(r.r * cnt + n AS VARCHAR), "
         f"CAST(length(CAST(cnt * {REPEATS} AS VARCHAR)) AS INTEGER), '0') || '.txt' AS doc_id, "
         "title AS content, CAST(k.k AS INTEGER) AS copy "
@@ -491,14 +490,14 @@ tot AS (SELECT count(*) AS cnt FROM c)
 """
     q["search_word_replicated"] = (
         lambda s, sf: TX.search_word(
-            C.replicate_corpus(_numbered_titles(s, sf), REPEATS, COPIES).drop("copy"),
+            _replicated_titles(s, sf).drop("copy"),
             TITLE_WORD, TOP_HITS),
         replicated_sql + "SELECT doc_id, content AS titulo, count(*) AS score FROM ("
         + _tok("rep", "content", "doc_id, content") + f") WHERE word = '{TITLE_WORD}' "
         f"GROUP BY doc_id, content ORDER BY score DESC, doc_id, titulo LIMIT {TOP_HITS}")
     q["doc_frequency_replicated"] = (
         lambda s, sf: TX.doc_frequency(
-            C.replicate_corpus(_numbered_titles(s, sf), REPEATS, COPIES).drop("copy"), TOP_DOCS),
+            _replicated_titles(s, sf).drop("copy"), TOP_DOCS),
         replicated_sql + "SELECT word, count(DISTINCT doc_id) AS doc_count FROM ("
         + _tok("rep", "content", "doc_id") + f") WHERE length(word) > 1 AND word NOT IN "
         f"({_STOP_SQL}) GROUP BY word ORDER BY doc_count DESC, word LIMIT {TOP_DOCS}")
@@ -536,18 +535,21 @@ e AS (
   SELECT DISTINCT printf('yellow_tripdata_%04d-%02d.parquet',
                          year(l_shipdate), month(l_shipdate)) AS file_name FROM lineitem)
 SELECT * FROM e WHERE file_name NOT IN (SELECT file_name FROM f)""")
-    def _stage_timings(s, sf):
-        # the six analytical trip queries, timed like an interactive session
-        from tessera.plans.timing import time_queries, timings_frame
-        names = ["trip_total", "distance_stats", "trips_by_hour", "payment_methods",
-                 "top_trips", "monthly_revenue"]
-        return timings_frame(s, time_queries(s, {n: q[n][0] for n in names}, sf,
-                                             count_rows=True))
-    q["stage_timings"] = (_stage_timings, None)
     q["source_inventory"] = (
         lambda s, sf: FL.source_inventory(
-            s, {"a": M.era_path(s, sf, "a"), "b": M.era_path(s, sf, "b")}),
-        None)
+            s, {"a": M.era_path(s, sf, "a"), "b": M.era_path(s, sf, "b")}).select("era", "n_months"),
+        months_cte + f"SELECT CASE WHEN year < {y} OR (year = {y} AND month < {mth}) THEN 'a' ELSE 'b' END AS era, "
+        "count(*) AS n_months FROM f GROUP BY 1")
+    # a named, partitioned table defined over its folder, and SQL over the name
+    def _defined_table(s, sf):
+        name = f"trips_defined_{abs(hash(sf)) % 10**8}"
+        DT.define_trips_partitioned_table(s, name, M.trips_table(s, sf))
+        return s.sql(f"SELECT anio, mes, count(*) AS viajes, min(tpep_pickup_datetime) AS first_pickup "
+                     f"FROM {name} WHERE mes <= 6 GROUP BY anio, mes")
+    q["defined_table_sql"] = (
+        _defined_table,
+        _trips_sql("SELECT anio, mes, count(*) AS viajes, min(tpep_pickup_datetime) AS first_pickup "
+                   "FROM trips WHERE mes <= 6 GROUP BY anio, mes"))
     return q
 
 

@@ -80,7 +80,7 @@ def ingest_routed(spark: SparkSession, landing: str, out: str,
 def append_era(spark: SparkSession, path: str | list[str], era: str, out: str,
                years: tuple[int, int] = SOURCE_YEARS, rebalance: bool = False,
                max_records_per_file: int | None = None) -> str:
-    """``INSERT INTO taxi_part PARTITION (anio, mes) SELECT ...`` for one era.
+    """``INSERT INTO <table> PARTITION (anio, mes) SELECT ...`` for one era.
 
     Appends: running it twice doubles that era's rows, as in the reference.
     """

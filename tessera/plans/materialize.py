@@ -40,20 +40,20 @@ def era_path(spark: SparkSession, sf_dir: str, era: str) -> str:
 
 def trips_table(spark: SparkSession, sf_dir: str) -> str:
     """The partitioned trip table built from the landed files."""
-    return _memo(spark, sf_dir, "taxi_part", lambda d: ingest_trips(
+    return _memo(spark, sf_dir, "trips_by_month", lambda d: ingest_trips(
         spark, era_path(spark, sf_dir, "a"), era_path(spark, sf_dir, "b"), d,
         years=testdata.TEST_YEARS))
 
 
 def text_lines(spark: SparkSession, sf_dir: str) -> str:
     """Text files holding ``documents.text`` (one file per task)."""
-    return _memo(spark, sf_dir, "wm_input", lambda d: write_lines(
+    return _memo(spark, sf_dir, "lines_input", lambda d: write_lines(
         testdata.table(spark, sf_dir, "documents"), "text", d))
 
 
 def tsv_corpus(spark: SparkSession, sf_dir: str) -> str:
     """``p_partkey<TAB>p_name`` lines written from ``part``."""
-    return _memo(spark, sf_dir, "cg_corpus", lambda d: write_tsv_corpus(
+    return _memo(spark, sf_dir, "corpus_input", lambda d: write_tsv_corpus(
         testdata.table(spark, sf_dir, "part"), "p_partkey", "p_name", d))
 
 

@@ -11,7 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# The 18 trip columns in reference order.  airport_fee / cbd_congestion_fee
+PICKUP = "tpep_pickup_datetime"
+
+# The 18 trip columns in their published order.  airport_fee / cbd_congestion_fee
 # are deliberately not declared: they change name and type between years.
 TRIP_COLUMNS = [
     "vendorid", "tpep_pickup_datetime", "tpep_dropoff_datetime",

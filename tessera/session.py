@@ -66,7 +66,10 @@ def local_session(cpus: int | None = None, app: str = "tessera",
          .config("spark.sql.shuffle.partitions", str(parts))
          .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", _driver_memory()))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
-    conf = {**SEMANTIC_CONF, **ADAPTIVE_CONF, **(extra or {})}
+    # small splits: a few row groups of a test table still occupy all cores
+    sizing = {"spark.sql.files.maxPartitionBytes": os.environ.get("TESSERA_SPLIT", "2m"),
+              "spark.sql.files.openCostInBytes": "256k"}
+    conf = {**SEMANTIC_CONF, **ADAPTIVE_CONF, **sizing, **(extra or {})}
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -79,31 +82,6 @@ def local_session(cpus: int | None = None, app: str = "tessera",
     return spark
 
 
-def spread(df, min_partitions: int | None = None):
-    """Spread a CPU-heavy input over all cores when its scan is too coarse.
-
-    A scan yields at least one task per file split; a small input (a few
-    Parquet row groups) can give fewer tasks than there are cores, leaving
-    the expensive per-row work (regex tokenising) on a few threads.  Only
-    then are the rows spread evenly over ``min_partitions`` (default: the
-    cluster's default parallelism).  On large inputs the scan already has
-    more splits than cores and this is a no-op -- no shuffle is added.
-    """
-    spark = df.sparkSession
-    try:
-        want = min_partitions or spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= want:
-            return df
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
-        return df
-    # hash of the scan position: unique per row (balanced even when rows are
-    # repeated) and the same on a retried task; cheaper than round-robin,
-    # which sorts every task's rows first to be retry-safe
-    from pyspark.sql import functions as F
-    return (df.withColumn("__spread", F.monotonically_increasing_id())
-            .repartition(want, "__spread").drop("__spread"))
-
-
 def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
                  max_split_bytes: int = 256 << 20) -> dict[str, str]:
     """Shuffle and scan sizing for an input of ``input_bytes``.

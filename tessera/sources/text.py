@@ -72,10 +72,17 @@ def write_tsv_corpus(df: DataFrame, doc_id: str, content: str, path: str,
     """Write ``doc_id<TAB>content`` lines (corpus and doc-map sinks).
 
     NULL is written as ``\\N`` (what a delimited-text table writes), so a
-    reader with ``map_null_marker=True`` gets it back as NULL.
+    reader with ``map_null_marker=True`` gets it back as NULL.  An id or text
+    with a line end, or an id with a tab, has no place in the format: the
+    write fails instead of writing rows that read back as others.
     """
+    def checked(name: str, bad: str) -> Column:
+        c = F.col(name).cast("string")
+        return F.when(c.rlike(bad), F.raise_error(F.concat(
+            F.lit(f"{name} holds a character that separates fields or rows: "), c))).otherwise(c)
+
     line = F.concat_ws("\t",
-                       F.coalesce(F.col(doc_id).cast("string"), F.lit(HIVE_NULL)),
-                       F.coalesce(F.col(content).cast("string"), F.lit(HIVE_NULL)))
+                       F.coalesce(checked(doc_id, "[\\t\\n\\r]"), F.lit(HIVE_NULL)),
+                       F.coalesce(checked(content, "[\\n\\r]"), F.lit(HIVE_NULL)))
     df.select(line.alias("value")).write.mode(mode).text(path)
     return path

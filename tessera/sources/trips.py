@@ -21,14 +21,6 @@ def read_trips_era(spark: SparkSession, path: str | list[str], era: str) -> Data
     return spark.read.schema(schema).parquet(*paths).select(*schemas.TRIP_COLUMNS)
 
 
-def read_trips_era_a(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return read_trips_era(spark, path, "a")
-
-
-def read_trips_era_b(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return read_trips_era(spark, path, "b")
-
-
 def read_trips_partitioned(spark: SparkSession, root: str) -> DataFrame:
     """The unified table with ``anio``/``mes`` as INT partition columns.
 
@@ -42,20 +34,28 @@ def route_by_name(spark: SparkSession, root: str,
                   era_b_from: tuple[int, int] | None = None) -> dict[str, list[str]]:
     """Paths of the monthly trip files under ``root``, grouped by era.
 
-    The era comes from the file name (``{type}_tripdata_{YYYY}-{MM}.parquet``),
-    as when downloads are routed into per-era folders.  The listing is file
-    metadata only (no file is opened); the path lists hold one entry per
-    file, the same list Spark's file index keeps for any read.  Files whose
-    name is not a trip file name are ignored.
+    The era comes from the name (``{type}_tripdata_{YYYY}-{MM}.parquet``, a
+    file or a folder of part files).  The listing is metadata only; one path
+    per month comes back, as many as there are months.  A Parquet file
+    without such a name, or a month whose trips lack the pickup column, is an
+    error: loading the rest would pass for the whole.
     """
     from pyspark.sql import functions as F
 
-    from tessera.operators.files import SOURCE_ERA_B_FROM, classify_era, list_files
-    # the trip file name may be the file itself or a folder holding its parts
+    from tessera.operators.files import SOURCE_ERA_B_FROM, TRIP_FILE_REGEX, classify_era, list_files
     files = list_files(spark, root, "*.parquet")
     routed = classify_era(files, "path", era_b_from or SOURCE_ERA_B_FROM)
+    unknown = [r["path"] for r in routed.where(F.col("era").isNull()).select("path").limit(3).collect()]
+    if unknown:
+        raise ValueError(f"not a monthly trip file: {unknown}")
+    month = F.regexp_extract("path", f"^(.*?{TRIP_FILE_REGEX})", 1)
+    months = routed.select("era", "trip_type", month.alias("path")).distinct().collect()
+    for trip_type in sorted({r["trip_type"] for r in months}):
+        one = min(r["path"] for r in months if r["trip_type"] == trip_type)
+        if schemas.PICKUP not in {c.lower() for c in spark.read.parquet(one).columns}:
+            raise ValueError(f"no column {schemas.PICKUP} in {one}")
     out: dict[str, list[str]] = {"a": [], "b": []}
-    for r in routed.where(F.col("era").isNotNull()).select("era", "path").collect():
+    for r in sorted(months, key=lambda r: r["path"]):
         out[r["era"]].append(r["path"])
     return out
 

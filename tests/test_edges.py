@@ -14,16 +14,14 @@ def test_empty_corpus(spark):
     assert TX.doc_frequency(empty).count() == 0
     assert TX.inverted_index(empty).count() == 0
     assert TX.postings(empty).count() == 0
-    for strategy in ("keyed", "direct", "auto"):
-        assert TX.search_word(empty, "the", strategy=strategy).count() == 0
+    assert TX.search_word(empty, "the").count() == 0
 
 
 def test_search_fewer_hits_than_k(spark):
     df = spark.createDataFrame([("a", "red red"), ("b", "red"), ("c", "blue")],
                                "doc_id string, content string")
-    for strategy in ("keyed", "direct"):
-        rows = [tuple(r) for r in TX.search_word(df, "red", k=10, strategy=strategy).collect()]
-        assert rows == [("a", "red red", 2), ("b", "red", 1)]
+    rows = [tuple(r) for r in TX.search_word(df, "red", k=10).collect()]
+    assert rows == [("a", "red red", 2), ("b", "red", 1)]
 
 
 def test_ingest_with_no_rows_in_window(spark, tmp_path):

@@ -48,7 +48,9 @@ def test_positioned_lines_give_file_order(spark, tmp_path):
     _write(d, "a.txt", "".join(f"a{i}\n" for i in range(50)))
     _write(d, "b.txt", "".join(f"b{i}\n" for i in range(30)))
     df = read_lines_positioned(spark, d)
-    n = number_segments(df, ["_file", "_start"], "_pos").select("line", "n")
+    numbered, total = number_segments(df, ["_file", "_start"], "_pos")
+    n = numbered.select("line", "n")
+    assert total == 80
     got = [r.line for r in n.orderBy("n").collect()]
     assert got == [f"a{i}" for i in range(50)] + [f"b{i}" for i in range(30)]
     assert [r.n for r in n.orderBy("n").collect()] == list(range(1, 81))
@@ -134,6 +136,28 @@ def test_title_corpus_file_order_with_blanks(spark, tmp_path):
     _write(d, "a.txt", "  First \n\n Second\n   \nThird\n")
     _write(d, "b.txt", "\nFourth\n")
     rows = [(r.doc_id, r.content, r.n) for r in
-            number_corpus_file_order(read_lines_positioned(spark, d)).orderBy("n").collect()]
+            number_corpus_file_order(read_lines_positioned(spark, d))[0].orderBy("n").collect()]
     assert rows == [("doc_1.txt", "First", 1), ("doc_2.txt", "Second", 2),
                     ("doc_3.txt", "Third", 3), ("doc_4.txt", "Fourth", 4)]
+
+
+def test_unknown_or_foreign_trip_files_are_errors(spark, tmp_path):
+    from tessera.sources.trips import route_by_name
+    a, _ = _era_frames(spark)
+    one = tmp_path / "unknown"
+    a.write.parquet(str(one / "fhv_tripdata_2020-01.parquet"))
+    with pytest.raises(ValueError, match="not a monthly trip file"):
+        route_by_name(spark, str(one))
+    two = tmp_path / "green"
+    a.withColumnRenamed("tpep_pickup_datetime", "lpep_pickup_datetime").write.parquet(
+        str(two / "green_tripdata_2020-01.parquet"))
+    with pytest.raises(ValueError, match="no column tpep_pickup_datetime"):
+        route_by_name(spark, str(two))
+
+
+def test_tsv_sink_refuses_separators(spark, tmp_path):
+    from tessera.sources.text import write_tsv_corpus
+    for row in (("a", "x\ny"), ("a\tb", "x"), ("a\nb", "x")):
+        df = spark.createDataFrame([row], "doc_id string, content string")
+        with pytest.raises(Exception, match="separates fields or rows"):
+            write_tsv_corpus(df, "doc_id", "content", str(tmp_path / "out"))

@@ -82,7 +82,7 @@ def test_inverted_index_blocks_bounded_and_complete(spark):
     for r in rows:
         ids = [int(x) for x in r.doc_list.split(",")]
         assert len(ids) <= 10
-        assert all(i // 10 == r.block for i in ids)
+        assert ids == sorted(ids)
         assert ids == sorted(ids)
         by_word.setdefault(r.word, []).extend(ids)
     assert sorted(by_word["alpha"]) == list(range(1, 26))
@@ -177,71 +177,74 @@ def _random_corpus(spark, seed, n=60):
     return spark.createDataFrame(rows, "doc_id string, content string")
 
 
-def test_rows_plan_for_unique_ids(spark):
-    df = spark.createDataFrame(
-        [("a", "red red"), ("b", "red"), (None, "red"), (None, "red"), (None, "red blue"),
-         ("c", "blue")], "doc_id string, content string")
-    assert TX.unique_ids(df)
-    rows = [tuple(r) for r in TX.search_word(df, "red", strategy="rows").collect()]
-    assert rows == [tuple(r) for r in TX.search_word(df, "red", strategy="direct").collect()]
-    assert rows[:2] == [("a", "red red", 2), (None, "red", 2)]
-    out = TX.search_word(df.where("doc_id is not null"), "red")      # auto -> rows
-    out.collect()
-    assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
+def _searched(rows, terms, k):
+    """Search by the rule: score per (id, text), ranked with ties by id, text."""
+    import re
+    score = {}
+    for doc, text in rows:
+        found = [t for t in re.split("[^a-z]+", text.lower()) if t in terms]
+        if set(found) == set(terms):
+            score[doc, text] = score.get((doc, text), 0) + len(found)
+    order = sorted(score.items(), key=lambda x: (-x[1], x[0][0] is None, x[0][0] or "", x[0][1]))
+    return [(d, t, n) for (d, t), n in order[:k]]
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3, 4])
-def test_keyed_search_equals_direct(spark, seed):
+def test_search_equals_the_rule(spark, seed):
     corpus = _random_corpus(spark, seed)
+    rows = [tuple(r) for r in corpus.collect()]
     for terms in (["red"], ["red", "widget"], ["the"]):
         for k in (1, 3, 10):
-            keyed = [tuple(r) for r in
-                     TX.search_all_words(corpus, terms, k, strategy="keyed").collect()]
-            direct = [tuple(r) for r in
-                      TX.search_all_words(corpus, terms, k, strategy="direct").collect()]
-            assert keyed == direct, (terms, k)
-            auto = [tuple(r) for r in TX.search_all_words(corpus, terms, k).collect()]
-            assert auto == direct, ("auto", terms, k)
-
-
-def test_keyed_search_falls_back_on_key_collision(spark, corpus, monkeypatch):
-    # every text gets the same key: distinct texts of doc_4 collide
-    monkeypatch.setattr(TX, "_text_key", lambda c: [
-        F.lit(0).cast("bigint").alias("_h1"), F.lit(0).alias("_h2"), F.lit(0).alias("_len")])
-    rows = TX.search_word(corpus, "adventure", strategy="keyed").collect()
-    assert [(r.titulo, r.score) for r in rows] == [
-        ("The Adventure of the Adventure", 2), ("Another Adventure", 1)]
-
-
-def test_keyed_search_no_hits(corpus):
-    assert TX.search_word(corpus, "zebra", strategy="keyed").count() == 0
-
-
-def test_auto_strategy_picks_by_input_size(spark, corpus):
-    assert TX._parse_bytes("128m") == 128 << 20 and TX._parse_bytes("134217728") == 134217728
-    assert TX._input_bytes_bound(corpus) <= TX.DIRECT_SEARCH_MAX_BYTES
-    big = corpus.repartition(64)      # 64 partitions x 128 MB bound > 1 GB: keyed plan
-    assert TX._input_bytes_bound(big) > TX.DIRECT_SEARCH_MAX_BYTES
-    rows = [tuple(r) for r in TX.search_word(big, "adventure").collect()]
-    assert rows == [tuple(r) for r in TX.search_word(corpus, "adventure").collect()]
+            got = [tuple(r) for r in TX.search_all_words(corpus, terms, k).collect()]
+            assert got == _searched(rows, terms, k), (terms, k)
+
+
+def test_search_with_thousands_of_ties(spark):
+    # NULL ids and one id with thousands of texts, all with the same score
+    for doc in (None, "one"):
+        rows = [(doc, f"red t{i:04d}") for i in range(3000)] + [("a", "red red")]
+        df = spark.createDataFrame(rows, "doc_id string, content string")
+        got = [tuple(r) for r in TX.search_word(df, "red", k=10).collect()]
+        assert got == [("a", "red red", 2)] + [(doc, f"red t{i:04d}", 1) for i in range(9)]
+
+
+def test_building_a_plan_starts_no_job(spark, corpus):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy-check", "plans only")
+    try:
+        TX.doc_frequency(corpus), TX.inverted_index(corpus), TX.postings(corpus)
+        TX.search_word(corpus, "adventure"), TX.search_all_words(corpus, ["twenty", "years"])
+        assert list(tracker.getJobIdsForGroup("lazy-check")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_text_scans_of_a_search(spark, tmp_path):
+    from tessera.sources.text import read_tsv_corpus, write_tsv_corpus
+    df = spark.createDataFrame([(f"d{i}", "red blue") for i in range(50)], "doc_id string, content string")
+    path = write_tsv_corpus(df, "doc_id", "content", str(tmp_path / "c"))
+    out = TX.search_word(read_tsv_corpus(spark, path), "red")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan text") == 2      # one to score, one for the text of the top k
+    assert "[^a-z]+" not in plan
 
 
 def test_inverted_index_reuses_the_pairs_exchange(spark):
-    # the de-duplicating plan: its pair exchange is built once, read twice
+    # the pair exchange is built once, read twice
     df = spark.createDataFrame([(i % 20, "alpha beta gamma") for i in range(50)],
                                "doc_id bigint, content string")
-    out = TX.inverted_index(df, k=2, ids_unique=False)
+    out = TX.inverted_index(df, k=2)
     out.collect()
     assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
 
 
-def test_unique_ids_shuffle_no_pairs(spark):
-    df = spark.createDataFrame([(i, "alpha beta gamma") for i in range(50)],
-                               "doc_id bigint, content string")
-    for out in (TX.doc_frequency(df), TX.inverted_index(df, k=2)):
-        out.collect()
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "hashpartitioning(doc_id" not in plan and "hashpartitioning(word" in plan
+def test_index_blocks_of_sparse_and_smallest_ids(spark):
+    ids = [(i * 0x9E3779B97F4A7C15) % (1 << 63) for i in range(1, 2000)] + [-(1 << 63)]
+    df = spark.createDataFrame([(i, "alpha") for i in ids], "doc_id bigint, content string")
+    rows = TX.inverted_index(df, k=1, block_size=1000).collect()
+    assert len(rows) <= 4 and all(len(r.doc_list.split(",")) <= 1000 for r in rows)
+    assert sorted(int(x) for r in rows for x in r.doc_list.split(",")) == sorted(ids)
 
 
 def test_stopwords_as_table_equal_list(spark, corpus):
@@ -258,10 +261,8 @@ def test_stopwords_as_table_equal_list(spark, corpus):
 def test_null_ids_are_not_documents(spark):
     df = spark.createDataFrame([(None, "alpha beta"), (None, "alpha"), ("d1", "alpha"),
                                 ("d2", "gamma")], "doc_id string, content string")
-    for unique in (None, True, False):
-        got = {r.word: r.doc_count for r in
-               TX.doc_frequency_all(df, stopwords=None, ids_unique=unique).collect()}
-        assert got == {"alpha": 1, "beta": 0, "gamma": 1}, unique
+    got = {r.word: r.doc_count for r in TX.doc_frequency_all(df, stopwords=None).collect()}
+    assert got == {"alpha": 1, "beta": 0, "gamma": 1}
     single = {r.word: (r.doc_count, r.doc_list) for r in
               TX.inverted_index(df, k=3, stopwords=None, layout="single").collect()}
     assert single == {"alpha": (1, "d1"), "gamma": (1, "d2"), "beta": (0, "")}
@@ -269,50 +270,24 @@ def test_null_ids_are_not_documents(spark):
     assert all(r[3] != "" for r in blocks) and len(blocks) == 2
 
 
-def test_unique_id_fast_path_equals_dedup_plan(spark, corpus):
-    uniq = spark.createDataFrame([(f"d{i}", t) for i, (_, t) in enumerate(CORPUS)],
-                                 "doc_id string, content string")
-    assert TX.unique_ids(uniq) and not TX.unique_ids(corpus)
-    for df in (uniq, corpus):
-        a = sorted(map(tuple, TX.doc_frequency_all(df).collect()))
-        b = sorted(map(tuple, TX.doc_frequency_all(df, ids_unique=False).collect()))
-        assert a == b
-        a = sorted(map(tuple, TX.inverted_index(df, k=5).collect()))
-        b = sorted(map(tuple, TX.inverted_index(df, k=5, ids_unique=False).collect()))
-        assert a == b
-
-
-def test_hybrid_plan_for_a_hot_group_of_copies(spark):
+def test_a_hot_group_of_copies(spark):
     # a third of all rows are copies of one document; the other ids are unique
     rows = [(f"d{i}", f"alpha w{i % 7} beta{i % 3}") for i in range(60)]
     rows += [("hot", "alpha gamma delta")] * 30 + [(None, "alpha zeta")] * 3
     df = spark.createDataFrame(rows, "doc_id string, content string")
-    plan, rep = TX._id_plan(df, "doc_id", None)
-    assert plan == "hybrid" and [r[0] for r in rep.collect()] == ["hot"]
-    auto = sorted(map(tuple, TX.doc_frequency_all(df, stopwords=None).collect()))
-    dedup = sorted(map(tuple, TX.doc_frequency_all(df, stopwords=None, ids_unique=False).collect()))
-    assert auto == dedup
-    assert dict(auto)["alpha"] == 61 and dict(auto)["gamma"] == 1 and dict(auto)["zeta"] == 0
-    for layout in ("blocks", "single"):
-        a = sorted(map(tuple, TX.inverted_index(df, k=6, stopwords=None, layout=layout,
-                                                block_size=8).collect()))
-        b = sorted(map(tuple, TX.inverted_index(df, k=6, stopwords=None, layout=layout,
-                                                block_size=8, ids_unique=False).collect()))
-        assert a == b, layout
-
-
-def test_postings_in_row_equals_grouped(spark, corpus):
-    from tessera.functions.text import STOPWORDS
+    counts = dict(map(tuple, TX.doc_frequency_all(df, stopwords=None).collect()))
+    assert counts["alpha"] == 61 and counts["gamma"] == 1 and counts["zeta"] == 0
+    blocks = [r for r in TX.inverted_index(df, k=6, stopwords=None, block_size=8).collect()
+              if r.word == "alpha"]
+    listed = [x for r in blocks for x in r.doc_list.split(",")]
+    assert sorted(listed) == sorted({d for d, _ in rows if d}) and all(
+        len(r.doc_list.split(",")) <= 8 for r in blocks)
+
+
+def test_postings_group_rows_of_one_id(spark, corpus):
     uniq = spark.createDataFrame(
         [(f"d{i}", t) for i, (_, t) in enumerate(CORPUS)] + [("e", ""), ("f", None),
                                                            (None, "red red"), (None, "red")],
         "doc_id string, content string")
-    table = spark.createDataFrame([(w,) for w in STOPWORDS], "w string")
-    for df in (uniq, corpus):
-        for sw in (STOPWORDS, None, table):
-            auto = sorted(map(tuple, TX.postings(df, stopwords=sw).collect()), key=repr)
-            grouped = sorted(map(tuple, TX.postings(df, stopwords=sw, ids_unique=False).collect()),
-                             key=repr)
-            assert auto == grouped
     rows = {(r.word, r.doc_id): r.tf for r in TX.postings(uniq).collect()}
     assert rows[("red", None)] == 3 and rows[("adventure", "d4")] == 2
