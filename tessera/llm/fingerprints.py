@@ -144,15 +144,16 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
                        F.xxhash64("text").alias("h"), "text", F.char_length("text").alias("n"))
     order = land(followers(land(base.select(*KEY, "n").distinct(), "ids")), "id-order")
     one = Window.partitionBy(*KEY).orderBy(F.lit(1))
-    whole = (signed(base, "text", "sig").withColumn("_n", F.row_number().over(one)).filter("_n = 1").drop("_n"))
-    third = F.floor(F.col("n") / 3).cast("int")
-    wanted = order.select(*[F.col(c).alias(f"for_{c}") for c in KEY], third.alias("want"),
+    # both uses below read the same columns, so they share one exchange
+    whole = (signed(base.drop("n"), "text", "sig").withColumn("_n", F.row_number().over(one)).filter("_n = 1").drop("_n"))
+    wanted = order.select(*[F.col(c).alias(f"for_{c}") for c in KEY], F.floor(F.col("n") / 3).cast("int").alias("want"),
                           *[F.col(f"next_{c}").alias(c) for c in KEY])
     heads = (wanted.join(whole.select(*KEY, "text", F.col("sig").alias("next_sig")), KEY)
              .select(*[F.col(f"for_{c}").alias(c) for c in KEY], F.substring("text", F.lit(1), F.col("want")).alias("head"),
                      "next_sig"))
-    both = whole.join(heads, KEY).withColumn(
-        "edited", F.concat(F.substring("text", F.lit(1), F.col("n") - third), F.col("head")))
+    n = F.char_length("text")
+    both = whole.join(heads, KEY).withColumn("n", n).withColumn(
+        "edited", F.concat(F.substring("text", F.lit(1), n - F.floor(n / 3).cast("int")), F.col("head")))
     both = signed(both.select("k", "z", "n", "sig", "next_sig", "edited"), "edited", "edited_sig")
     return both.select(
         F.when(~F.col("z"), F.col("k")).alias("doc_id"), F.col("n").cast("long").alias("n_chars"),
