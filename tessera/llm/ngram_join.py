@@ -16,7 +16,9 @@ from the start.  The join then runs in the steps of a token-group matrix:
    ``a - 2 num a / (num + den)`` of its tokens in any group that holds a partner.
    A set that has more private tokens than that is done.  For the others the
    overlap with every group is counted over their rarer tokens; a group that
-   misses more of these than the set may miss cannot hold a partner.
+   misses more of these than the set may miss cannot hold a partner.  Sets that
+   consist of common tokens (passages that many documents share) are told apart
+   by the rarest tokens of their whole sets instead.
 4. *Open.*  Only members of groups that reach the bound, of a fitting size, are
    compared exactly, by the whole sets.
 
@@ -41,7 +43,7 @@ from tessera.llm.common import LOWER_AZ, land, prepare_python
 from tessera.llm.graph import components
 
 CACHE = 100_000              # word hashes remembered in a task
-COMMON = 64                  # sets; more frequent tokens are looked up only where needed
+COMMON = 64                  # sets; more frequent tokens are not looked up in the matrix
 _STEP = 0x9E3779B97F4A7C15
 _ORDERS = tuple(np.uint64(x) for x in (1, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 _TOP = float(1 << 64)
@@ -228,6 +230,23 @@ def _fits(a: Column, b: Column, rule: Rule) -> Column:
     return (a <= b) & (b * rule.num <= a * rule.den)
 
 
+def _by_whole_sets(sharing: DataFrame, unclear: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b) to compare for the sets in ``unclear``: b is one of
+    ``sharing`` and has one of the rarest tokens of a's whole set, as many as a
+    may miss and one more, so no link is lost."""
+    cells = land(sets.join(sharing, "k").select("k", "n", F.explode("tokens").alias("token")), "whole-cells")
+    often = cells.groupBy("token").agg(F.count("*").alias("sets")).filter("sets > 1")
+    rare = Window.partitionBy("k").orderBy("sets", "token")
+    known = (cells.join(unclear, "k", "left_semi").join(often, "token")
+             .withColumn("turn", F.row_number().over(rare)).withColumn("seen", F.count("*").over(Window.partitionBy("k"))))
+    miss = F.col("n") - F.ceil(F.lit(2 * rule.num) * F.col("n") / F.lit(float(rule.num + rule.den)) - F.lit(1e-9))
+    # tokens in no other of these sets are misses already
+    asked = known.filter(F.col("turn") <= miss - (F.col("n") - F.col("seen")) + 1).select(F.col("k").alias("a"), F.col("n").alias("na"), "token")
+    held = cells.select(F.col("k").alias("b"), F.col("n").alias("nb"), "token")
+    return (asked.join(held, "token").filter((F.col("a") != F.col("b")) & _fits(F.col("na"), F.col("nb"), rule))
+            .select("a", "b").distinct())
+
+
 def links(docs: DataFrame, sketches: DataFrame, rule: Rule, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(a, b): links between different sets (by k) that connect all linked sets.
 
@@ -269,13 +288,15 @@ def links(docs: DataFrame, sketches: DataFrame, rule: Rule, text: str = "text",
                    .agg(F.count("*").alias("c"), F.min("n").alias("least"), F.max("n").alias("most")), "matrix")
     sets_of = holders.groupBy("token").agg(F.sum("c").alias("sets"))
 
-    # per set: all tokens up to COMMON sets, or as many of the rarest as
-    # guarantee a hit; a group must have all of them but those it may miss
-    rare = Window.partitionBy("k").orderBy("sets", "token")
-    counted = asked.join(sets_of, "token").withColumn("turn", F.row_number().over(rare)).withColumn(
-        "usable", F.greatest(F.sum((F.col("sets") <= COMMON).cast("int")).over(Window.partitionBy("k")),
-                             F.col("found") - F.col("need") + 1))
-    lookups = counted.filter("turn <= usable").withColumn("least_hits", F.col("need") - (F.col("found") - F.col("usable")))
+    # per set: all tokens up to COMMON sets; a group must have all of them but
+    # those that it may miss.  Where that bound says nothing, as most tokens of
+    # a set are common ones, the set is decided by its whole set below
+    counted = asked.join(sets_of, "token").withColumn("rare", (F.col("sets") <= COMMON).cast("int"))
+    per_set = counted.groupBy("k").agg(F.first("found").alias("found"), F.first("need").alias("need"),
+                                       F.sum("rare").alias("rares")).withColumn(
+        "least_hits", F.col("need") - (F.col("found") - F.col("rares"))).select("k", "least_hits")
+    per_set = land(per_set, "per-set")
+    lookups = counted.filter("rare = 1").join(per_set.filter("least_hits > 0"), "k")
     room = (F.col("most") >= F.col("n")) & (F.col("least") * rule.num <= F.col("n") * rule.den)
     reached = (lookups.join(holders, "token").filter((F.col("g") != F.col("own")) & room)
                .groupBy("k", "g").agg(F.count("*").alias("hits"), F.first("least_hits").alias("least_hits"),
@@ -290,11 +311,18 @@ def links(docs: DataFrame, sketches: DataFrame, rule: Rule, text: str = "text",
                   .filter((F.col("k") != F.col("b")) & _fits(F.col("n"), F.col("nb"), rule))
                   .select(F.col("k").alias("a"), "b").distinct(), "opened")
 
+    # sets of common tokens, and all that share a token with one of them
+    unclear = per_set.filter("least_hits <= 0").select("k")
+    theirs = counted.join(unclear, "k", "left_semi").select("token").distinct()
+    sharing = land(hits.join(theirs, "token").select(_even(F.col("f")).alias("k")).unionByName(unclear).distinct()
+                   .join(sizes, "k").select("k", "n"), "sharing")
+
     # whole sets of all that are compared, fetched once
     ends = F.explode(F.array("a", "b")).alias("k")
-    wanted = land(hub_pairs.select(ends).unionByName(opened.select(ends)).distinct()
+    wanted = land(hub_pairs.select(ends).unionByName(opened.select(ends)).unionByName(sharing.select("k")).distinct()
                   .join(sizes, "k").select("row", "k", F.lit(True).alias("picked")), "wanted")
     sets = _whole_sets(docs, wanted, rule, text, doc_id)
+    opened = opened.unionByName(_by_whole_sets(sharing, unclear, sets, rule)).distinct()
     near_hub = land(_linked(hub_pairs, sets, rule), "hub-links")
     star = near_hub.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("star"))
     left = star.select(F.col("k").alias("a"), F.col("star").alias("_sa"))
