@@ -54,9 +54,9 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     duplicates of each other, too.
     """
     groups = land(ngram_join.join_components(docs, NEAR).filter("n_shingles > 0"), "near-groups")
-    many = groups.groupBy("component_id").agg(
+    many = groups.groupBy("component").agg(
         F.count("*").alias("c"), F.min(F.struct("row", "text_hash")).alias("first")).filter("c > 1")
-    decided = (groups.join(many, groups.component_id.eqNullSafe(many.component_id))
+    decided = (groups.join(many, "component")
                .groupBy("row", "text_hash")
                .agg(F.first(F.struct("row", "text_hash") == F.col("first")).alias("stays")))
     row, text_hash, stays, turn = _free(docs, "row", "text_hash", "stays", "turn")

@@ -58,7 +58,7 @@ NEAR = ngram_join.Rule(width=3, num=90, den=100)
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join_components(_documents(spark, sf_dir), NEAR).drop("row", "text_hash")
+    return ngram_join.join_components(_documents(spark, sf_dir), NEAR).drop("row", "text_hash", "component")
 
 
 OP2_SQL = r"""

@@ -30,6 +30,7 @@ step emits the pairs of a group.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -314,7 +315,14 @@ def links(docs: DataFrame, sketches: DataFrame, rule: Rule, text: str = "text",
     # sets of common tokens, and all that share a token with one of them
     unclear = per_set.filter("least_hits <= 0").select("k")
     theirs = counted.join(unclear, "k", "left_semi").select("token").distinct()
-    sharing = land(hits.join(theirs, "token").select(_even(F.col("f")).alias("k")).unionByName(unclear).distinct()
+    # a partner shares at least as many of them as a set of its size (or down
+    # to the threshold's part of it) needs: sizes in steps of the threshold
+    steps = F.floor(F.log(F.col("n").cast("double")) / F.lit(max(1e-9, math.log(rule.den / rule.num)))).cast("int")
+    fewest = (unclear.join(asking, "k").select("need", F.explode(F.sequence(steps, steps + 2)).alias("step"))
+              .groupBy("step").agg(F.min("need").alias("fewest")))
+    partners = (hits.join(theirs, "token").groupBy(_even(F.col("f")).alias("k")).agg(F.count("*").alias("c"))
+                .join(sizes, "k").withColumn("step", steps).join(fewest, "step").filter("c >= fewest"))
+    sharing = land(partners.select("k").unionByName(unclear).distinct()
                    .join(sizes, "k").select("k", "n"), "sharing")
 
     # whole sets of all that are compared, fetched once
@@ -333,7 +341,8 @@ def links(docs: DataFrame, sketches: DataFrame, rule: Rule, text: str = "text",
 
 
 def join_components(docs: DataFrame, rule: Rule, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """row, text_hash, doc_id, n_shingles, component_id for every document.
+    """row, text_hash, doc_id, n_shingles, component, component_id for every
+    document; ``component`` tells components apart where ids repeat.
 
     Two documents link when their sets' Jaccard similarity reaches the rule;
     component_id is the smallest doc_id that can be reached.  Documents without
@@ -347,7 +356,7 @@ def join_components(docs: DataFrame, rule: Rule, text: str = "text", doc_id: str
     ids = ids.join(nodes, ids.k == nodes.node, "left").select("k", "least", F.coalesce("component", "k").alias("c"))
     ids = land(ids, "set-ids")
     whole = ids.groupBy("c").agg(F.min("least").alias("component_id"))
-    named = ids.join(whole, "c").select("k", "component_id")
+    named = ids.join(whole, "c").select("k", "component_id", F.col("c").alias("component"))
     return (sketches.select("row", "text_hash", "doc_id", F.col("n").alias("n_shingles"), "k").join(named, "k", "left")
-            .select("row", "text_hash", "doc_id", "n_shingles",
+            .select("row", "text_hash", "doc_id", "n_shingles", "component",
                     F.when(F.col("k").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
