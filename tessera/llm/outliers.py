@@ -7,7 +7,7 @@ Mahalanobis distance passes a bound are rejected.
 
 The estimate follows FastMCD with a fixed start: distances from the group's
 mean by its variances, then concentration steps that refit centre and scatter
-on the ``part`` of the group that lies nearest, then one reweighting step.  A
+on the ``part`` of the group that lies nearest, then two reweighting steps.  A
 step is one aggregation (sums of the vector and its products, combined on the
 map side), so a group may hold any share of the rows.  The limit of a step comes
 from a histogram of distances (``LEVELS`` levels), which is exact in its counts
@@ -24,6 +24,7 @@ from pyspark.sql import Window
 from tessera.llm.common import WORD, land
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+GROUP = ("lang", "source")
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 PART = 0.75              # of a group, on which the scatter is smallest
@@ -31,13 +32,14 @@ STEPS = 3
 LEVELS = 40              # histogram levels for each doubling of the distance
 #: Variances that a dimension has at least: statistics that hardly vary in a
 #: group (no symbols, no copied lines) would make any other value an outlier.
-FLOOR = (0.25, 0.02, 0.10, 0.25, 0.25)
-#: Chi-squared quantile 0.975 of five degrees of freedom, for reweighting, and
-#: the bound of rejection: beyond chance by far, as tails are heavier in texts.
-CHI2_NEAR, CHI2_FAR = 12.833, 75.0
+#: Dimensions that vary more keep their own variance.
+FLOOR = (0.05, 0.004, 0.10, 0.10, 0.25)
+#: Chi-squared quantiles of five degrees of freedom: 0.975 for reweighting, and
+#: 1 - 1e-10 as the bound of rejection, as tails are heavier in texts.
+CHI2_NEAR, CHI2_FAR = 12.833, 55.6
 #: Makes the scatter of the nearest three quarters that of the whole (normal).
 CONSISTENCY = 1.0 / 0.543
-MIN_GROUP = 10           # rows; smaller groups give no estimate and reject nothing
+MIN_GROUP = 30           # rows; smaller groups take their language's estimate, or that of all rows
 
 
 def base_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -96,14 +98,14 @@ def _sums(x: list[Column]) -> list[Column]:
             + [F.sum(x[i] * x[j]).alias(f"s{i}_{j}") for i in range(d) for j in range(i + 1)])
 
 
-def _fitted(sums: DataFrame, d: int, scale: float, diagonal: bool) -> DataFrame:
+def _fitted(sums: DataFrame, d: int, scale: float, diagonal: bool, by: tuple[str, ...] = GROUP) -> DataFrame:
     """Centre c0.. and the Cholesky factor l0_0.. of the scatter, per group."""
     out = sums.select("*", *[(F.col(f"s{i}") / F.col("m")).alias(f"c{i}") for i in range(d)])
 
     def scatter(i: int, j: int) -> Column:
         v = (F.col(f"s{i}_{j}") / F.col("m") - F.col(f"c{i}") * F.col(f"c{j}")) * scale
         if i == j:
-            return F.greatest(v, F.lit(0.0)) + FLOOR[i]
+            return F.greatest(v, F.lit(FLOOR[i]))
         return F.lit(0.0) if diagonal else v
 
     for i in range(d):
@@ -111,15 +113,23 @@ def _fitted(sums: DataFrame, d: int, scale: float, diagonal: bool) -> DataFrame:
             v = scatter(i, j)
             for k in range(j):
                 v = v - F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}")
-            out = out.withColumn(f"l{i}_{j}", F.sqrt(F.greatest(v, F.lit(1e-9))) if i == j else v / F.col(f"l{j}_{j}"))
-    return out.select("lang", "source", "m", *[f"c{i}" for i in range(d)],
+            out = out.withColumn(f"l{i}_{j}", F.sqrt(F.greatest(v, F.lit(FLOOR[i] / 10))) if i == j else v / F.col(f"l{j}_{j}"))
+    return out.select(*by, "m", *[f"c{i}" for i in range(d)],
                       *[f"l{i}_{j}" for i in range(d) for j in range(i + 1)])
 
 
-def _distances(vectors: DataFrame, fit: DataFrame, d: int) -> DataFrame:
+def _joined(left: DataFrame, right: DataFrame, by: tuple[str, ...], how: str) -> DataFrame:
+    """Equal in ``by``, NULL being a value."""
+    r = right.withColumnsRenamed({c: f"_{c}" for c in by})
+    on = F.lit(True)
+    for c in by:
+        on = on & left[c].eqNullSafe(F.col(f"_{c}"))
+    return left.join(r, on, how).drop(*[f"_{c}" for c in by])
+
+
+def _distances(vectors: DataFrame, fit: DataFrame, d: int, by: tuple[str, ...] = GROUP) -> DataFrame:
     """``vectors`` plus d2, the squared Mahalanobis distance from its group's centre."""
-    f = fit.withColumnsRenamed({"lang": "_lang", "source": "_source"})
-    out = vectors.join(f, vectors.lang.eqNullSafe(F.col("_lang")) & vectors.source.eqNullSafe(F.col("_source")), "left")
+    out = _joined(vectors, fit, by, "left")
     for i in range(d):
         v = F.col(f"x{i}") - F.col(f"c{i}")
         for k in range(i):
@@ -133,31 +143,30 @@ def _level(d2: Column) -> Column:
     return F.floor(F.log2(d2 + 1e-6) * LEVELS).cast("int")
 
 
-def estimate(vectors: DataFrame, d: int) -> DataFrame:
-    """Reweighted minimum-covariance-determinant fit per (lang, source).
+def estimate(vectors: DataFrame, d: int, by: tuple[str, ...] = GROUP) -> DataFrame:
+    """Reweighted minimum-covariance-determinant fit per group of ``by``.
 
-    ``vectors``: lang, source (NULL is a group of its own), x0.. (doubles).
+    ``vectors``: ``by`` (NULL is a group of its own), x0.. (doubles).
     """
     x = [F.col(f"x{i}") for i in range(d)]
-    group = ["lang", "source"]
-    fit = land(_fitted(vectors.groupBy(*group).agg(*_sums(x)), d, 1.0, diagonal=True), "mcd-fit")
+    group = list(by)
+    fit = land(_fitted(vectors.groupBy(*group).agg(*_sums(x)), d, 1.0, diagonal=True, by=by), "mcd-fit")
     below = Window.partitionBy(*group).orderBy("level").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)
-    for step in range(STEPS + 1):
-        far = _distances(vectors, fit, d).withColumn("level", _level(F.col("d2"))).drop("m")
+    for step in range(STEPS + 2):
+        far = _distances(vectors, fit, d, by).withColumn("level", _level(F.col("d2"))).drop("m")
         if step < STEPS:
             counts = far.groupBy(*group, "level").agg(F.count("*").alias("c"))
             limit = (counts.withColumn("_b", F.coalesce(F.sum("c").over(below), F.lit(0)))
                      .withColumn("_t", F.sum("c").over(whole))
                      .filter(F.col("_b") < F.col("_t") * PART)
-                     .groupBy(*group).agg(F.max("level").alias("_limit"))
-                     .withColumnsRenamed({"lang": "_lang", "source": "_source"}))
-            near = far.join(limit, far.lang.eqNullSafe(F.col("_lang")) & far.source.eqNullSafe(F.col("_source"))).filter(
-                F.col("level") <= F.col("_limit"))
+                     .groupBy(*group).agg(F.max("level").alias("_limit")))
+            near = _joined(far, limit, by, "inner").filter(F.col("level") <= F.col("_limit"))
             scale = 1.0 if step < STEPS - 1 else CONSISTENCY
         else:
-            near, scale = far.filter(F.col("d2") <= CHI2_NEAR), 1.0
-        fit = land(_fitted(near.groupBy(*group).agg(*_sums(x)), d, scale, diagonal=False), "mcd-fit")
+            # the second has the moderate tail of the group in its scatter
+            near, scale = far.filter(F.col("d2") <= (CHI2_NEAR if step == STEPS else CHI2_FAR)), 1.0
+        fit = land(_fitted(near.groupBy(*group).agg(*_sums(x)), d, scale, diagonal=False, by=by), "mcd-fit")
     return fit
 
 
@@ -165,7 +174,8 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` plus the base statistics, base_failed, d2 and kept.
 
     Texts that fail the base rules take no part in the estimate.  A group of
-    fewer than MIN_GROUP texts rejects nothing, nor do NULL distances.  ``docs``
+    fewer than MIN_GROUP texts is held against its language, and if that has too
+    few, against all texts; a table of fewer rejects nothing.  ``docs``
     needs lang and source; its other columns pass through, those named like a
     result are replaced.
     """
@@ -173,11 +183,29 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
     return verdicts(stats)
 
 
+def _with_fallbacks(groups: DataFrame, vectors: DataFrame, d: int) -> DataFrame:
+    """A fit for each of ``groups`` (lang, source): its own, its language's or
+    that of all rows, whichever is the first on MIN_GROUP rows."""
+    kinds = F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))
+    wider = vectors.select("*", kinds.alias("wide")).withColumns({
+        "lang": F.when(F.col("wide") < 2, F.col("lang")), "source": F.when(F.col("wide") < 1, F.col("source"))})
+    fit = estimate(wider, d, ("wide", *GROUP))
+    asked = groups.select(*GROUP, kinds.alias("wide")).select(
+        F.struct(*GROUP).alias("_for"), "wide", F.when(F.col("wide") < 2, F.col("lang")).alias("lang"),
+        F.when(F.col("wide") < 1, F.col("source")).alias("source"))
+    parts = [c for c in fit.columns if c not in ("wide", *GROUP)]
+    first = _joined(asked, fit, ("wide", *GROUP), "inner").filter((F.col("m") >= MIN_GROUP) | (F.col("wide") == 0))
+    # too small a fit of its own stays only where no wider one is large enough
+    order = F.when(F.col("m") >= MIN_GROUP, F.col("wide")).otherwise(3).alias("order")
+    return (first.groupBy("_for").agg(F.min(F.struct(order, *parts)).alias("_f"))
+            .select("_for.*", *[F.col(f"_f.{c}").alias(c) for c in parts]))
+
+
 def verdicts(stats: DataFrame) -> DataFrame:
     """kept and d2 for rows that have the base statistics and base_failed."""
     x = transformed()
     vectors = stats.filter(~F.col("base_failed")).select("lang", "source", *[v.alias(f"x{i}") for i, v in enumerate(x)])
-    fit = estimate(vectors, len(x))
+    fit = land(_with_fallbacks(stats.select("lang", "source").distinct(), vectors, len(x)), "fits")
     placed = stats.select(*[c for c in stats.columns if c not in ("kept", "d2", "m")],
                           *[v.alias(f"x{i}") for i, v in enumerate(x)])
     out = _distances(placed, fit, len(x))

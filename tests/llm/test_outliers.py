@@ -67,3 +67,18 @@ def test_distances_equal_numpy(spark):
 
 def test_empty_table(docs_of):
     assert O.document_verdicts(docs_of([])).count() == 0
+
+
+def test_repeats_and_copied_lines_that_the_group_does_not_have_are_rejected(docs_of):
+    rng = random.Random(4)
+    rows = [(i, clean(rng, rng.randint(60, 400)), "en", "a") for i in range(200)]
+    passage = clean(rng, 27)
+    repeats = " ".join([clean(rng, 33), passage, clean(rng, 33), passage])          # 45 % of 120 words, below the base rule
+    lines = "\n".join([w + "\n" + x for w, x in zip(clean(rng, 60).split(), ["ab"] * 15 + clean(rng, 45).split())])
+    junk = "$$ ".join(clean(rng).split())
+    rows += [(1000, repeats, "en", "a"), (1001, lines, "en", "a"), (1002, junk, "en", "rare"), (1003, clean(rng), "en", "rare"),
+             (1004, junk, "xx", "rarer"), (1005, clean(rng), "xx", "rarer")]
+    got = {r.doc_id: r for r in O.document_verdicts(docs_of(rows)).collect()}
+    assert not any(got[i].base_failed for i in range(1000, 1006))
+    assert [got[i].kept for i in range(1000, 1006)] == [False, False, False, True, False, True]
+    assert all(got[i].kept for i in range(200))
