@@ -3,9 +3,9 @@
 A word is the mean of the embeddings of its hashed character n-grams (3 to 6
 code points of ``<word>``, and the word itself), so an unseen misspelling still
 shares most vectors with the word it came from.  A document is the sequence of
-its distinct words; those of a window are averaged and a two-class softmax
+its words as they stand; those of a window are averaged and a two-class softmax
 reads the average.  A document's score is that of its most toxic window, so a
-long text does not dilute one passage and a repeated word counts once.  The
+long text does not dilute one passage.  The
 embeddings and the softmax are trained jointly in numpy.
 
 Learning uses at most ``max_toxic`` toxic and ``max_clean`` other labelled
@@ -34,7 +34,7 @@ TOXIC_FROM = 0.7
 BUCKETS = 1 << 16
 DIM = 12
 GRAM_SIZES = (3, 4, 5, 6)
-WINDOW = 2                  # distinct words averaged
+WINDOW = 2                  # adjacent words averaged
 EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"     # marks taken off both ends of a word
 STEPS, WARM, DECAY = 100, 20, 1e-5
 MAX_WORD = 64               # longer words: n-grams of their overlapping pieces
@@ -52,16 +52,16 @@ def subwords(word: str) -> np.ndarray:
 
 
 def words_of(text: str | None) -> list[str]:
-    """Distinct lower-cased words in order; very long words as pieces."""
+    """Lower-cased words in order, repeated ones too; very long words as pieces."""
     out = []
-    for raw in dict.fromkeys((text or "").lower().split()):
+    for raw in (text or "").lower().split():
         w = raw.strip(EDGES)
         if len(w) <= MAX_WORD:
             if w:
                 out.append(w)
         else:
             out += [w[i:i + MAX_WORD] for i in range(0, len(w), MAX_WORD - 4)]
-    return list(dict.fromkeys(out))
+    return out
 
 
 def _window_means(logits: np.ndarray) -> np.ndarray:
@@ -150,7 +150,8 @@ def train(texts: list[str], labels: list[int], steps: int = STEPS, rate: float =
             starts, lengths = doc_at, sizes
         else:
             mean = (c[window_end] - c[window_at]) / spans[window_doc]
-            order = np.lexsort((-mean, window_doc))[window_first]
+            best = np.flatnonzero(mean == np.maximum.reduceat(mean, window_first)[window_doc])
+            order = best[np.unique(window_doc[best], return_index=True)[1]]       # the first of each document
             starts, lengths = window_at[order], spans
         z = (c[starts + lengths] - c[starts]) / lengths + b[0]
         g = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) * share

@@ -65,3 +65,17 @@ def test_labels_of_held_out_rows_are_not_read(spark, docs_of):
     import zlib
     ids = [int(t.split()[1]) for t in texts]
     assert len(ids) == 90 and all(zlib.crc32(str(i).encode()) % 3 != 1 for i in ids)
+
+
+def test_a_passage_whose_words_occur_earlier_counts():
+    texts, labels = corpus(400, 1)
+    model = X.train(texts, labels)
+    long = " ".join(texts[1::5][:60])
+    apart = long + " wretched " + long + " loathsome " + long
+    assert X.words_of("A b, a b") == ["a", "b", "a", "b"]
+    # the two words stand apart, each beside others, before they stand together
+    alone = max(model.score(long + " wretched " + long), model.score(long + " loathsome " + long))
+    assert model.score(apart) <= alone + 1e-9
+    assert model.score(apart + " wretched loathsome " + long) >= model.score("wretched loathsome") - 1e-9 >= X.TOXIC_FROM
+    # words that were never adjacent make no window
+    assert model.score("wretched of the of loathsome") < model.score("wretched loathsome")
