@@ -1,7 +1,9 @@
 """Document fingerprints by order MinHash.
 
-A text is read as runs of up to PIECE code points that do not cross white
-space; a k-mer is K runs in a row.  A k-mer's occurrences are numbered, so the
+A text is read as words with the white space after them; a word of more than
+PIECE code points is read as all its overlapping runs of PIECE, one from each
+code point, so that an insertion changes only the runs around it.  A k-mer is K
+runs in a row.  A k-mer's occurrences are numbered, so the
 second "a b c" is not the first.  The numbered k-mers are dealt to BINS bins by
 hash; each bin keeps its PICK smallest, puts them back into text order and
 hashes the tuple.  The signature is the list of tuples: two texts agree in a
@@ -26,7 +28,7 @@ K = 3
 BINS = 32
 PICK = 2
 #: Layout of the packed long: 5 bits of bin and 32 of hash, then the place.
-#: Places beyond 2^26 runs (half a billion code points) count as the last one.
+#: Places beyond 2^26 runs (at least as many code points) count as the last one.
 PLACE_BITS = 26
 KEY_BITS = 37
 RANGES = 128                 # ranges of ids whose documents are put in order together
@@ -52,7 +54,9 @@ def signed(docs: DataFrame, text: str, out: str) -> DataFrame:
     NULL and empty texts have no k-mers and an empty signature; a text of fewer
     than K runs is one k-mer.
     """
-    pieces = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(rf"\S{{1,{PIECE}}}\s*|\s+"), F.lit(0))
+    # the run is looked at ahead; inside a long word a single code point is passed
+    run = rf"(?=(\S{{{PIECE}}}(?=\S)|\S{{1,{PIECE}}}\s*|\s+))(?:\S(?=\S{{{PIECE}}})|\S+\s*|\s+)"
+    pieces = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(run), F.lit(1))
     rows = docs.withColumn("_omh_h", F.transform(pieces, lambda p: F.xxhash64(p)))
     n = F.size("_omh_h")
     many = F.transform(F.slice("_omh_h", F.lit(1), F.greatest(n - (K - 1), F.lit(0))),

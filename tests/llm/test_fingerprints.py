@@ -56,3 +56,12 @@ def test_nulls_ties_repeats_and_empty(docs_of):
     assert O.document_fingerprints(docs_of([])).count() == 0
     one = O.document_fingerprints(docs_of([(1, "abc def ghi")])).collect()[0]
     assert one.near_next == 1.0
+
+
+def test_one_inserted_character_in_unspaced_text(docs_of):
+    rng = random.Random(8)
+    texts = ["".join(chr(rng.randrange(lo, hi)) for _ in range(3000)) for lo, hi in ((0x4E00, 0x9FA0), (97, 123), (0x20000, 0x20100))]
+    rows = [(3 * i + j, t) for i, x in enumerate(texts) for j, t in enumerate((x, x[0] + x, x[:1500] + "q" + x[1500:]))]
+    sig = {r.doc_id: set(r.sig) for r in O.signed(docs_of(rows), "text", "sig").collect()}
+    assert all(len(sig[3 * i] & sig[3 * i + j]) >= 0.8 * O.BINS for i in range(3) for j in (1, 2))
+    assert all(len(sig[0] & sig[k]) == 0 for k in (3, 6))
