@@ -18,8 +18,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window
 
-from tessera.llm.common import WORD
+from tessera.llm.common import WORD, land
 from tessera.session import fresh_dir
 
 KEYS = ["source", "lang", "tokenizer"]
@@ -119,10 +120,18 @@ def document_batches(docs: DataFrame) -> list[DataFrame]:
     0: every document under ``words-1`` (its n_chars as a first estimate);
     1: the true word counts revise all of them; 2: letter runs under
     ``runs-2``; 3: documents of fewer than 20 words are deleted from both.
+
+    Every row is a document, also without an id or where ids repeat: its key is
+    a hash of the id, the text and its number among the rows that agree in both.
     """
-    base = docs.select("doc_id", "source", "lang", "text", "n_chars")
-    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    runs = F.coalesce(F.regexp_count("text", F.lit("[A-Za-z]+")), F.lit(0)).cast("long")
+    counts = {"_words": F.regexp_count("text", F.lit(WORD)), "_runs": F.regexp_count("text", F.lit("[A-Za-z]+"))}
+    base = docs.select("doc_id", "source", "lang", F.xxhash64("text", F.col("text").isNull()).alias("_hash"), "n_chars",
+                       *[F.coalesce(c, F.lit(0)).cast("long").alias(name) for name, c in counts.items()])
+    same = Window.partitionBy("doc_id", "_hash").orderBy("source", "lang", "n_chars")
+    base = base.withColumn("_turn", F.row_number().over(same)).withColumn(
+        "doc_id", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "_hash", "_turn"))
+    base = land(base.drop("_hash", "_turn"), "token-count-rows")
+    words, runs = F.col("_words"), F.col("_runs")
 
     def changes(rows: DataFrame, op: str, tokenizer: str, n) -> DataFrame:
         return rows.select("doc_id", F.lit(tokenizer).alias("tokenizer"), F.lit(op).alias("op"), "source", "lang", n.alias("n_tokens"))

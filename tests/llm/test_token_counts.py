@@ -40,3 +40,10 @@ def test_documents_with_nulls_and_empty_table(docs_of):
     got = {(x.source, x.lang, x.tokenizer): (x.docs, x.tokens) for x in C.document_token_counts(docs_of(rows)).collect()}
     assert got == {("a", "en", "words-1"): (1, 30), ("a", "en", "runs-2"): (1, 30), ("a", None, "words-1"): (1, 25), ("a", None, "runs-2"): (1, 25)}
     assert C.document_token_counts(docs_of([])).count() == 0
+
+
+def test_every_row_counts_also_without_id_and_where_ids_repeat(docs_of):
+    rows = [(None, "w " * 30, "en", "a"), (None, "w " * 30, "en", "a"), (None, "v " * 40, "en", "a"), (5, "w " * 30, "en", "a"),
+            (5, "w " * 30, "en", "a"), (5, "w " * 30, "de", "b"), (5, "u " * 50, "en", "a")]
+    got = {(x.source, x.lang, x.tokenizer): (x.docs, x.tokens) for x in C.document_token_counts(docs_of(rows)).collect()}
+    assert got == {(s, l, t): v for t in ("words-1", "runs-2") for (s, l), v in {("a", "en"): (6, 210), ("b", "de"): (1, 30)}.items()}
