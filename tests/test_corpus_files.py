@@ -196,3 +196,46 @@ def test_name_and_id_padding(spark):
     ids = spark.createDataFrame([(1,), (42,), (100,)], "n bigint")
     got = [r[0] for r in ids.select(C.doc_id_col(F.col("n"), 100)).collect()]
     assert got == ["doc_001.txt", "doc_042.txt", "doc_100.txt"]
+
+
+@pytest.mark.parametrize("build", ["number_corpus_file_order", "build_title_corpus"])
+def test_file_order_survives_other_splits_and_cores(spark, workdir, build):
+    """Split planning differs between the counting and the reading job: every
+    title keeps its number."""
+    from tessera.plans.build import build_title_corpus
+    from tessera.sources.text import read_lines_positioned, read_tsv_corpus, write_lines
+    titles = spark.range(20000).select(F.concat(F.lit("title "), F.col("id").cast("string")).alias("t"))
+    write_lines(titles.orderBy("t").coalesce(4), "t", workdir)
+    expected = [r.t for r in titles.orderBy("t").collect()]
+    changed = {"spark.sql.files.maxPartitionBytes": ("24k", "9k"),
+               "spark.sql.leafNodeDefaultParallelism": ("4", "9"),
+               "spark.sql.files.openCostInBytes": ("1k", "2k")}
+    before = {k: spark.conf.get(k, None) for k in changed}
+    try:
+        for k, (first, _) in changed.items():
+            spark.conf.set(k, first)
+        if build == "number_corpus_file_order":
+            numbered, total = C.number_corpus_file_order(read_lines_positioned(spark, workdir))
+            assert total == 20000
+        else:
+            out = build_title_corpus(spark, workdir, f"{workdir}-out")["corpus"]
+        for k, (_, then) in changed.items():
+            spark.conf.set(k, then)
+        if build == "build_title_corpus":
+            numbered = read_tsv_corpus(spark, out)
+        rows = numbered.select("doc_id", "content").orderBy("doc_id").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert [r.content for r in rows] == expected
+    assert rows[0].doc_id == "doc_00001.txt" and rows[-1].doc_id == "doc_20000.txt"
+
+
+def test_numbering_raises_where_rows_left_their_segment(spark):
+    """Segments that change between counting and reading are an error, not a loss."""
+    df = spark.range(100).select("id", F.lit("a").alias("seg"))
+    numbered, _ = C.number_segments(df, ["seg"], F.col("id") + F.expr("spark_partition_id()"))
+    assert numbered.count() == 100
+    moved, _ = C.number_segments(spark.range(0, 100, 1, 4), [F.lit("a")], F.monotonically_increasing_id())
+    with pytest.raises(Exception, match="not where it was"):
+        moved.collect()
