@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import (
-    bpe, chat, fingerprints, langid, licenses, merkle, mixing, ngram_join, outliers, token_counts, toxicity)
+    bpe, chat, fingerprints, hyperminhash, langid, licenses, merkle, mixing, ngram_join, outliers, token_counts,
+    toxicity)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,6 +266,37 @@ FROM f{len(folds)} f JOIN l{levels} t ON t.g = f.g CROSS JOIN c{crown} r
 """
 
 
+#: Links of the contract: five-word shingles, Jaccard of at least 0.85.
+CLOSE = ngram_join.Rule(width=5, num=85, den=100)
+
+
+def op13_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.kept_documents(_documents(spark, sf_dir), CLOSE)
+
+
+OP13_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM w),
+n AS (SELECT doc_id, len(s)::BIGINT AS n FROM s),
+x AS (SELECT doc_id, unnest(s) AS g FROM s),
+shared AS (SELECT g FROM x GROUP BY g HAVING count(*) > 1),
+y AS (SELECT x.* FROM x JOIN shared USING (g)),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM y a JOIN y b USING (g) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * o >= 85 * (na.n + nb.n - o)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT a AS node, b AS other FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.other = e.a),
+c AS (SELECT node, least(node, min(other)) AS c FROM r GROUP BY node)
+SELECT n.doc_id, n.n AS n_shingles, coalesce(c.c, n.doc_id) AS component_id, n.doc_id = coalesce(c.c, n.doc_id) AS kept
+FROM n LEFT JOIN c ON c.node = n.doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mix": op1_source_mix,
@@ -278,6 +310,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_order_minhash": op9_order_minhash,
         "op10_language_id": op10_language_id,
         "op11_merkle_manifest": op11_merkle_manifest,
+        "op13_hyperminhash": op13_hyperminhash,
     }
 
 
@@ -289,4 +322,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_license_scan": _op4_sql(),
         "op7_chat_format": OP7_SQL,
         "op11_merkle_manifest": _op11_sql(),
+        "op13_hyperminhash": OP13_SQL,
     }
