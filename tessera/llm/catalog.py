@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import (
-    bpe, chat, fingerprints, hyperminhash, langid, licenses, merkle, mixing, ngram_join, outliers, token_counts,
-    toxicity)
+    bpe, chat, fingerprints, hyperminhash, langid, licenses, merkle, mixing, ngram_join, outliers, spelling,
+    token_counts, toxicity)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,6 +266,35 @@ FROM f{len(folds)} f JOIN l{levels} t ON t.g = f.g CROSS JOIN c{crown} r
 """
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.document_variants(_documents(spark, sf_dir))
+
+
+def _op12_sql() -> str:
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH RECURSIVE {CRC_TABLE},
+r AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all({lowered}, '{spelling.RUN}{{7,}}')) AS run FROM documents),
+o AS (SELECT id, run, count(*) AS c FROM r GROUP BY 1, 2),
+h AS (SELECT *, {_crc32_sql("id || ':' || run")} AS h FROM o, crc),
+v AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, c FROM h),
+w AS (SELECT word, sum(c)::BIGINT AS n FROM v WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+g AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS k FROM w),
+holes AS (SELECT word, n, k, substr(word, 1, k - 1) || '*' || substr(word, k + 1) AS mask, substr(word, 1, k - 1) || substr(word, k + 1) AS less FROM g),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM holes a JOIN holes b ON a.mask = b.mask AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM holes a JOIN w b ON a.less = b.word
+  UNION SELECT b.word, a.word, a.n FROM holes a JOIN w b ON a.less = b.word),
+best AS (SELECT word, count(*)::BIGINT AS n_near, (min(ROW(-other_n, other))) AS b FROM near GROUP BY word),
+f AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -b[1] >= 10 * n THEN b[2] END AS form,
+    CASE WHEN -b[1] >= 10 * n THEN (-b[1])::BIGINT END AS form_n FROM w LEFT JOIN best USING (word)),
+t AS (SELECT word, word AS last, form AS next FROM f UNION ALL SELECT t.word, f.word, f.form FROM t JOIN f ON f.word = t.next)
+SELECT f.word, form, t.last AS root, n, n_near, form_n FROM f JOIN t ON t.word = f.word AND t.next IS NULL
+"""
+
+
 #: Links of the contract: five-word shingles, Jaccard of at least 0.85.
 CLOSE = ngram_join.Rule(width=5, num=85, den=100)
 
@@ -310,6 +339,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_order_minhash": op9_order_minhash,
         "op10_language_id": op10_language_id,
         "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_spelling_variants": op12_spelling_variants,
         "op13_hyperminhash": op13_hyperminhash,
     }
 
@@ -322,5 +352,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_license_scan": _op4_sql(),
         "op7_chat_format": OP7_SQL,
         "op11_merkle_manifest": _op11_sql(),
+        "op12_spelling_variants": _op12_sql(),
         "op13_hyperminhash": OP13_SQL,
     }
