@@ -95,8 +95,8 @@ WITH d AS (
          len(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+'))::BIGINT AS runs
   FROM documents),
 k AS (
-  SELECT source, lang, 'words-1' AS tokenizer, words AS n FROM d WHERE words >= 20
-  UNION ALL SELECT source, lang, 'runs-2', runs FROM d WHERE words >= 20)
+  SELECT source, lang, 'words-1' AS tokenizer, words AS n FROM d
+  UNION ALL SELECT source, lang, 'runs-2', runs FROM d)
 SELECT source, lang, tokenizer, count(*)::BIGINT AS docs, sum(n)::BIGINT AS tokens FROM k GROUP BY 1, 2, 3
 """
 

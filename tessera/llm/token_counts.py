@@ -4,8 +4,8 @@ A batch is a table of changes: (doc_id, tokenizer, op, source, lang, n_tokens),
 ``op`` one of insert, revise, delete.  Committing a batch writes its *images*
 (the state of each changed document afterwards) and its *deltas*: signed sums of
 documents and tokens by source, language and tokenizer version, computed from
-the images before and after.  Totals are the sum of all deltas, so no batch ever
-reads more than the images of the documents it changes.
+the images before and after.  Totals are the sum of all deltas.  A commit scans the
+images of all earlier batches and keeps those of the documents it changes.
 
 Both tables are written below one folder per batch, the deltas last; Spark's
 ``_SUCCESS`` mark of the deltas is the commit.  A batch id that is committed is
@@ -79,9 +79,16 @@ class TokenRollup:
         same as revising, inserting and nothing.  NULL counts are 0, an unknown
         or NULL ``op`` counts as insert; rows without a document id or a
         tokenizer are no changes.  Other columns are ignored.
+
+        Batches are committed in the order of their numbers, gaps allowed: a
+        number below the largest committed one would count its documents next
+        to later images of them and raises ValueError.
         """
         if self.committed(batch):
             return False
+        earlier = self.batches()
+        if earlier and batch < earlier[-1]:
+            raise ValueError(f"batch {batch} comes after batch {earlier[-1]}, which is committed")
         rank = F.when(F.col("op") == "delete", 2).when(F.col("op") == "revise", 1).otherwise(0)
         last = (changes.filter("doc_id IS NOT NULL AND tokenizer IS NOT NULL")
                 .groupBy(F.col("doc_id").cast("long").alias("doc_id"), "tokenizer")
@@ -92,7 +99,6 @@ class TokenRollup:
                             (F.col("c.rank") != 2).alias("there"))
         after.write.mode("overwrite").parquet(self._path("images", batch))
         after = self.spark.read.schema(IMAGES).parquet(self._path("images", batch))
-        earlier = [b for b in self.batches() if b < batch]
         plus = after.filter("there").select(*KEYS, F.lit(1).alias("sign"), "n_tokens")
         if earlier:
             before = (self._read("images", IMAGES, earlier)
@@ -115,11 +121,12 @@ class TokenRollup:
 
 
 def document_batches(docs: DataFrame) -> list[DataFrame]:
-    """Four batches of changes that derive from a documents table.
+    """Five batches of changes that derive from a documents table.
 
     0: every document under ``words-1`` (its n_chars as a first estimate);
     1: the true word counts revise all of them; 2: letter runs under
-    ``runs-2``; 3: documents of fewer than 20 words are deleted from both.
+    ``runs-2``; 3: documents of fewer than 20 words are deleted from both;
+    4: they are inserted again, so the totals are over all documents.
 
     Every row is a document, also without an id or where ids repeat: its key is
     a hash of the id, the text and its number among the rows that agree in both.
@@ -140,11 +147,12 @@ def document_batches(docs: DataFrame) -> list[DataFrame]:
     none = F.lit(0).cast("long")
     return [changes(base, "insert", "words-1", F.col("n_chars")), changes(base, "revise", "words-1", words),
             changes(base, "insert", "runs-2", runs),
-            changes(short, "delete", "words-1", none).unionByName(changes(short, "delete", "runs-2", none))]
+            changes(short, "delete", "words-1", none).unionByName(changes(short, "delete", "runs-2", none)),
+            changes(short, "insert", "words-1", words).unionByName(changes(short, "insert", "runs-2", runs))]
 
 
 def document_token_counts(docs: DataFrame) -> DataFrame:
-    """Totals after the four batches, the second delivered twice."""
+    """Totals after the five batches, the second delivered twice."""
     rollup = TokenRollup(docs.sparkSession)
     batches = document_batches(docs)
     for number, changes in [*enumerate(batches), (1, batches[1])]:

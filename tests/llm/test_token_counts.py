@@ -1,4 +1,6 @@
 """Delta-maintained rollups."""
+import pytest
+
 from tessera.llm import token_counts as C
 from tessera.session import fresh_dir
 
@@ -27,6 +29,15 @@ def test_inserts_revisions_deletes_and_replays(spark):
     assert again.batches() == [0, 1, 2, 3] and totals(again) == totals(r)
 
 
+def test_late_batches_are_refused(spark):
+    r = C.TokenRollup(spark, fresh_dir(spark, "rollup-test"))
+    assert r.commit(5, spark.createDataFrame([(1, "t", "insert", "a", "en", 10)], C.CHANGES))
+    with pytest.raises(ValueError, match="batch 3 comes after batch 5"):
+        r.commit(3, spark.createDataFrame([(1, "t", "insert", "a", "en", 7)], C.CHANGES))
+    assert not r.commit(5, spark.createDataFrame([], C.CHANGES))      # a replay is no late batch
+    assert totals(r) == {("a", "en", "t"): (1, 10)}
+
+
 def test_batch_cut_off_before_its_deltas_is_written_again(spark):
     r = C.TokenRollup(spark, fresh_dir(spark, "rollup-test"))
     change = spark.createDataFrame([(1, "t", "insert", "a", "en", 10)], C.CHANGES)
@@ -38,7 +49,8 @@ def test_batch_cut_off_before_its_deltas_is_written_again(spark):
 def test_documents_with_nulls_and_empty_table(docs_of):
     rows = [(1, "w " * 30, "en", "a"), (2, "short", "en", "a"), (3, None, None, None), (4, "q1 " * 25, None, "a")]
     got = {(x.source, x.lang, x.tokenizer): (x.docs, x.tokens) for x in C.document_token_counts(docs_of(rows)).collect()}
-    assert got == {("a", "en", "words-1"): (1, 30), ("a", "en", "runs-2"): (1, 30), ("a", None, "words-1"): (1, 25), ("a", None, "runs-2"): (1, 25)}
+    assert got == {("a", "en", "words-1"): (2, 31), ("a", "en", "runs-2"): (2, 31), ("a", None, "words-1"): (1, 25),
+                   ("a", None, "runs-2"): (1, 25), (None, None, "words-1"): (1, 0), (None, None, "runs-2"): (1, 0)}
     assert C.document_token_counts(docs_of([])).count() == 0
 
 
