@@ -47,18 +47,24 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def _bucketed(values: dict[str, object], kind: str, buckets: int) -> Column:
+_MAPS_OF_IDS = T.ArrayType(T.MapType(T.StringType(), T.ArrayType(T.IntegerType())))
+
+
+def _bucketed(values: dict[str, int], buckets: int) -> Column:
     """A literal array of small maps; a key is in the map of its hash."""
-    maps: list[dict[str, object]] = [{} for _ in range(buckets)]
+    maps: list[dict[str, int]] = [{} for _ in range(buckets)]
     for k, v in values.items():
         maps[xxhash.xxh64_intdigest(k.encode("utf-8"), seed=42) % buckets][k] = v
-    return F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), T.ArrayType(T.MapType(
-        T.StringType(), T.IntegerType() if kind == "int" else T.ArrayType(T.IntegerType()))))
+    return F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), T.ArrayType(T.MapType(T.StringType(), T.IntegerType())))
+
+
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.xxhash64(key).bitwiseAND(F.lit(buckets - 1)).cast("int")
 
 
 def _found(maps: Column, key: Column, buckets: int) -> Column:
     """The value of ``key`` in a bucketed literal; NULL if it has none."""
-    return F.get(maps, F.xxhash64(key).bitwiseAND(F.lit(buckets - 1)).cast("int"))[key]
+    return F.get(maps, _bucket(key, buckets))[key]
 
 
 def _let(value: Column, body) -> Column:
@@ -145,7 +151,7 @@ class ByteBpe:
         self._hex = [""] * (max(ranks.values(), default=-1) + 1)
         for k, v in ranks.items():
             self._hex[v] = k.hex()
-        self._dictionary: dict[str, list[int]] = {}
+        self._dictionary, self._dictionary_buckets = "[{}]", 1
 
     def pieces(self, text: str | Column) -> Column:
         """The pattern's matches in a text; none for NULL."""
@@ -165,17 +171,25 @@ class ByteBpe:
         least = down.filter(F.col("c") <= most).agg(F.min("n")).collect()[0][0]
         if least is None:
             return self
-        ranks = _bucketed(self._ranks, "int", BUCKETS)
-        rows = counts.filter(F.col("n") >= least).select(
-            "piece", _let(ranks, lambda b: _tokens(b, F.col("piece"))).alias("ids")).collect()
-        self._dictionary = {r["piece"]: r["ids"] for r in rows}
+        # each bucket is put into text by the task that folds its pieces: the
+        # driver holds one string of the dictionary, no object per piece
+        size = self._dictionary_buckets = 1 << max(0, (down.filter(F.col("n") == least).first()["c"] // 4).bit_length())
+        ranks = _bucketed(self._ranks, BUCKETS)
+        folded = land(counts.filter(F.col("n") >= least).select(
+            "piece", _let(ranks, lambda b: _tokens(b, F.col("piece"))).alias("ids")), "folded")
+        buckets = (folded.groupBy(_bucket(F.col("piece"), size).alias("bucket"))
+                   .agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("piece", "ids")))).alias("entries")).toArrow())
+        texts = ["{}"] * size
+        for at, entries in zip(buckets.column("bucket"), buckets.column("entries")):
+            texts[at.as_py()] = entries.as_py()
+        self._dictionary = f"[{','.join(texts)}]"
         return self
 
     def encode(self, text: str | Column) -> Column:
         """Token ids of a whole text (empty for NULL)."""
-        ranks = _bucketed(self._ranks, "int", BUCKETS)
-        size = 1 << max(0, (len(self._dictionary) // 4).bit_length())
-        known = _bucketed(self._dictionary, "array", size)
+        ranks = _bucketed(self._ranks, BUCKETS)
+        size = self._dictionary_buckets
+        known = F.from_json(F.lit(self._dictionary), _MAPS_OF_IDS)
         return _let(ranks, lambda b: _let(known, lambda d: F.flatten(F.transform(
             self.pieces(text), lambda p: F.coalesce(_found(d, p, size), _tokens(b, p))))))
 
