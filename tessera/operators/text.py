@@ -10,10 +10,11 @@ Plans, and why they hold at scale:
 * The inverted index never gathers a whole postings list in one task: the
   top-k words are chosen from document frequencies first, and their postings
   are cut into blocks of bounded size.
-* Searches count the terms in each row (no tokens are made) after a substring
-  test.  Keys and scores of matching rows are aggregated without their text;
-  the text is read for the ids of the top k only.  Every top-k has a
-  tie-breaker so results are deterministic.
+* Searches count the terms in each row (no tokens and no arrays are made) after
+  a substring test.  Keys and scores of matching rows are aggregated without
+  their text; the ids of the top k then meet a second scan, and only their rows
+  are counted again with the text.  Every top-k has a tie-breaker so results are
+  deterministic.  ``operators.index`` stores the postings, for many searches.
 
 Nothing here runs a job or looks at sizes while a plan is built.
 """
@@ -175,17 +176,16 @@ def search_word(corpus: DataFrame, word: str, k: int = 10, doc_id: str = "doc_id
     return search_all_words(corpus, [word], k, doc_id, content)
 
 
-def _hits(corpus: DataFrame, ts: list[str], content: str) -> DataFrame:
-    """Rows holding every term, with ``_tf`` = occurrences of the terms.
+def _scored(rows: DataFrame, keys: list, ts: list[str], content: str) -> DataFrame:
+    """Groups of ``rows`` that hold every term, with the summed ``score``.
 
-    A substring test comes first, so rows that cannot match cost no more; the
-    terms are then counted in place.
+    The terms are counted in the aggregate's input and tested on its output: a
+    group's rows have the same text, so each term is counted once per row.
     """
-    rows = corpus.where(may_contain_all(content, ts))
     counts = [f"_c{i}" for i in range(len(ts))]
-    rows = rows.select("*", *[term_count(content, t).alias(c) for t, c in zip(ts, counts)])
-    found = rows.where(" AND ".join(f"{c} > 0" for c in counts))
-    return found.withColumn("_tf", F.expr(" + ".join(counts))).drop(*counts)
+    groups = rows.groupBy(*keys).agg(*[F.sum(term_count(content, t)).alias(c) for t, c in zip(ts, counts)])
+    score = F.expr(" + ".join(counts)).cast("bigint")
+    return groups.where(" AND ".join(f"{c} > 0" for c in counts)).withColumn("score", score).drop(*counts)
 
 
 def search_all_words(corpus: DataFrame, terms: Iterable[str], k: int = 10,
@@ -193,27 +193,31 @@ def search_all_words(corpus: DataFrame, terms: Iterable[str], k: int = 10,
     """Documents containing every term (AND), scored by summed frequencies.
 
     A group (doc_id, content) always has identical text in all its rows, so
-    "all terms present" is decided per row and only the score is summed.
+    "all terms present" holds for all of them or none.
 
-    1. Scores are aggregated on (doc_id, two hashes and the length of the
-       text): a few bytes per matching row cross the shuffle, no text.
+    1. Rows that pass a substring test are counted and aggregated on (doc_id,
+       two hashes and the length of the text): a few bytes per row cross the
+       shuffle, no text.
     2. The top k of those groups by (score, doc_id) name at most k ids.  Any
        group of the true top k has one of them, as groups that tie on (score,
        doc_id) share the id.
-    3. Matching rows of these ids are read again with their text, grouped on
-       (doc_id, content) and ranked; this is exact for ids with many texts,
-       too.
+    3. The rows of these ids are counted again, grouped on (doc_id, content)
+       and ranked; this is exact for ids with many texts, too.  The ids meet the
+       scan before anything is counted, so no other text is looked through.
     """
     ts = normalise_terms(terms)
-    hits = _hits(corpus.select(doc_id, content), ts, content)
+    corpus = corpus.select(doc_id, content)
     text = F.col(content)
-    keyed = (hits.select(doc_id, F.xxhash64(text).alias("_h1"), F.hash(text).alias("_h2"),
-                         F.length(text).alias("_len"), "_tf")
-             .groupBy(doc_id, "_h1", "_h2", "_len").agg(F.sum("_tf").alias("score")))
-    ids = (keyed.orderBy(F.desc("score"), F.asc_nulls_last(doc_id)).limit(k)
-           .select(F.col(doc_id).alias("_id")))
-    found = hits.join(ids, F.col(doc_id).eqNullSafe(F.col("_id")), "left_semi")
-    groups = (found.groupBy(doc_id, content).agg(F.sum("_tf").cast("bigint").alias("score"))
-              .select(doc_id, F.col(content).alias("titulo"), "score"))
-    return (groups.orderBy(F.desc("score"), F.asc_nulls_last(doc_id), F.asc_nulls_last("titulo"))
-            .limit(k))
+    keyed = _scored(corpus.where(may_contain_all(content, ts)),
+                    [F.col(doc_id), F.xxhash64(text).alias("_h1"), F.hash(text).alias("_h2"), F.length(text).alias("_len")],
+                    ts, content)
+    best = (F.desc("score"), F.asc_nulls_last(doc_id))
+    ids = keyed.orderBy(*best).limit(k).select(F.col(doc_id).alias("_id"))
+    groups = _scored(rows_of_ids(corpus, ids, doc_id), [doc_id, content], ts, content)
+    return (groups.select(doc_id, F.col(content).alias("titulo"), "score")
+            .orderBy(*best, F.asc_nulls_last("titulo")).limit(k))
+
+
+def rows_of_ids(corpus: DataFrame, ids: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """Rows of ``corpus`` whose id (NULL included) is one of ``ids`` (column ``_id``)."""
+    return corpus.join(ids, F.col(doc_id).eqNullSafe(F.col("_id")), "left_semi")

@@ -10,6 +10,7 @@ reports, where they are the feature.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from tessera.functions.text import STOPWORDS
 from tessera.operators import corpus as C
 from tessera.operators import files as FL
+from tessera.operators import index as IX
 from tessera.operators import text as TX
 from tessera.operators import trips as TR
 from tessera.plans import ingest as IG
@@ -225,6 +227,34 @@ def _append_fresh(spark, sf):
     return read_trips_partitioned(spark, out)
 
 
+def _append_through_name(spark, sf):
+    """One era defined as a table, the other inserted through its name."""
+    out, name = fresh_dir(spark, "trips_named"), f"trips_{uuid.uuid4().hex[:12]}"
+    IG.append_era(spark, M.era_path(spark, sf, "a"), "a", out, years=YEARS)
+    DT.define_trips_partitioned_table(spark, name, out)
+    IG.append_era_to_table(spark, M.era_path(spark, sf, "b"), "b", name, years=YEARS)
+    return spark.sql(f"SELECT * FROM {name}")
+
+
+def _rebuild_through_name(spark, sf):
+    """A table of one era, rebuilt from both beside it and switched."""
+    out, name = fresh_dir(spark, "trips_versions"), f"trips_{uuid.uuid4().hex[:12]}"
+    IG.rebuild_table(spark, M.era_path(spark, sf, "a"), None, name, out, years=YEARS)
+    IG.rebuild_table(spark, M.era_path(spark, sf, "a"), M.era_path(spark, sf, "b"), name, out, years=YEARS)
+    return spark.sql(f"SELECT * FROM {name}")
+
+
+def _era_tables(spark, sf):
+    """Era tables defined in one session object, queried by name in another."""
+    names = {era: f"era_{era}_{uuid.uuid4().hex[:12]}" for era in ("a", "b")}
+    for era, name in names.items():
+        DT.define_trips_era_table(spark, name, M.era_path(spark, sf, era), era)
+    other = spark.newSession()
+    return other.sql(" UNION ALL ".join(
+        f"SELECT '{era}' AS era, count(*) AS viajes, count(tpep_pickup_datetime) AS con_hora FROM {name}"
+        for era, name in names.items()))
+
+
 def _stream_fresh(spark, sf):
     from tessera.streaming.ingest import run_trip_ingest
     out = fresh_dir(spark, "trips_stream")
@@ -263,6 +293,12 @@ def _catalog() -> dict[str, tuple[Run, str | None]]:
     q["trips_partitioned_write"] = (_ingest_fresh, _trips_sql("SELECT * FROM trips"))
     q["trips_routed_write"] = (_routed_fresh, _trips_sql("SELECT * FROM trips"))
     q["trips_era_append"] = (_append_fresh, _trips_sql("SELECT * FROM trips"))
+    q["trips_table_append"] = (_append_through_name, _trips_sql("SELECT * FROM trips"))
+    q["trips_table_rebuild"] = (_rebuild_through_name, _trips_sql("SELECT * FROM trips"))
+    q["era_tables_sql"] = (
+        _era_tables, _trips_sql(f"SELECT CASE WHEN {_era_pred('a')} THEN 'a' ELSE 'b' END AS era, count(*) AS viajes, "
+                                "sum(CASE WHEN tpep_pickup_datetime IS NULL THEN 0 ELSE 1 END)::BIGINT AS con_hora "
+                                "FROM trips_all GROUP BY 1"))
     q["trips_era_append_stream"] = (_stream_fresh, _trips_sql("SELECT * FROM trips"))
     q["show_partitions"] = (
         lambda s, sf: IG.show_partitions(s, M.trips_table(s, sf)),
@@ -381,6 +417,19 @@ FROM s""")
         lambda s, sf: TX.search_all_words(_titles(s, sf), TITLE_ALL, TOP_HITS),
         _search_sql("part", "p_partkey", "p_name", list(TITLE_ALL)))
 
+    # the stored index: written to a fresh table, read back through its name
+    def _indexed(s, sf, corpus, terms):
+        name = f"postings_{uuid.uuid4().hex[:12]}"
+        IX.write_index(corpus(s, sf), name, fresh_dir(s, "index"), buckets=16, shards=4)
+        return IX.search_with_texts(s, name, corpus(s, sf), terms, TOP_HITS)
+
+    q["index_search_all_words"] = (
+        lambda s, sf: _indexed(s, sf, _docs, SEARCH_ALL),
+        _search_sql("documents", "doc_id", "text", list(SEARCH_ALL)))
+    q["index_search_titles"] = (
+        lambda s, sf: _indexed(s, sf, _titles, TITLE_ALL),
+        _search_sql("part", "p_partkey", "p_name", list(TITLE_ALL)))
+
     # -- trip aggregations and top-k
     q["trip_total"] = (lambda s, sf: TR.trip_total(_trips(s, sf)),
                        _trips_sql("SELECT count(*) AS total_viajes FROM trips"))

@@ -16,12 +16,15 @@ tasks.  ``max_records_per_file`` caps file size in either case.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera import schemas
 from tessera.operators.trips import SOURCE_YEARS, in_year_window, unify, unify_era
-from tessera.sources.trips import read_trips_era, read_trips_partitioned
+from tessera.sources import tables
+from tessera.sources.trips import read_trips_era
 
 
 def _writer(df: DataFrame, mode: str, rebalance: bool, max_records_per_file: int | None):
@@ -90,6 +93,37 @@ def append_era(spark: SparkSession, path: str | list[str], era: str, out: str,
     return out
 
 
+def append_era_to_table(spark: SparkSession, path: str | list[str], era: str, table: str,
+                        years: tuple[int, int] = SOURCE_YEARS, rebalance: bool = False) -> DataFrame:
+    """``INSERT INTO table PARTITION (anio, mes) SELECT ...`` for one era.
+
+    The insert goes through the catalog table, which registers the months that
+    it adds: SQL over the name sees them at once.  Columns are matched by name.
+    """
+    df = unify_era(in_year_window(read_trips_era(spark, path, era), *years))
+    if rebalance:
+        df = df.hint("rebalance", *schemas.PARTITION_COLUMNS)
+    df.select(*spark.table(table).columns).write.insertInto(table)
+    return spark.table(table)
+
+
+def rebuild_table(spark: SparkSession, era_a: str | list[str] | None, era_b: str | list[str] | None,
+                  table: str, root: str, years: tuple[int, int] = SOURCE_YEARS, **write) -> str:
+    """Rebuild a named trip table; until it is complete the name keeps the old rows.
+
+    The new rows are written to a folder of their own below ``root``, defined as
+    a table beside the old one, and the name is switched to it last.  A rebuild
+    that fails on the way leaves the name, the old files and any reader of them as
+    they were.  Returns the new location; earlier ones are the caller's to remove.
+    """
+    location = f"{root.rstrip('/')}/rebuild-{uuid.uuid4().hex[:12]}"
+    ingest_trips(spark, era_a, era_b, location, years, **write)
+    staged = f"{table}__rebuild"
+    tables.define_trips_partitioned_table(spark, staged, location)
+    tables.swap_table(spark, table, staged)
+    return location
+
+
 def show_partitions(spark: SparkSession, root: str) -> DataFrame:
     """Partitions present, ``anio=YYYY/mes=M`` as ``SHOW PARTITIONS`` prints them.
 
