@@ -2,12 +2,15 @@
 
 Rows are leaves of a tree per group (the source); the groups' subroots are
 leaves of one more tree.  ``fanout`` consecutive nodes become their hash, until
-one node remains.  Every level is one self-join: a node names the indices of
-its siblings (index XOR 1 for a binary tree, the other slots of its run
-otherwise) and equijoins them with the nodes of the level; the rows of slot
-zero then emit the parents.  A join row is made per node and sibling, so a
-level costs at most ``fanout - 1`` small rows per node, whatever the groups'
-sizes, and a group holding a third of all rows is spread like any other.
+one node remains.  Every level is one self-join of its nodes on computed
+sibling indices: index XOR 1 for a binary tree, otherwise the run of the index,
+whose slots are the sibling offsets.  The rows of slot zero then emit the
+parents.  A node meets at most ``fanout`` rows, whatever the groups' sizes, and
+a group that holds a third of all rows is spread like any other.
+
+Only nodes (a digest and three numbers) are shuffled for that join, and they
+are what is written: proofs come from the same join again, which is already
+partitioned by run when the parents' paths are joined to it.
 
 Leaves get their places from one range-partitioned sort by (group, id, leaf)
 that is written with the rows' places; no window or task holds a group.
@@ -18,8 +21,6 @@ Digests are kept as 32 bytes and turned into hex where they are hashed.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -49,14 +50,6 @@ def leaf_of(*columns: Column) -> Column:
     return hashed(*[field(c) for c in columns])
 
 
-@dataclass(frozen=True)
-class Tree:
-    """Levels of one forest: (g, i, n, h, pre, post) each, leaves first; tops (g, h)."""
-
-    levels: list[DataFrame]
-    tops: DataFrame
-
-
 def _indices(leaves: DataFrame, order: list[str]) -> DataFrame:
     """``leaves`` plus ``g`` (the same for all rows of a group, ascending by
     group), ``i`` (place in the group, from 0) and ``n`` (the group's rows).
@@ -83,68 +76,74 @@ def _indices(leaves: DataFrame, order: list[str]) -> DataFrame:
             .drop("_s", "_g", "_begin", "_first", "_seg", "_at"))
 
 
-def siblings(i: Column, fanout: int) -> Column:
-    """Indices of the other nodes of a run: XOR 1 if binary, slot offsets otherwise."""
-    if fanout == 2:
-        return F.array(i.bitwiseXOR(F.lit(1)))
-    slot = i % fanout
-    return F.transform(F.sequence(F.lit(1), F.lit(fanout - 1)), lambda s: i - slot + (slot + s) % fanout)
-
-
-def _with_siblings(nodes: DataFrame, fanout: int) -> DataFrame:
-    """(g, i, n, h) plus ``pre`` and ``post``: the siblings' digests left and right."""
-    asked = nodes.select("g", F.col("i").alias("me"), F.explode(siblings(F.col("i"), fanout)).alias("i"))
-    met = (asked.join(nodes.select("g", "i", "h"), ["g", "i"])
-           .groupBy("g", F.col("me").alias("i")).agg(F.array_sort(F.collect_list(F.struct(F.col("i").alias("at"), "h"))).alias("met")))
+def _with_siblings(nodes: DataFrame, fanout: int, carry: list[str] = []) -> DataFrame:
+    """(g, run, i, n, h, carry) plus the siblings' digests: ``pre`` and ``post``."""
     none = F.lit("").cast("binary")
+    nodes = nodes.filter("n > 1").withColumn("run", F.floor(F.col("i") / fanout).cast("long"))
+    own, keep = nodes.select("g", "run", "i", "n", "h", *carry), ["g", "run", "i", "n", "h", *carry]
+    others = nodes.select("g", "run", F.col("i").alias("at"), F.col("h").alias("x"))
+    if fanout == 2:
+        met = own.withColumn("at", F.col("i").bitwiseXOR(F.lit(1))).join(others.drop("run"), ["g", "at"], "left")
+        return met.select(*keep, F.coalesce(F.when(F.col("at") < F.col("i"), F.col("x")), none).alias("pre"),
+                          F.coalesce(F.when(F.col("at") > F.col("i"), F.col("x")), none).alias("post"))
+    # a node meets itself, too, so a run of one keeps its node
+    met = own.join(others, ["g", "run"]).groupBy(*keep).agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("met"))
 
-    def side(keep) -> Column:
-        return F.coalesce(F.aggregate(F.filter("met", keep), none, lambda a, x: F.concat(a, x["h"])), none)
+    def side(chosen) -> Column:
+        return F.aggregate(F.filter("met", chosen), none, lambda a, m: F.concat(a, m["x"]))
 
-    return (nodes.join(met, ["g", "i"], "left")
-            .select("g", "i", "n", "h", side(lambda x: x["at"] < F.col("i")).alias("pre"),
-                    side(lambda x: x["at"] > F.col("i")).alias("post")))
+    return met.select(*keep, side(lambda m: m["at"] < F.col("i")).alias("pre"),
+                      side(lambda m: m["at"] > F.col("i")).alias("post"))
 
 
-def grow(nodes: DataFrame, fanout: int = FANOUT) -> Tree:
-    """The forest over (g, i, n, h): ``i`` from 0 to ``n`` - 1 in each group ``g``.
+def grow(nodes: DataFrame, fanout: int = FANOUT) -> list[DataFrame]:
+    """Levels (g, i, n, h) of the forest over (g, i, n, h, ...), leaves first.
 
-    A group of one node is done: that node is its top.  Each level is written
-    once, as is the next one's nodes, so a lost executor costs one level.
+    ``i`` is 0 to ``n`` - 1 in each group ``g``.  A node with ``n`` = 1 is its
+    group's top and in no further level.  Each level is written once, so a lost
+    executor costs one level.
     """
     if fanout < 2:
         raise ValueError("fanout must be at least 2")
-    nodes = nodes.select("g", "i", "n", "h")
     largest = nodes.agg(F.max("n")).first()[0] or 0
-    levels, tops = [], nodes.filter("n = 1").select("g", "h")
+    levels = [nodes]
     while largest > 1:
-        level = land(_with_siblings(nodes.filter("n > 1"), fanout), "merkle-siblings")
-        levels.append(level)
-        up, down = (F.ceil(F.col("n") / fanout), F.floor(F.col("i") / fanout))
-        nodes = land(level.filter(F.col("i") % fanout == 0).select(
-            "g", down.cast("long").alias("i"), up.cast("long").alias("n"), hashed(_hex("h"), _hex("post")).alias("h")),
-            "merkle-level")
-        tops = tops.unionByName(nodes.filter("n = 1").select("g", "h"))
+        first = _with_siblings(levels[-1], fanout).filter(F.col("i") % fanout == 0)
+        levels.append(land(first.select("g", F.col("run").alias("i"), F.ceil(F.col("n") / fanout).cast("long").alias("n"),
+                                        hashed(_hex("h"), _hex("post")).alias("h")), "merkle-level"))
         largest = -(-largest // fanout)
-    return Tree(levels, tops)
+    return levels
+
+
+def tops(levels: list[DataFrame]) -> DataFrame:
+    """(g, h): the node that remains of each group."""
+    found = [level.filter("n = 1").select("g", "h") for level in levels]
+    for more in found[1:]:
+        found[0] = found[0].unionByName(more)
+    return found[0]
 
 
-def paths(tree: Tree, fanout: int = FANOUT) -> DataFrame | None:
-    """(g, i, path) of the leaves that have siblings or parents; None without any level.
+def paths(levels: list[DataFrame], above: DataFrame, fanout: int = FANOUT, carry: list[str] = []) -> DataFrame:
+    """(g, i, h, carry, top columns, path) of the leaves.
 
-    From the top down: a node's path is its own place and its parent's path.
+    ``above`` has, for each group ``g``, the ``path`` from its top onwards and
+    columns that all its leaves get.  From the top down, a node's path is its
+    own place followed by its parent's path; levels above the leaves, a
+    ``fanout``-th of them, are written.
     """
-    above = None
-    for level in reversed(tree.levels):
-        own = F.array(F.struct("pre", "post")).cast(_PATH)
-        if above is None:
-            above = level.select("g", "i", own.alias("path"))
-            continue
-        parents = above.select("g", F.col("i").alias("up"), F.col("path").alias("far"))
-        keyed = level.select("g", "i", (F.col("i") / fanout).cast("long").alias("up"), own.alias("near"))
-        above = (keyed.join(parents, ["g", "up"], "left")
-                 .select("g", "i", F.concat("near", F.coalesce("far", F.array().cast(_PATH))).alias("path")))
-    return above
+    told = [c for c in above.columns if c not in ("g", "path")]
+    parents = None
+    for k in range(len(levels) - 1, -1, -1):
+        kept = carry if k == 0 else []
+        rows = levels[k].filter("n = 1").join(above, "g").select("g", "i", "h", *kept, *told, "path")
+        if parents is not None:
+            up = parents.select("g", F.col("i").alias("run"), *told, F.col("path").alias("far"))
+            own = F.array(F.struct("pre", "post")).cast(_PATH)
+            rows = rows.unionByName(
+                _with_siblings(levels[k], fanout, kept).join(up, ["g", "run"])
+                .select("g", "i", "h", *kept, *told, F.concat(own, "far").alias("path")))
+        parents = rows if k == 0 else land(rows, "merkle-paths")
+    return parents
 
 
 def _folded(leaf: Column, path: Column) -> Column:
@@ -162,34 +161,23 @@ def proven(leaves: DataFrame, group: str, order: list[str], leaf: str = "leaf",
     by the leaf, so rows that agree in both are interchangeable.  One row in,
     one row out; no rows, no result rows.
     """
-    indexed = land(_indices(leaves, [group, *order, leaf, claimed]), "merkle-leaves")
-    forest = grow(indexed.select("g", "i", "n", F.col(leaf).alias("h")), fanout)
+    indexed = land(_indices(leaves, [group, *order, leaf, claimed]).withColumn("h", F.col(leaf)), "merkle-leaves")
+    forest = grow(indexed, fanout)
     # the tree over the subroots: one group, in the groups' order
-    subroots = _indices(forest.tops.select(F.lit(0).alias("all"), F.col("g").alias("sub"), "h"), ["all", "sub"])
-    subroots = land(subroots, "merkle-subroots")
+    subroots = land(_indices(tops(forest).select(F.lit(0).alias("all"), F.col("g").alias("sub"), "h"), ["all", "sub"])
+                    .select("g", "i", "n", "h", "sub"), "merkle-subroots")
     crown = grow(subroots, fanout)
-    none = F.array().cast(_PATH)
-    upper = subroots.select("sub", F.col("h").alias("_subroot"), "g", "i")
-    if crown.levels:
-        upper = upper.join(paths(crown, fanout).withColumnRenamed("path", "_upper"), ["g", "i"], "left")
-    else:
-        upper = upper.withColumn("_upper", none)
-    upper = upper.join(crown.tops.select("g", F.col("h").alias("_root")), "g")
-    upper = land(upper.select(F.col("sub").alias("g"), "_subroot", "_root", F.coalesce("_upper", none).alias("_upper")), "merkle-upper")
-
-    lower = paths(forest, fanout)
-    if lower is None:
-        told = indexed.withColumn("_lower", none)
-    else:
-        told = indexed.join(lower.withColumnRenamed("path", "_lower"), ["g", "i"], "left")
-    told = told.join(upper, "g").withColumn("_path", F.concat(F.coalesce("_lower", none), "_upper"))
-    proof = F.aggregate("_path", F.lit("").cast("binary"), lambda a, x: F.concat(a, x["pre"], x["post"]))
-    return (told.withColumns({
+    root = tops(crown).select("g", F.col("h").alias("_root"), F.array().cast(_PATH).alias("path"))
+    above = land(paths(crown, root, fanout, ["sub"]).select(
+        F.col("sub").alias("g"), F.col("h").alias("_subroot"), "_root", "path"), "merkle-crown")
+    path = F.col("path")
+    proof = F.aggregate(path, F.lit("").cast("binary"), lambda a, x: F.concat(a, x["pre"], x["post"]))
+    return (paths(forest, above, fanout, leaves.columns).withColumns({
         "subroot": _hex("_subroot"), "root": _hex("_root"),
         "proof_sha256": F.sha2(_hex(proof).cast("binary"), 256),
-        "folded_root": _hex(_folded(F.col(claimed), F.col("_path")))})
+        "folded_root": _hex(_folded(F.col(claimed), path))})
         .withColumn("verified", F.col("folded_root") == F.col("root"))
-        .drop("g", "i", "n", "_lower", "_upper", "_path", "_subroot", "_root"))
+        .drop("g", "i", "h", "path", "_subroot", "_root"))
 
 
 def document_proofs(docs: DataFrame) -> DataFrame:

@@ -99,8 +99,9 @@ def test_binary_tree_uses_xor(spark):
     nodes = spark.createDataFrame([(0, i, 11, hashlib.sha256(b"%d" % i).digest()) for i in range(11)], "g long, i long, n long, h binary")
     forest = merkle.grow(nodes, 2)
     top, proofs = tree([sha(b"%d" % i) for i in range(11)], 2)
-    assert forest.tops.select(F.hex("h")).first()[0].lower() == top
-    got = {r.i: [(p.pre.hex(), p.post.hex()) for p in r.path] for r in merkle.paths(forest, 2).collect()}
+    assert merkle.tops(forest).select(F.hex("h")).first()[0].lower() == top
+    above = merkle.tops(forest).select("g", F.expr("array()").cast("array<struct<pre:binary,post:binary>>").alias("path"))
+    got = {r.i: [(p.pre.hex(), p.post.hex()) for p in r.path] for r in merkle.paths(forest, above, 2).collect()}
     assert got == dict(enumerate(proofs))
     with pytest.raises(ValueError):
         merkle.grow(nodes, 1)
