@@ -8,7 +8,8 @@ bucket, whatever the size of the text.
 1. *Bands.*  ``ROWS`` neighbouring registers are one 64-bit band key (registers
    of empty buckets are borrowed from another bucket in a fixed random order,
    so small sets have full bands, too).  Sets that share a band key meet the
-   hub of that key, the member with most shared bands, never each other.
+   hub of that key, a member with most shared bands, never each other; what is in
+   another component than a hub meets further ones for a few turns.
 2. *Estimate.*  The share of equal registers, less the collisions that
    registers of that many values have by chance, estimates the Jaccard
    similarity; pairs more than ``SIGMAS`` standard errors below the rule are done.
@@ -17,16 +18,20 @@ bucket, whatever the size of the text.
    other members keep the smallest hashes of their whole sets (all of a small
    set).  A set can only link with another component if that component's sets
    hold all its tokens but those that a link may miss; one that fails this is
-   done.  The few that are left ask for their rarest such tokens, and what they
-   meet in other components goes through steps 2 and 3.
+   done.  Of the few that are left, two sets of different components meet on the
+   rarest such tokens of both: in one order of all tokens, rarest first, linked
+   sets share a token among the first that either may miss, and one more.  They
+   are a pair only if what no other component holds of either leaves room for a
+   link; pairs go through steps 2 and 3.
 
 Equal sets are one set from the start (128-bit hashes: an accidental equality
 among 30 billion sets has a chance of e-18).  Two sets exactly at the threshold
 of 0.85 share no band with a chance of (1 - 0.85^4)^32 = 5e-11, and fall below
-the estimate's bound with one of about e-11; sets that are closer, less.  Sets of
-more than ``KEPT`` tokens are looked up in step 4 by a sample of about that many,
-where a link that has many more misses than its share is lost (below e-7 for a
-pair at the threshold that steps 1 to 3 have not connected).
+the estimate's bound with one of about 3e-7; sets that are closer, less.  Sets of
+more than ``KEPT`` tokens meet in step 4 by half of the hash range, larger ones by
+a quarter, and so on; there a link is lost if the sample holds six standard
+errors more misses than its share (below 1e-7 for a pair at the threshold that
+steps 1 to 3 have not connected).
 """
 
 from __future__ import annotations
@@ -47,12 +52,12 @@ BUCKETS = 1 << INDEX
 MANTISSA = 10
 ROWS = 4                     # registers of a band: 4 x 16 bits
 BANDS = BUCKETS // ROWS
-SIGMAS = 7.0
-KEPT = 192                   # tokens by which a larger set is looked up in step 4
+SIGMAS = 5.0
+TURNS = 3                    # hubs drawn per band; they spare step 4 pairs, results do not depend on them
+KEPT = 256                   # tokens; larger sets are sampled in step 4
 _ZEROS = 53                  # leading zeros are told apart up to here
 _BORROW = np.array([np.random.RandomState(j).permutation(BUCKETS) for j in range(BUCKETS)])
 _BAND_SEED = np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-_TOP = float(1 << 64)
 
 
 def registers(tokens: np.ndarray) -> np.ndarray:
@@ -167,8 +172,8 @@ def _whole(docs: DataFrame, wanted: DataFrame, rule: Rule, text: str, doc_id: st
     """``wanted`` (row, k, other columns) plus the tokens of its sets, read from the texts.
 
     Spark broadcasts ``wanted`` while it is small; beyond that, its runtime
-    filter keeps most other texts from being shuffled.  ``kept`` (from, to a
-    set size) gives the share of the hash range that is kept of a set.
+    filter keeps most other texts from being shuffled.  ``kept`` gives
+    the halvings of the hash range, by set size, beyond which tokens are left out.
     """
     others = [c for c in wanted.columns if c not in ("row", "k")]
     texts = _rows(docs, text, doc_id).select("row", "text").join(wanted, "row").select("k", "text", *others)
@@ -184,8 +189,8 @@ def _whole(docs: DataFrame, wanted: DataFrame, rule: Rule, text: str, doc_id: st
                 same = bool(len(s)) and _key(s) == k       # else another text with this id
                 right.append(same)
                 if same:
-                    share = 1.0 if kept is None else kept(len(s))
-                    sets.append((s if share >= 1 else s[:np.searchsorted(s, np.uint64(int(share * _TOP)))]).view(np.int64))
+                    halvings = kept(len(s)) if kept else 0
+                    sets.append((s[:np.searchsorted(s, np.uint64(1 << (64 - halvings)))] if halvings else s).view(np.int64))
             rest = b.select(list(range(2, b.num_columns))).filter(pa.array(right, pa.bool_()))
             yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(sets, pa.list_(pa.int64()))],
                                              names=[*others, "tokens"])
@@ -219,23 +224,40 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, sets: DataFrame, rule: Rule, t
     return (left.join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct())
 
 
-def _hub_pairs(sets: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
-    """(band, sid, n) of the bands of several sets, and (a, b): each set with the
-    hubs of its bands."""
+def _shared_bands(sets: DataFrame) -> DataFrame:
+    """(band, sid, n) of the bands of several sets."""
     cells = sets.select(F.explode("bands").alias("band"), "sid", "n")
     several = cells.groupBy("band").agg(F.count("*").alias("c")).filter("c > 1").select("band")
-    shared = land(cells.join(several, "band"), "hmh-bands")
+    return land(cells.join(several, "band"), "hmh-bands")
+
+
+def _hub_pairs(shared: DataFrame, labels: DataFrame, rule: Rule, turn: int = 0) -> DataFrame:
+    """(a, b): sets with those hubs of their bands that are in other components.
+
+    The hub of a band is its member with most shared bands, the middle of a
+    family; which of equal ones it is changes with the turn.
+    """
     rank = shared.groupBy("sid").agg(F.count("*").alias("bands"))
-    hubs = shared.join(rank, "sid").groupBy("band").agg(F.max(F.struct("bands", "n", "sid")).alias("h"))
-    pairs = (shared.join(hubs, "band")
-             .filter((F.col("sid") != F.col("h.sid")) & _fits(F.col("n"), F.col("h.n"), rule))
-             .select(F.col("sid").alias("a"), F.col("h.sid").alias("b")).distinct())
-    return shared, pairs
+    hubs = (shared.join(rank, "sid").groupBy("band")
+            .agg(F.max(F.struct("bands", F.xxhash64("sid", F.lit(turn)).alias("draw"), "n", "sid")).alias("h"))
+            .select("band", F.col("h.sid").alias("hub"), F.col("h.n").alias("m"))
+            .join(labels.select(F.col("sid").alias("hub"), F.col("label").alias("theirs")), "hub"))
+    return (shared.join(labels, "sid").join(hubs, "band")
+            .filter((F.col("label") != F.col("theirs")) & _fits(F.col("n"), F.col("m"), rule))
+            .select(F.col("sid").alias("a"), F.col("hub").alias("b")).distinct())
 
 
-def _may_miss(n: Column, rule: Rule) -> Column:
-    """Tokens that a set of n can lack in a linked set that is no smaller."""
-    return n - F.ceil(F.lit(2 * rule.num) * n / F.lit(float(rule.num + rule.den)) - F.lit(1e-9))
+def _halvings(n: int) -> int:
+    """How often the hash range is halved for a set of n tokens."""
+    k = 0
+    while n > KEPT << k:
+        k += 1
+    return k
+
+
+def _halvings_of(n: Column) -> Column:
+    return F.aggregate(F.sequence(F.lit(0), F.lit(40)), F.lit(0),
+                       lambda a, k: a + (n > F.lit(float(KEPT)) * F.pow(F.lit(2.0), k)).cast("int"))
 
 
 def _between_components(docs: DataFrame, shared: DataFrame, labels: DataFrame, sets: DataFrame, rule: Rule,
@@ -247,32 +269,47 @@ def _between_components(docs: DataFrame, shared: DataFrame, labels: DataFrame, s
     if rest.isEmpty():
         return rest.select(F.col("sid").alias("a"), F.col("sid").alias("b")).limit(0)
 
-    def kept(n: int) -> float:              # that of the smallest possible partner
-        return min(1.0, KEPT * rule.den / (rule.num * n))
-
     wanted = rest.join(sets.select("sid", "row", "k", "n"), "sid").select("row", "k", "sid", "label", "n")
-    cells = land(_whole(docs, wanted, rule, text, doc_id, kept)
+    cells = land(_whole(docs, wanted, rule, text, doc_id, _halvings)
                  .select("sid", "label", "n", F.explode("tokens").alias("token")).distinct(), "hmh-tokens")
     # tokens that sets of several components hold
     met = (cells.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("sets"))
            .filter("x <> y").select("token", "sets"))
-    # a set asks by the part of the range in which all possible partners are kept
-    share = F.least(F.lit(1.0), F.lit(float(KEPT)) / F.col("n"))
-    place = F.col("token").cast("double") + F.when(F.col("token") < 0, F.lit(_TOP)).otherwise(F.lit(0.0))
-    asks = cells.filter((share >= 1) | (place < share * F.lit(_TOP)))
-    size = asks.groupBy("sid").agg(F.count("*").alias("asked"))
-    most = _may_miss(F.col("n"), rule)
-    part = F.lit((rule.den - rule.num) / float(rule.num + rule.den)) * F.col("asked")
-    miss = F.when(share >= 1, most).otherwise(F.least(most, F.ceil(part + 6 * F.sqrt(part) + 3)))
-    found = land(asks.join(met, "token"), "hmh-met")
-    able = (found.groupBy("sid").agg(F.count("*").alias("found"), F.first("n").alias("n")).join(size, "sid")
-            .withColumn("spare", (F.col("found") - (F.col("asked") - miss)).cast("long")).filter("spare >= 0").select("sid", "spare"))
-    rare = Window.partitionBy("sid").orderBy("sets", "token")
-    probes = (found.join(able, "sid").withColumn("turn", F.row_number().over(rare)).filter("turn <= spare + 1")
-              .select(F.col("sid").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), "token"))
-    held = cells.select(F.col("sid").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), "token")
-    return land(probes.join(held, (probes.token == held.token) & (F.col("la") != F.col("lb")) & (F.col("na") <= F.col("nb"))
-                            & (F.col("nb") * rule.num <= F.col("na") * rule.den)).select("a", "b").distinct(), "hmh-rest")
+    known = land(cells.join(met, "token", "left").withColumn("own", _halvings_of(F.col("n"))), "hmh-met")
+
+    # a pair meets in the range of its larger set: a set also looks there if that is smaller than its own
+    n, own, cut = F.col("n"), F.col("own"), F.col("cut")
+    ranges = F.array_distinct(F.array(own, _halvings_of(F.floor(n * rule.den / F.lit(float(rule.num)) + F.lit(1e-9)))))
+    within = (cut == 0) | (F.expr("shiftrightunsigned(token, 64 - cut)") == 0)
+    cut_cells = known.select("*", F.explode(ranges).alias("cut")).filter(within)
+    total, found = F.count("*").over(Window.partitionBy("sid", "cut")), F.count("sets").over(Window.partitionBy("sid", "cut"))
+
+    def spare(most: Column, part: float) -> Column:
+        """Tokens of other components that a set may miss besides its lone ones."""
+        share = F.col("t") * part
+        return F.when(cut == 0, most).otherwise(F.least(most, F.ceil(share + 6 * F.sqrt(share) + 3))) - (F.col("t") - F.col("f"))
+
+    # as the smaller of a pair, and as the larger, which has at least num / den of itself in common
+    smaller = spare(n - F.ceil(F.lit(2 * rule.num) * n / F.lit(float(rule.num + rule.den)) - F.lit(1e-9)), (rule.den - rule.num) / (rule.num + rule.den))
+    larger = spare(n - F.ceil(F.lit(rule.num) * n / F.lit(float(rule.den)) - F.lit(1e-9)), (rule.den - rule.num) / rule.den)
+    # at most so many tokens of a set can be in sets of other components
+    alone = (F.col("t") - F.col("f")) / F.col("t") - F.when(cut > 0, 6 * F.sqrt(F.col("t") - F.col("f")) / F.col("t")).otherwise(F.lit(0.0))
+    room = n - F.floor(F.greatest(F.lit(0.0), n * alone) + F.lit(1e-9))
+    turn = F.row_number().over(Window.partitionBy("sid", "cut").orderBy(F.col("sets").asc_nulls_last(), "token"))
+    ranked = land(cut_cells.withColumns({"t": total, "f": found, "turn": turn}).filter("sets IS NOT NULL")
+                  .withColumns({"ask": F.col("turn") <= smaller + 1, "hold": (cut == own) & (F.col("turn") <= larger + 1), "room": room})
+                  .filter("ask OR hold").select("sid", "label", "n", "cut", "token", "ask", "hold", "room"), "hmh-ranked")
+
+    def side(which: str, name: str) -> DataFrame:
+        return ranked.filter(which).select("cut", "token", F.struct("n", "sid").alias(name),
+                                           F.col("label").alias(f"l{name}"), F.col("room").alias(f"r{name}"))
+
+    na, nb = F.col("a.n"), F.col("b.n")
+    may = (F.least("ra", "rb") * (rule.num + rule.den) >= (na + nb) * rule.num) & (nb * rule.num <= na * rule.den)
+    asks, holds = side("ask", "a"), side("hold", "b")
+    return land(asks.join(holds, (asks.cut == holds.cut) & (asks.token == holds.token) & (F.col("la") != F.col("lb"))
+                          & (F.col("a") < F.col("b")) & may)
+                .select(F.col("a.sid").alias("a"), F.col("b.sid").alias("b")).distinct(), "hmh-rest")
 
 
 def near_components(docs: DataFrame, rule: Rule, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -290,20 +327,29 @@ def near_components(docs: DataFrame, rule: Rule, text: str = "text", doc_id: str
         F.first("bands", True).alias("bands"), F.min("doc_id").alias("least"))
         .withColumn("sid", F.monotonically_increasing_id()), "hmh-sets")
 
-    shared, pairs = _hub_pairs(sets, rule)
-    likely = land(_likely(pairs, sets, rule), "hmh-likely")
-    near = components(_confirmed(docs, likely, sets, rule, text, doc_id))
-    labels = land(sets.join(near.select(F.col("node").alias("sid"), "component"), "sid", "left")
-                  .select("sid", F.coalesce("component", "sid").alias("label")), "hmh-labels")
-
-    rest = _between_components(docs, shared, labels, sets, rule, text, doc_id)
-    likely = land(_likely(rest, sets, rule), "hmh-likely")
-    if not likely.isEmpty():
+    shared = _shared_bands(sets)
+    labels = sets.select("sid", F.col("sid").alias("label"))
+
+    def merged(pairs: DataFrame) -> DataFrame | None:
+        """``labels`` after steps 2 and 3 on the pairs; None if none links."""
+        likely = land(_likely(pairs, sets, rule), "hmh-likely")
+        if likely.isEmpty():
+            return None
+        linked = land(_confirmed(docs, likely, sets, rule, text, doc_id), "hmh-linked")
+        if linked.isEmpty():
+            return None
         ends = [labels.select(F.col("sid").alias(c), F.col("label").alias(f"l{c}")) for c in ("a", "b")]
-        more = components(_confirmed(docs, likely, sets, rule, text, doc_id)
-                          .join(ends[0], "a").join(ends[1], "b").select(F.col("la").alias("a"), F.col("lb").alias("b")))
-        labels = (labels.join(more.select(F.col("node").alias("label"), "component"), "label", "left")
-                  .select("sid", F.coalesce("component", "label").alias("label")))
+        more = components(linked.join(ends[0], "a").join(ends[1], "b").select(F.col("la").alias("a"), F.col("lb").alias("b")))
+        return land(labels.join(more.select(F.col("node").alias("label"), "component"), "label", "left")
+                    .select("sid", F.coalesce("component", "label").alias("label")), "hmh-labels")
+
+    for turn in range(TURNS):
+        further = merged(_hub_pairs(shared, labels, rule, turn))
+        if further is None:
+            break
+        labels = further
+    further = merged(_between_components(docs, shared, labels, sets, rule, text, doc_id))
+    labels = labels if further is None else further
 
     named = land(sets.select("k", "sid", "least").join(labels, "sid"), "hmh-named")
     whole = named.groupBy("label").agg(F.min("least").alias("component_id"))

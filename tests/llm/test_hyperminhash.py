@@ -124,6 +124,13 @@ def test_estimate_follows_jaccard_and_corrects_collisions(n):
     assert abs(np.mean(chance) - np.mean(expected)) < 0.15
 
 
+def test_halvings_of_the_hash_range(spark):
+    """Tasks and plans agree on the range in which a set is looked up."""
+    sizes = sorted({m + d for k in range(12) for m in [H.KEPT << k] for d in (-1, 0, 1)} | {1, 2, 3})
+    df = spark.createDataFrame([(n,) for n in sizes], "n long")
+    assert [r.h for r in df.select("n", H._halvings_of(F.col("n")).alias("h")).orderBy("n").collect()] == [H._halvings(n) for n in sizes]
+
+
 def test_large_family_meets_its_hub_only(docs_of):
     """Pairs that are held against each other grow with a family, not with its square."""
     counts = []
@@ -134,5 +141,6 @@ def test_large_family_meets_its_hub_only(docs_of):
         sets = H.land(H.sketched(df, RULE).filter("k IS NOT NULL").groupBy("k").agg(
             F.min("row").alias("row"), F.first("n").alias("n"), F.first("bands", True).alias("bands"))
             .withColumn("sid", F.monotonically_increasing_id()), "sets")
-        counts.append(H._hub_pairs(sets, RULE)[1].count())
+        labels = sets.select("sid", F.col("sid").alias("label"))
+        counts.append(H._hub_pairs(H._shared_bands(sets), labels, RULE).count())
     assert counts[1] < 3 * counts[0] and counts[2] < 3 * counts[1], counts
