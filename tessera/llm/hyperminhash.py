@@ -53,7 +53,7 @@ MANTISSA = 10
 ROWS = 4                     # registers of a band: 4 x 16 bits
 BANDS = BUCKETS // ROWS
 SIGMAS = 5.0
-TURNS = 3                    # hubs drawn per band; they spare step 4 pairs, results do not depend on them
+TURNS = 2                    # hubs drawn per band; they spare step 4 pairs, results do not depend on them
 KEPT = 256                   # tokens; larger sets are sampled in step 4
 _ZEROS = 53                  # leading zeros are told apart up to here
 _BORROW = np.array([np.random.RandomState(j).permutation(BUCKETS) for j in range(BUCKETS)])
