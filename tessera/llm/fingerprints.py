@@ -110,7 +110,7 @@ KEY = ["k", "z", "h"]         # id (0 for NULL), whether it is NULL, hash of the
 
 
 def followers(ids: DataFrame) -> DataFrame:
-    """``ids`` (KEY, n) plus next_k, next_z, next_h: the next document by
+    """``ids`` (KEY and others) plus next_k, next_z, next_h: the next document by
     descending id, NULL last, then h; after the last the first.
 
     Rows of one range of ids are put in order together; ranges are linked by
@@ -128,7 +128,7 @@ def followers(ids: DataFrame) -> DataFrame:
         F.first(first).over(chain.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("onward"))
     return (led.join(F.broadcast(linked), "range")
             .withColumn("next", F.coalesce("next", "onward"))
-            .select(*KEY, "n", *[F.col(f"next.{c}").alias(f"next_{c}") for c in KEY]))
+            .select(*ids.columns, *[F.col(f"next.{c}").alias(f"next_{c}") for c in KEY]))
 
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
@@ -138,7 +138,8 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     The edited text has the last third of the code points replaced by the first
     as many (or all) of the next document's.  Documents are ordered by
     descending id, NULL last, then by a hash of the text; rows that agree in id
-    and text are one document and give one row.  A NULL text counts as empty.
+    and text have one place in it, so they share the next document and give equal
+    rows, as many as there are.  A NULL text counts as empty.
 
     Ids alone are put in order.  Texts move once to meet their place, and the
     part that replaces another document's end moves on to that document.
@@ -146,22 +147,25 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     base = base.select(F.coalesce("doc_id", F.lit(0)).alias("k"), F.col("doc_id").isNull().alias("z"),
                        F.xxhash64("text").alias("h"), "text", F.char_length("text").alias("n"))
-    order = land(followers(land(base.select(*KEY, "n").distinct(), "ids")), "id-order")
+    ids = base.groupBy(*KEY).agg(F.first("n").alias("n"), F.count("*").alias("copies"))
+    order = land(followers(land(ids, "ids")), "id-order")
     one = Window.partitionBy(*KEY).orderBy(F.lit(1))
     # both uses below read the same columns, so they share one exchange
     whole = (signed(base.drop("n"), "text", "sig").withColumn("_n", F.row_number().over(one)).filter("_n = 1").drop("_n"))
-    wanted = order.select(*[F.col(c).alias(f"for_{c}") for c in KEY], F.floor(F.col("n") / 3).cast("int").alias("want"),
+    wanted = order.select(*[F.col(c).alias(f"for_{c}") for c in KEY], F.floor(F.col("n") / 3).cast("int").alias("want"), "copies",
                           *[F.col(f"next_{c}").alias(c) for c in KEY])
     heads = (wanted.join(whole.select(*KEY, "text", F.col("sig").alias("next_sig")), KEY)
              .select(*[F.col(f"for_{c}").alias(c) for c in KEY], F.substring("text", F.lit(1), F.col("want")).alias("head"),
-                     "next_sig"))
+                     "next_sig", "copies"))
     n = F.char_length("text")
     both = whole.join(heads, KEY).withColumn("n", n).withColumn(
         "edited", F.concat(F.substring("text", F.lit(1), n - F.floor(n / 3).cast("int")), F.col("head")))
-    both = signed(both.select("k", "z", "n", "sig", "next_sig", "edited"), "edited", "edited_sig")
-    return both.select(
+    both = signed(both.select("k", "z", "n", "sig", "next_sig", "edited", "copies"), "edited", "edited_sig")
+    results = both.select(
         F.when(~F.col("z"), F.col("k")).alias("doc_id"), F.col("n").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         text_of(F.col("sig")).alias("fingerprint"), text_of(F.col("edited_sig")).alias("edited_fingerprint"),
         likeness(F.col("sig"), F.col("edited_sig")).alias("near_edited"),
-        likeness(F.col("sig"), F.col("next_sig")).alias("near_next"))
+        likeness(F.col("sig"), F.col("next_sig")).alias("near_next"), "copies")
+    turn = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return results.withColumn("copies", turn).drop("copies")
