@@ -46,6 +46,12 @@ def prepare_python(spark: SparkSession, rows: int = 256) -> None:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has, each with more underscores in front."""
+    taken = {c.lower() for c in df.columns}
+    return [next(n for n in ("_" * k + name for k in range(len(taken) + 1)) if n.lower() not in taken) for name in names]
+
+
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """crc32(doc_id as text) mod 3 is 1; false for a NULL id."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

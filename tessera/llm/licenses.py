@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import free_names
+
 #: "This file is", "The source code is": what a notice may begin with.
 SUBJECT = r"((this|the) (\w+ ){1,3}(is|are) )?"
 OPTION = r"or (\(?at your option\)? )?any later version"
@@ -151,19 +153,18 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     found = F.regexp_extract_all(lines(text), F.lit(_any_sentence()), F.lit(0))
     known = F.filter(F.transform(found, lambda s: sentence_id(F.replace(s, F.lit("\n"), F.lit(" ")))), lambda x: x.isNotNull())
-    keep = [c for c in docs.columns if c not in ("sentence_ids", "licences")]
+    keep = [c for c in docs.columns if c.lower() not in ("sentence_ids", "licences")]
     found = docs.select(*[F.col(f"`{c}`") for c in keep], known.alias("sentence_ids"))
+    rest, *names = free_names(found, "_left", *[f"_r{i}" for i in range(len(RULES))])
     # identifiers between bars; a rule's match leaves a single bar behind
     left = F.concat(F.lit("|"), F.array_join("sentence_ids", "||"), F.lit("|"))
-    names = []
-    found = found.withColumn("_left", left)
-    for i, (name, ids) in enumerate(RULES):
+    found = found.withColumn(rest, left)
+    for column, (name, ids) in zip(names, RULES):
         sequence = "".join(f"|{x}|" for x in ids)
-        found = found.withColumn(f"_r{i}", F.when(F.contains("_left", F.lit(sequence)), F.lit(name)))
-        found = found.withColumn("_left", F.replace(F.col("_left"), F.lit(sequence), F.lit("#")))
-        names.append(f"_r{i}")
+        found = found.withColumn(column, F.when(F.contains(rest, F.lit(sequence)), F.lit(name)))
+        found = found.withColumn(rest, F.replace(F.col(rest), F.lit(sequence), F.lit("#")))
     return (found.withColumn("licences", F.array_distinct(F.array_compact(F.array(*names))))
-            .drop("_left", *names))
+            .drop(rest, *names))
 
 
 def document_licences(docs: DataFrame) -> DataFrame:

@@ -206,12 +206,12 @@ def verdicts(stats: DataFrame) -> DataFrame:
     x = transformed()
     vectors = stats.filter(~F.col("base_failed")).select("lang", "source", *[v.alias(f"x{i}") for i, v in enumerate(x)])
     fit = land(_with_fallbacks(stats.select("lang", "source").distinct(), vectors, len(x)), "fits")
-    placed = stats.select(*[c for c in stats.columns if c not in ("kept", "d2", "m")],
-                          *[v.alias(f"x{i}") for i, v in enumerate(x)])
+    # the rows travel as one value, so no column of theirs meets a name of the estimate
+    row = F.struct(*[F.col(f"`{c}`") for c in stats.columns if c.lower() not in ("kept", "d2")])
+    placed = stats.select(row.alias("_row"), "lang", "source", "base_failed", *[v.alias(f"x{i}") for i, v in enumerate(x)])
     out = _distances(placed, fit, len(x))
     far = F.coalesce((F.col("m") >= MIN_GROUP) & (F.col("d2") > CHI2_FAR), F.lit(False))
-    return (out.withColumn("kept", ~F.col("base_failed") & ~far)
-            .drop("m", *[f"x{i}" for i in range(len(x))]))
+    return out.select("_row.*", "d2", (~F.col("base_failed") & ~far).alias("kept"))
 
 
 def document_verdicts(docs: DataFrame) -> DataFrame:

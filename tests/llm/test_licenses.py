@@ -59,3 +59,10 @@ WRAPPED = {
 def test_wrapped_canonical_texts(docs_of):
     got = {r.doc_id: r.licences for r in L.scan(docs_of(list(enumerate(WRAPPED)))).collect()}
     assert [got[i] for i in range(len(WRAPPED))] == list(WRAPPED.values())
+
+
+def test_other_columns_pass_through_whatever_their_names(docs_of):
+    docs = docs_of([(1, "This file is released under the MIT License."), (2, None)]).selectExpr(
+        "*", "doc_id AS _left", "'r' AS _r0", "'s' AS __left", "1 AS licences")
+    got = {r.doc_id: (r._left, r._r0, r["__left"], r.licences) for r in L.scan(docs).collect()}
+    assert got == {1: (1, "r", "s", ["MIT"]), 2: (2, "r", "s", [])}

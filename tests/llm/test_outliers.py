@@ -82,3 +82,13 @@ def test_repeats_and_copied_lines_that_the_group_does_not_have_are_rejected(docs
     assert not any(got[i].base_failed for i in range(1000, 1006))
     assert [got[i].kept for i in range(1000, 1006)] == [False, False, False, True, False, True]
     assert all(got[i].kept for i in range(200))
+
+
+def test_other_columns_pass_through_whatever_their_names(docs_of):
+    rng = random.Random(6)
+    rows = [(i, clean(rng), "en", "a") for i in range(60)]
+    names = ["x0", "m", "c0", "l1_0", "_y0", "wide", "level", "_row", "_lang"]
+    docs = docs_of(rows).selectExpr("*", *[f"concat('{c}', doc_id) AS {c}" for c in names], "7 AS kept")
+    got = O.judged(docs).collect()
+    assert len(got) == 60 and all(r[c] == f"{c}{r.doc_id}" for r in got for c in names)
+    assert {r.doc_id: (r.kept, r.d2) for r in got} == {r.doc_id: (r.kept, r.d2) for r in O.document_verdicts(docs_of(rows)).collect()}
