@@ -1,6 +1,7 @@
 """N-gram Jaccard join against brute force."""
 import random
 
+import numpy as np
 import pytest
 
 from tessera.llm import ngram_join as J
@@ -68,3 +69,31 @@ def test_bound_never_exceeds_what_a_link_allows():
             o = n - miss                       # fewest tokens shared with an equally large set
             assert (rule.num + rule.den) * o >= 2 * rule.num * n > (rule.num + rule.den) * (o - 1)
             assert rule.matrix_share(n) >= rule.query_share(n)
+
+
+def test_parities_never_exceed_the_difference():
+    rng = np.random.RandomState(3)
+    for n in (1, 5, 80, 3000):
+        a = J.shingles(" ".join(str(x) for x in rng.randint(0, 10**6, n)), 3, {})
+        b = np.unique(np.concatenate([a[rng.rand(len(a)) > 0.1], J._mixed(rng.randint(0, 2**62, n // 10).astype(np.uint64))]))
+        differ = np.bitwise_count((J.parities(a) ^ J.parities(b)).view(np.uint64)).sum()
+        assert differ <= len(np.setxor1d(a, b)) and J.parities(a).shape == (J.PARITIES // 64,)
+        assert (J.parities(a) == J.parities(a.copy())).all()
+
+
+def test_pairs_grow_in_proportion_to_a_family(docs_of, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(500)}" for _ in range(400)]
+    texts = [" ".join(base)] + family(rng, base, 400, 12)
+    rows, land = {}, J.land
+
+    def counted(df, name):
+        out = land(df, name)
+        rows[name] = rows.get(name, 0) + (out.count() if name in ("hub-pairs", "opened", "pairs") else 0)
+        return out
+
+    monkeypatch.setattr(J, "land", counted)
+    for m in (100, 400):
+        rows.clear()
+        J.join_components(docs_of(list(enumerate(texts[:m]))), J.Rule(3, 90, 100)).count()
+        assert rows["hub-pairs"] + rows["opened"] + rows["pairs"] <= 8 * m, (m, rows)
