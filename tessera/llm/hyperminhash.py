@@ -22,7 +22,9 @@ bucket, whatever the size of the text.
    rarest such tokens of both: in one order of all tokens, rarest first, linked
    sets share a token among the first that either may miss, and one more.  They
    are a pair only if what no other component holds of either leaves room for a
-   link; pairs go through steps 2 and 3.
+   link, and if the parities of their whole sets differ in no more bits than
+   linked sets can differ in tokens (an exact bound, see the n-gram join); pairs go
+   through steps 2 and 3.
 
 Equal sets are one set from the start (128-bit hashes: an accidental equality
 among 30 billion sets has a chance of e-18).  Two sets exactly at the threshold
@@ -45,7 +47,7 @@ from pyspark.sql import Window
 
 from tessera.llm.common import land, prepare_python
 from tessera.llm.graph import components
-from tessera.llm.ngram_join import Rule, shingles
+from tessera.llm.ngram_join import Rule, differ_within, parities, shingles
 
 INDEX = 7
 BUCKETS = 1 << INDEX
@@ -116,7 +118,7 @@ def _rows(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 def sketched(docs: DataFrame, rule: Rule, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Per document: row, doc_id, n (set size), k (hash of the set; NULL if empty),
-    regs (its registers) and bands; the last two with a set's first document
+    regs (its registers), bands and par (parities); the last three with a set's first document
     in a task only, so copies add nothing to what follows."""
     prepare_python(docs.sparkSession)
 
@@ -124,24 +126,24 @@ def sketched(docs: DataFrame, rule: Rule, text: str = "text", doc_id: str = "doc
         words: dict[bytes, int] = {}
         seen: set[bytes] = set()
         for b in batches:
-            n, k, regs, bands = [], [], [], []
+            n, k, regs, bands, par = [], [], [], [], []
             for t in b.column(2):
                 s = shingles(t.as_py(), rule.width, words)
                 key = _key(s) if len(s) else None
                 n.append(len(s)), k.append(key)
                 if key is None or key in seen:
-                    regs.append(None), bands.append(None)
+                    regs.append(None), bands.append(None), par.append(None)
                     continue
                 seen.add(key)
                 r = registers(s)
-                regs.append(r.tobytes()), bands.append(band_keys(r))
+                regs.append(r.tobytes()), bands.append(band_keys(r)), par.append(parities(s))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(k, pa.binary()),
-                 pa.array(regs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["row", "doc_id", "n", "k", "regs", "bands"])
+                 pa.array(regs, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(par, pa.list_(pa.int64()))],
+                names=["row", "doc_id", "n", "k", "regs", "bands", "par"])
 
     return _rows(docs, text, doc_id).mapInArrow(
-        run, "row long, doc_id long, n long, k binary, regs binary, bands array<long>")
+        run, "row long, doc_id long, n long, k binary, regs binary, bands array<long>, par array<long>")
 
 
 def _likely(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -298,14 +300,17 @@ def _between_components(docs: DataFrame, shared: DataFrame, labels: DataFrame, s
     turn = F.row_number().over(Window.partitionBy("sid", "cut").orderBy(F.col("sets").asc_nulls_last(), "token"))
     ranked = land(cut_cells.withColumns({"t": total, "f": found, "turn": turn}).filter("sets IS NOT NULL")
                   .withColumns({"ask": F.col("turn") <= smaller + 1, "hold": (cut == own) & (F.col("turn") <= larger + 1), "room": room})
-                  .filter("ask OR hold").select("sid", "label", "n", "cut", "token", "ask", "hold", "room"), "hmh-ranked")
+                  .filter("ask OR hold").join(rest.select("sid").join(sets.select("sid", "par"), "sid"), "sid")
+                  .select("sid", "label", "n", "par", "cut", "token", "ask", "hold", "room"), "hmh-ranked")
 
     def side(which: str, name: str) -> DataFrame:
         return ranked.filter(which).select("cut", "token", F.struct("n", "sid").alias(name),
-                                           F.col("label").alias(f"l{name}"), F.col("room").alias(f"r{name}"))
+                                           F.col("label").alias(f"l{name}"), F.col("room").alias(f"r{name}"),
+                                           F.col("par").alias(f"p{name}"))
 
     na, nb = F.col("a.n"), F.col("b.n")
-    may = (F.least("ra", "rb") * (rule.num + rule.den) >= (na + nb) * rule.num) & (nb * rule.num <= na * rule.den)
+    may = ((F.least("ra", "rb") * (rule.num + rule.den) >= (na + nb) * rule.num) & (nb * rule.num <= na * rule.den)
+           & differ_within(na, F.col("pa"), nb, F.col("pb"), rule))
     asks, holds = side("ask", "a"), side("hold", "b")
     return land(asks.join(holds, (asks.cut == holds.cut) & (asks.token == holds.token) & (F.col("la") != F.col("lb"))
                           & (F.col("a") < F.col("b")) & may)
@@ -324,7 +329,7 @@ def near_components(docs: DataFrame, rule: Rule, text: str = "text", doc_id: str
     sketches = land(sketched(docs, rule, text, doc_id), "hmh-sketches")
     sets = land(sketches.filter("k IS NOT NULL").groupBy("k").agg(
         F.min("row").alias("row"), F.first("n").alias("n"), F.first("regs", True).alias("regs"),
-        F.first("bands", True).alias("bands"), F.min("doc_id").alias("least"))
+        F.first("bands", True).alias("bands"), F.first("par", True).alias("par"), F.min("doc_id").alias("least"))
         .withColumn("sid", F.monotonically_increasing_id()), "hmh-sets")
 
     shared = _shared_bands(sets)

@@ -247,11 +247,16 @@ def _fits(a: Column, b: Column, rule: Rule) -> Column:
     return F.greatest(a, b) * rule.num <= F.least(a, b) * rule.den
 
 
-def _may_link(n: Column, par: Column, m: Column, other: Column, rule: Rule) -> Column:
-    """Whether sizes and parities allow a link: linked sets differ in at most
-    (den - num) / (num + den) of both sets' tokens."""
+def differ_within(n: Column, par: Column, m: Column, other: Column, rule: Rule) -> Column:
+    """Whether the parities of sets of n and m tokens allow a link: linked sets
+    differ in at most (den - num) / (num + den) of both sets' tokens."""
     apart = sum((F.bit_count(par[i].bitwiseXOR(other[i])) for i in range(PARITIES // 64)), F.lit(0))
-    return _fits(n, m, rule) & (apart * (rule.num + rule.den) <= (n + m) * (rule.den - rule.num))
+    return apart * (rule.num + rule.den) <= (n + m) * (rule.den - rule.num)
+
+
+def _may_link(n: Column, par: Column, m: Column, other: Column, rule: Rule) -> Column:
+    """Whether sizes and parities allow a link."""
+    return _fits(n, m, rule) & differ_within(n, par, m, other, rule)
 
 
 def _may_miss(n: Column, rule: Rule) -> Column:
