@@ -12,7 +12,7 @@ Learning uses at most ``max_toxic`` toxic and ``max_clean`` other labelled
 documents (chosen by a hash of the id; the bound is what makes it safe to train
 on the driver).  Scoring reads every whole text on the executors: as the model
 is linear after averaging, each distinct word of a task is reduced to one number
-once.
+once, all new words of some texts together.
 """
 
 from __future__ import annotations
@@ -39,31 +39,76 @@ EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"     # marks taken off both ends of
 STEPS, WARM, DECAY = 100, 20, 1e-5
 MAX_WORD = 64               # longer words: n-grams of their overlapping pieces
 CACHE = 200_000             # words remembered in a task
+TOGETHER = 256              # texts scored together
+WORDS = 4_000               # words whose n-grams are hashed at once
 
 
-def subwords(word: str) -> np.ndarray:
-    """Bucket numbers of a word's character n-grams and of the word itself."""
-    w = f"<{word}>"
-    grams = [w]
-    for n in GRAM_SIZES:
-        grams += [w[i:i + n] for i in range(len(w) - n + 1)]
-    h = xxhash.xxh3_64_intdigest
-    return np.array([h(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in grams], dtype=np.int64)
+def _pieces(raw: str) -> list[str]:
+    """A lower-cased token without the marks at its ends; a very long one in pieces."""
+    w = raw.strip(EDGES)
+    if len(w) <= MAX_WORD:
+        return [w] if w else []
+    return [w[i:i + MAX_WORD] for i in range(0, len(w), MAX_WORD - 4)]
 
 
 def words_of(text: str | None) -> list[str]:
     """Lower-cased words in order, repeated ones too; very long words as pieces."""
-    out = []
-    for raw in (text or "").lower().split():
-        w = raw.strip(EDGES)
-        if len(w) <= MAX_WORD:
-            if w:
-                out.append(w)
-        else:
-            out += [w[i:i + MAX_WORD] for i in range(0, len(w), MAX_WORD - 4)]
+    return [w for raw in (text or "").lower().split() for w in _pieces(raw)]
+
+
+def _hashes(text: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """xxh3_64 of pieces of 3 bytes or more of a text: up to 8 bytes by its formulas
+    for short inputs, all pieces at once; longer ones by the library."""
+    padded = np.frombuffer(text + bytes(8), dtype=np.uint8).astype(np.uint64)
+    four = padded[:-3] | padded[1:-2] << 8 | padded[2:-1] << 16 | padded[3:] << 24      # little-endian, at each byte
+    out = np.zeros(len(starts), np.uint64)
+    at = np.flatnonzero(sizes == 3)
+    i = starts[at]
+    h = (padded[i] << 16 | padded[i + 1] << 24 | padded[i + 2] | np.uint64(3 << 8)) ^ np.uint64(0x396CFEB8 ^ 0xBE4BA423)
+    h = (h ^ h >> 33) * np.uint64(0xC2B2AE3D27D4EB4F)
+    h = (h ^ h >> 29) * np.uint64(0x165667B19E3779F9)
+    out[at] = h ^ h >> 32
+    at = np.flatnonzero((sizes > 3) & (sizes <= 8))
+    i, n = starts[at], sizes[at]
+    h = (four[i + n - 4] | four[i] << 32) ^ np.uint64(0x1CAD21F72C81017C ^ 0xDB979083E96DD4DE)
+    h = (h ^ (h << 49 | h >> 15) ^ (h << 24 | h >> 40)) * np.uint64(0x9FB21C651E98DF25)
+    h = (h ^ ((h >> 35) + n.astype(np.uint64))) * np.uint64(0x9FB21C651E98DF25)
+    out[at] = h ^ h >> 28
+    for at in np.flatnonzero(sizes > 8).tolist():
+        out[at] = xxhash.xxh3_64_intdigest(text[starts[at]:starts[at] + sizes[at]])
     return out
 
 
+def _subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    text = [f"<{w}>".encode("utf-8", "surrogatepass") for w in words]
+    joined = b"".join(text)
+    letters = np.flatnonzero((np.frombuffer(joined, dtype=np.uint8) & 0xC0) != 0x80)    # first bytes of code points
+    bounds = np.append(letters, len(joined))
+    ends = np.cumsum([len(t) for t in text])
+    first = np.searchsorted(letters, ends - [len(t) for t in text])
+    size = np.diff(np.append(first, len(letters)))                                       # code points of each word
+    counts = [np.maximum(size - n + 1, 0) for n in GRAM_SIZES]
+    sizes = 1 + sum(counts)
+    out = np.zeros(sizes.sum(), np.uint64)
+    to = np.cumsum(sizes) - sizes
+    out[to] = [xxhash.xxh3_64_intdigest(t) for t in text]
+    to += 1
+    for n, count in zip(GRAM_SIZES, counts):
+        turn = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        i = np.repeat(first, count) + turn
+        out[np.repeat(to, count) + turn] = _hashes(joined, bounds[i], bounds[i + n] - bounds[i])
+        to += count
+    return (out % np.uint64(BUCKETS)).astype(np.int32), sizes
+
+
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket numbers of the words' character n-grams and of the words themselves, one
+    word's after the other's, and how many each word has."""
+    parts = [_subwords(words[i:i + WORDS]) for i in range(0, len(words), WORDS)]
+    return (np.concatenate([np.zeros(0, np.int32), *[p[0] for p in parts]]),
+            np.concatenate([np.zeros(0, np.int64), *[p[1] for p in parts]]))
+
+
 def _window_means(logits: np.ndarray) -> np.ndarray:
     """Mean of every window of WINDOW words (one window if there are fewer)."""
     if len(logits) <= WINDOW:
@@ -82,27 +127,54 @@ class ToxicityModel:
     trained: bool = True
     _bucket: np.ndarray | None = field(default=None, repr=False)
     _words: dict[str, float] = field(default_factory=dict, repr=False)
+    _several: dict[str, list[float]] = field(default_factory=dict, repr=False)
 
     def __getstate__(self):
-        return self.__dict__ | {"_bucket": None, "_words": {}}
+        return self.__dict__ | {"_bucket": None, "_words": {}, "_several": {}}
 
-    def _word(self, word: str) -> float:
+    def _learn(self, raws: list[str]) -> None:
+        """Remember the logit of each token; NaN for one that is no word or several."""
         if self._bucket is None:
             self._bucket = (self.embedding @ self.weight).astype(np.float64)
-        if len(self._words) >= CACHE:
-            self._words.clear()
-        v = self._words[word] = float(self._bucket[subwords(word)].mean())
-        return v
+        pieces = [_pieces(raw) for raw in raws]
+        words = list(dict.fromkeys(w for p in pieces for w in p))
+        flat, sizes = subwords(words)
+        values, starts = self._bucket[flat], np.cumsum(sizes) - sizes
+        logits = np.zeros(len(words))
+        for n in np.unique(sizes):                 # words of one size are the rows of a matrix
+            at = np.flatnonzero(sizes == n)
+            logits[at] = values[starts[at][:, None] + np.arange(n)].mean(axis=1)
+        known = dict(zip(words, logits.tolist()))
+        for raw, p in zip(raws, pieces):
+            if len(p) == 1:
+                self._words[raw] = known[p[0]]
+            else:
+                self._words[raw] = np.nan
+                self._several[raw] = [known[w] for w in p]
+
+    def scores(self, texts: list[str | None]) -> list[float]:
+        """Probability of label 1 for the most toxic window of each whole text."""
+        if not self.trained:
+            return [0.0] * len(texts)
+        out = []
+        for first in range(0, len(texts), TOGETHER):
+            tokens = [(t or "").lower().split() for t in texts[first:first + TOGETHER]]
+            if len(self._words) >= CACHE:
+                self._words.clear()
+                self._several.clear()
+            new = set().union(*tokens).difference(self._words)
+            if new:
+                self._learn(list(new))
+            for raws in tokens:
+                logits = np.array([*map(self._words.__getitem__, raws)])
+                if np.isnan(logits).any():
+                    logits = np.array([v for raw in raws for v in self._several.get(raw, (self._words[raw],))])
+                z = self.bias + (_window_means(logits).max() if len(logits) else 0.0)
+                out.append(float(1 / (1 + np.exp(-np.clip(z, -40, 40)))))
+        return out
 
     def score(self, text: str | None) -> float:
-        """Probability of label 1 for the most toxic window of the whole text."""
-        if not self.trained:
-            return 0.0
-        words = words_of(text)
-        known = self._words.get
-        logits = np.array([v if (v := known(w)) is not None else self._word(w) for w in words])
-        z = self.bias + (_window_means(logits).max() if len(words) else 0.0)
-        return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
+        return self.scores([text])[0]
 
 
 def _untrained() -> ToxicityModel:
@@ -118,38 +190,44 @@ def train(texts: list[str], labels: list[int], steps: int = STEPS, rate: float =
     document are not blamed.  Both classes weigh the same.
     """
     vocab: dict[str, int] = {}
-    docs = [[vocab.setdefault(x, len(vocab)) for x in words_of(t)] for t in texts]
-    y = np.array([v for v, d in zip(labels, docs) if d], dtype=float)
-    docs = [d for d in docs if d]
+    docs = [np.array([vocab.setdefault(x, len(vocab)) for x in words_of(t)], dtype=np.int32) for t in texts]
+    y = np.array([v for v, d in zip(labels, docs) if len(d)], dtype=float)
+    docs = [d for d in docs if len(d)]
     if len(set(y)) < 2:
         return _untrained()
     rng = np.random.default_rng(seed)
     w = rng.normal(0, 0.5, DIM)
-    grams = [subwords(x) for x in vocab]
-    n_grams = np.array([len(g) for g in grams])
-    used, flat = np.unique(np.concatenate(grams), return_inverse=True)
+    flat, n_grams = subwords(list(vocab))
+    used = np.flatnonzero(np.bincount(flat, minlength=BUCKETS))
+    place_of = np.zeros(BUCKETS, np.int32)
+    place_of[used] = np.arange(len(used), dtype=np.int32)
+    flat = place_of[flat]
     e = rng.normal(0, 0.1, (len(used), DIM))
-    flat = flat.astype(np.int32)
     gram_at = np.cumsum(n_grams) - n_grams
+    parts = [slice(i, i + WORDS) for i in range(0, len(vocab), WORDS)]
+    grams_of = [slice(gram_at[p][0], gram_at[p][-1] + n_grams[p][-1]) for p in parts]
     sizes = np.array([len(d) for d in docs])
-    tokens = np.concatenate([np.array(d, dtype=np.int64) for d in docs])
+    tokens = np.concatenate(docs)
     doc_at = np.cumsum(sizes) - sizes
     spans = np.minimum(sizes, WINDOW)
     n_windows = sizes - spans + 1
-    window_doc = np.repeat(np.arange(len(docs)), n_windows)
-    window_at = np.arange(n_windows.sum()) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows) + doc_at[window_doc]
+    window_doc = np.repeat(np.arange(len(docs), dtype=np.int32), n_windows)
+    window_at = (np.arange(n_windows.sum()) + np.repeat(doc_at - (np.cumsum(n_windows) - n_windows), n_windows)).astype(np.int32)
     window_first = np.cumsum(n_windows) - n_windows
-    window_end = window_at + spans[window_doc]
+    window_span = spans.astype(np.int32)[window_doc]
+    n_words = len(vocab)
+    del texts, docs, vocab
     share = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
     b = np.zeros(1)
     state = [[np.zeros_like(v), np.zeros_like(v)] for v in (e, w, b)]
     for step in range(1, steps + 1):
-        word = np.add.reduceat((e @ w)[flat], gram_at) / n_grams
+        bucket = e @ w
+        word = np.concatenate([np.add.reduceat(bucket[flat[at]], gram_at[p] - at.start) for p, at in zip(parts, grams_of)]) / n_grams
         c = np.concatenate([[0.0], np.cumsum(word[tokens])])
         if step <= warm:
             starts, lengths = doc_at, sizes
         else:
-            mean = (c[window_end] - c[window_at]) / spans[window_doc]
+            mean = (c[window_at + window_span] - c[window_at]) / window_span
             best = np.flatnonzero(mean == np.maximum.reduceat(mean, window_first)[window_doc])
             order = best[np.unique(window_doc[best], return_index=True)[1]]       # the first of each document
             starts, lengths = window_at[order], spans
@@ -157,8 +235,10 @@ def train(texts: list[str], labels: list[int], steps: int = STEPS, rate: float =
         g = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) * share
         first = np.cumsum(lengths) - lengths
         place = np.repeat(starts - first, lengths) + np.arange(lengths.sum())
-        per_word = np.bincount(tokens[place], weights=np.repeat(g / lengths, lengths), minlength=len(grams))
-        per_bucket = np.bincount(flat, weights=np.repeat(per_word / n_grams, n_grams), minlength=len(used))
+        per_word = np.bincount(tokens[place], weights=np.repeat(g / lengths, lengths), minlength=n_words)
+        per_bucket = np.zeros(len(used))
+        for p, at in zip(parts, grams_of):         # in the order of the words, so sums are those of one pass
+            np.add.at(per_bucket, flat[at], np.repeat(per_word[p] / n_grams[p], n_grams[p]))
         grads = (per_bucket[:, None] * w + decay * e, e.T @ per_bucket + decay * w, np.array([g.sum()]))
         for (m1, m2), grad, v in zip(state, grads, (e, w, b)):
             m1 += 0.1 * (grad - m1)
@@ -210,7 +290,7 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text",
 
     def run(batches):
         for b in batches:
-            s = [shared.value.score(t.as_py()) for t in b.column(at)]
+            s = shared.value.scores(b.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(s, pa.float64()), pa.array([int(x >= toxic_from) for x in s], pa.int32())],
                 names=[*b.schema.names, *names])

@@ -79,3 +79,45 @@ def test_a_passage_whose_words_occur_earlier_counts():
     assert model.score(apart + " wretched loathsome " + long) >= model.score("wretched loathsome") - 1e-9 >= X.TOXIC_FROM
     # words that were never adjacent make no window
     assert model.score("wretched of the of loathsome") < model.score("wretched loathsome")
+
+
+def test_many_texts_score_as_one_by_one():
+    texts, labels = corpus(200, 4)
+    model = X.train(texts, labels, steps=25)
+    odd = [None, "", " ... ", "... loathsome ,", "x" * 300 + " dimwitted", "\ud800 é ΣΑΣ İx wretched", "blockhead"]
+    assert model.scores(odd + texts) == [model.score(t) for t in odd + texts]
+    again = X.train(texts, labels, steps=25)
+    assert again.scores(texts + odd) == model.scores(texts + odd)
+    # a word's logit is the mean over its own n-grams, beside words of other sizes or alone
+    words = ["a", "loathsome", "é" * 70, "dimwitted", "b"]
+    flat, sizes = X.subwords(words)
+    assert [len(X.subwords([w])[0]) for w in words] == list(sizes)
+    assert list(flat) == [b for w in words for b in X.subwords([w])[0]]
+
+
+def test_ngrams_have_the_hashes_of_the_library():
+    import xxhash
+    rng = random.Random(9)
+    alphabets = ["abcdefghij", "aéß", "щюя", "日本語", "a\U0001F600é", "\ud800a"]
+    words = ["", "a", "é"] + ["".join(rng.choice(a) for _ in range(rng.randrange(12))) for a in alphabets for _ in range(60)]
+    flat, sizes = X.subwords(words)
+    want = []
+    for word in words:
+        w = f"<{word}>"
+        grams = [w] + [w[i:i + n] for n in X.GRAM_SIZES for i in range(len(w) - n + 1)]
+        want += [xxhash.xxh3_64_intdigest(g.encode("utf-8", "surrogatepass")) % X.BUCKETS for g in grams]
+    assert flat.tolist() == want and sizes.sum() == len(want)
+
+
+def test_training_holds_few_bytes_for_each_ngram():
+    import tracemalloc
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choice("abcdefgimnorstu") for _ in range(10)) for _ in range(100)) for _ in range(300)]
+    n_grams = sum(4 * 12 - 13 for t in texts for _ in t.split())
+    tracemalloc.start()
+    try:
+        X.train(texts, [i % 2 for i in range(len(texts))], steps=2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 55 * n_grams, peak / n_grams
