@@ -161,3 +161,22 @@ def test_tsv_sink_refuses_separators(spark, tmp_path):
         df = spark.createDataFrame([row], "doc_id string, content string")
         with pytest.raises(Exception, match="separates fields or rows"):
             write_tsv_corpus(df, "doc_id", "content", str(tmp_path / "out"))
+
+
+def test_landing_deals_a_month_to_one_task_and_keeps_every_trip(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from tessera.sources import testdata as TD
+    from tests.conftest import SF_SMALL
+
+    lineitem = TD.table(spark, SF_SMALL, "lineitem")
+    TD.land_trips(lineitem.unionByName(lineitem.limit(1).withColumn("l_shipdate", F.lit(None).cast("timestamp_ntz"))), workdir)
+    trips = TD.trips_from_lineitem(lineitem)
+    months = trips.select("file_year", "file_month").distinct().count()
+    n_files, n_rows = 0, 0
+    for era in ("a", "b"):
+        read = spark.read.option("recursiveFileLookup", "true").parquet(f"{workdir}/raw_{era}")
+        n_files += len(read.inputFiles())
+        n_rows += read.count()
+    assert n_rows == lineitem.count()
+    assert n_files == months
