@@ -39,25 +39,29 @@ def all_postings(corpus: DataFrame, doc_id: str = "doc_id", content: str = "cont
     """(word, doc_id, h1, h2, len, tf) of every token, stopwords and single letters too.
 
     A group (doc_id, content) is one document; the tf of its repeated rows add
-    up, as in a search of the texts.  NULL texts have no postings.
+    up, as in a search of the texts.  NULL texts have no postings.  The texts are
+    shuffled by document, once; what they consist of is counted where they are.
     """
-    rows = corpus.select(F.col(doc_id).alias("doc_id"), *_identity(content), F.explode(token_array(content)).alias("word"))
-    return rows.where(F.col("word") != "").groupBy("word", "doc_id", "h1", "h2", "len").agg(F.count("*").alias("tf"))
+    document = ["doc_id", "h1", "h2", "len"]
+    texts = corpus.select(F.col(doc_id).alias("doc_id"), *_identity(content), F.col(content).alias("_text")).repartition(*document)
+    rows = texts.select(*document, F.explode(token_array("_text")).alias("word")).where(F.col("word") != "")
+    return rows.groupBy(*document, "word").agg(F.count("*").alias("tf")).select("word", *document, "tf")
 
 
 def write_index(corpus: DataFrame, table: str, location: str, doc_id: str = "doc_id", content: str = "content",
                 buckets: int = BUCKETS, shards: int = SHARDS) -> DataFrame:
     """Write the corpus's postings as the external table ``table`` at ``location``.
 
-    The rows are dealt on ``slot`` once, so a bucket is one sorted file, and a
-    word in a third of all documents is spread over ``shards`` tasks.  ``shards``
-    is kept with the table; searches read it from there.
+    The postings, many times the size of the texts, are not shuffled: each task
+    writes those of its documents, a sorted file for each bucket.  A word in a
+    third of all documents is spread over ``shards`` slots.  ``shards`` is kept with
+    the table; searches read it from there.
     """
     spark = corpus.sparkSession
     slot = _word_slot(F.col("word"), shards) + F.pmod(F.xxhash64("doc_id", "h1"), F.lit(shards))
     rows = all_postings(corpus, doc_id, content).withColumn("slot", slot)
     _drop(spark, table)
-    (rows.repartition(buckets, "slot").write.mode("overwrite").format("parquet")
+    (rows.write.mode("overwrite").format("parquet")
      .bucketBy(buckets, "slot").sortBy("slot", "word").option("path", location).saveAsTable(table))
     spark.sql(f"ALTER TABLE {quoted(table)} SET TBLPROPERTIES ('shards' = '{shards}')")
     return spark.table(table)

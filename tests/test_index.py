@@ -47,6 +47,15 @@ def test_index_holds_every_token_once_per_document(spark):
     assert got == want
 
 
+def test_only_texts_are_shuffled_for_the_postings(spark):
+    df = spark.createDataFrame(_rows(5), "doc_id string, content string")
+    exchanges = [x for x in _plan(IX.all_postings(df)).splitlines() if " Exchange " in x]
+    assert len(exchanges) == 1 and "word" not in exchanges[0]
+    IX.write_index(df, "unshuffled_index", fresh_dir(spark, "index"), buckets=4, shards=2)
+    stored = spark.table("unshuffled_index").drop("slot")
+    assert sorted(map(str, stored.collect())) == sorted(map(str, IX.all_postings(df).select(*stored.columns).collect()))
+
+
 def test_search_reads_the_buckets_of_its_terms_only(spark):
     df = spark.createDataFrame([(f"d{i}", f"word{chr(97 + i % 26)} common") for i in range(200)], "doc_id string, content string")
     location = fresh_dir(spark, "index")
