@@ -36,5 +36,29 @@ def test_ids_and_bytes_equal_the_library(spark, dictionary):
             assert list(r.ids) == library.encode_ordinary(r.text or "")
 
 
+@pytest.mark.parametrize("shift", [0, 1000])
+def test_any_vocabulary_and_pieces_outside_the_dictionary(spark, shift):
+    rng = random.Random(5)
+    tokens = [bytes([b]) for b in range(256)]
+    while len(tokens) < 700:                 # merges in no order of length, with overlaps
+        new = rng.choice(tokens[97:103] + tokens[256:]) + rng.choice(tokens[97:103])
+        tokens += [new] if new not in tokens and len(new) < 9 else []
+    ranks = {t: i + shift for i, t in enumerate(tokens)}
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rows = [(i % 40, " ".join("".join(rng.choice("abcdef") for _ in range(rng.choice([1, 5, 9, 300]))) for _ in range(9)) + " often") for i in range(60)]
+    t = bpe.ByteBpe(ranks, P.PATTERN)
+    df = spark.createDataFrame(rows, "parts long, text string")
+    for most in (0, 3, 1 << 18):
+        for r in bpe.encoded(df, t.learn_dictionary(df, most=most), ids="Parts2").collect():
+            assert list(r.Parts2) == library.encode_ordinary(r.text) and r.parts < 40
+
+
+def test_the_plan_does_not_hold_the_dictionary(spark):
+    words = [f"x{k}y" for k in range(40_000)]
+    df = spark.createDataFrame([(i, " ".join(w + "abcdefghij"[:k % 10] for k, w in enumerate(words))) for i in range(2)], "doc_id long, text string")
+    plan = bpe.encoded(df, catalog.tokenizer().learn_dictionary(df))._jdf.queryExecution().analyzed().toString()
+    assert "x39999y" not in plan
+
+
 def test_empty_table(spark):
     assert bpe.digests(spark.createDataFrame([], "doc_id long, text string"), catalog.tokenizer()).count() == 0
